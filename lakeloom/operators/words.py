@@ -18,15 +18,6 @@ def word_count(lines: DataFrame) -> DataFrame:
     return lines.select(F.explode(words("value")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def _run_lengths(sorted_words: Column) -> Column:
-    """``array<struct<w, n>>`` of the distinct values of a sorted array."""
-    last = F.size(sorted_words) - 1
-    starts = F.filter(
-        F.sequence(F.lit(0), last),
-        lambda i: (i == 0) | (F.get(sorted_words, i) != F.get(sorted_words, i - 1)))
-    return F.transform(starts, lambda i: F.struct(F.get(sorted_words, i).alias("w"), i.alias("start")))
-
-
 def line_bags(lines: DataFrame) -> DataFrame:
     """Distinct bags of cleaned words with the number of lines that have each: ``tokens, copies``.
 
@@ -38,37 +29,34 @@ def line_bags(lines: DataFrame) -> DataFrame:
 
 
 def _weighted_words(bags: DataFrame) -> DataFrame:
-    """``bag``: array of (word, times in the line), sorted by word."""
-    runs = bags.select("copies", F.size("tokens").alias("n_tokens"), _run_lengths(F.col("tokens")).alias("runs"))
-    bag = F.transform("runs", lambda r, k: F.struct(
-        r["w"].alias("w"),
-        (F.coalesce(F.get("runs", k + 1)["start"], F.col("n_tokens")) - r["start"]).cast("long").alias("n")))
-    return runs.select("copies", bag.alias("bag")).where(F.size("bag") > 1)
+    """``bag``: array of (word, times in the line), sorted by word; lines of one word alone are left out."""
+    times = F.transform(F.array_distinct("tokens"), lambda w: F.struct(
+        w.alias("w"), (F.size("tokens") - F.size(F.array_remove(F.col("tokens"), w))).cast("long").alias("n")))
+    return bags.select(
+        "copies", F.size(F.array_distinct("tokens")).alias("n_words"), times.alias("bag")).where("n_words > 1")
 
 
 def cooccur_pairs(lines: DataFrame, block: int = 256) -> DataFrame:
     """How often each ordered pair of different words shares a line: ``first, second, n``.
 
     A pair counts (times of first) x (times of second) in each line. Both orders of a pair have the
-    same count, so only sorted pairs are added up. The words of a long line are cut into blocks and
-    each pair of blocks is a row of its own, spread over tasks; short lines need no such shuffle.
+    same count, so only sorted pairs are added up. The words of a line are cut into blocks, and each
+    pair of blocks is a row of its own. Those rows are spread over all shuffle partitions: they are
+    small, but each gives up to ``block`` x ``block`` pairs, so tasks must not be sized by bytes here.
     """
     weighted = _weighted_words(line_bags(lines))
-    short = weighted.where(F.size("bag") <= block).select("copies", F.col("bag").alias("a"), F.col("bag").alias("b"))
-
-    n_blocks = F.ceil(F.size("bag") / block).cast("int")
-    first = weighted.where(F.size("bag") > block).select(
-        "copies", "bag", F.explode(F.sequence(F.lit(0), n_blocks - 1)).alias("i"))
-    both = first.select("copies", "bag", "i", F.explode(F.sequence(F.col("i"), n_blocks - 1)).alias("j"))
-    long = both.select(
-        "copies",
+    last = F.ceil(F.col("n_words") / block).cast("int") - 1
+    first = weighted.withColumn("i", F.explode(F.sequence(F.lit(0), last)))
+    both = first.withColumn("j", F.explode(F.sequence(F.col("i"), last)))
+    n_tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    blocks = both.select(
+        "copies", (F.col("i") == F.col("j")).alias("same"),
         F.slice("bag", F.col("i") * block + 1, block).alias("a"),
-        F.slice("bag", F.col("j") * block + 1, block).alias("b"))
-    # Spread without regard to content: no line stays in one task.
-    blocks = short.unionByName(long.repartition(F.xxhash64("a", "b")))
+        F.slice("bag", F.col("j") * block + 1, block).alias("b")).repartition(n_tasks, F.xxhash64("a", "b"))
 
-    left = blocks.select("copies", "b", F.explode("a").alias("x"))
-    pairs = left.select("copies", "x", F.explode("b").alias("y")).where(F.col("x.w") < F.col("y.w"))
+    left = blocks.select("copies", "same", "b", F.posexplode("a").alias("at", "x"))
+    later = F.when(F.col("same"), F.slice("b", F.col("at") + 2, block)).otherwise(F.col("b"))
+    pairs = left.select("copies", "x", F.explode(later).alias("y"))
     counts = pairs.groupBy(F.col("x.w").alias("lo"), F.col("y.w").alias("hi")).agg(
         F.sum(F.col("x.n") * F.col("y.n") * F.col("copies")).alias("n"))
     orders = F.array(
@@ -89,8 +77,8 @@ def cooccur_stripes(lines: DataFrame, prefix: int = 1) -> DataFrame:
 
 
 def partners_per_word(pairs: DataFrame) -> DataFrame:
-    """Per word: distinct partners, all pair counts, and the strongest partner (ties: first in text order)."""
-    strength = F.struct((-F.col("n")).alias("m"), F.col("second").alias("w"))
+    """Per word: distinct partners, all pair counts, the largest one, and the mean length of a partner."""
+    letters = F.sum(F.col("n") * F.length("second"))
     return pairs.groupBy(F.col("first").alias("word")).agg(
-        F.count("*").alias("n_partners"), F.sum("n").alias("n_pairs"),
-        F.min(strength)["w"].alias("top_partner"), F.max("n").alias("top_count"))
+        F.count("*").alias("n_partners"), F.sum("n").alias("n_pairs"), F.max("n").alias("top_count"),
+        (letters / F.sum("n")).alias("mean_length"))
