@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeloom.session import SESSION_CONF
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None, use: bool = False) -> None:
@@ -54,12 +55,16 @@ def insert_partitioned(df: DataFrame, table: str, overwrite: bool = False) -> No
 
     ``overwrite`` replaces only the partitions that ``df`` has rows for.
     """
-    partition_columns = [c.name for c in df.sparkSession.catalog.listColumns(table) if c.isPartition]
-    gathered = df.hint("rebalance", *[df[df.columns[i - len(partition_columns)]]
-                                      for i in range(len(partition_columns))])
-    mode = "spark.sql.sources.partitionOverwriteMode"
-    df.sparkSession.conf.set(mode, SESSION_CONF[mode])
-    gathered.write.insertInto(table, overwrite=overwrite)
+    spark = df.sparkSession
+    n_keys = sum(c.isPartition for c in spark.catalog.listColumns(table))
+    gathered = df.hint("rebalance", *[F.col(c) for c in df.columns[len(df.columns) - n_keys:]])
+    # insertInto takes the overwrite mode from the session only.
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        gathered.write.insertInto(table, overwrite=overwrite)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
 
 
 def load_overwrite(spark: SparkSession, table: str, path: str, sep: str = ",", header: bool = True) -> None:
