@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.plans import frame_queries, io_queries, sales_queries, text_queries
+from lakeloom.plans import event_queries, frame_queries, io_queries, sales_queries, text_queries
 
-MODULES = [sales_queries, frame_queries, text_queries, io_queries]
+MODULES = [sales_queries, frame_queries, text_queries, io_queries, event_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
