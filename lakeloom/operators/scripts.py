@@ -10,6 +10,7 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def map_lines(lines: DataFrame, mapper: Callable[..., Iterable[tuple]], schema: str, **params: Any) -> DataFrame:
@@ -25,8 +26,12 @@ def map_lines(lines: DataFrame, mapper: Callable[..., Iterable[tuple]], schema:
 
 def reduce_groups(pairs: DataFrame, key: str, reducer: Callable[[pd.DataFrame], pd.DataFrame],
                   schema: str) -> DataFrame:
-    """Apply ``reducer`` to the rows of each key.
+    """Apply an associative ``reducer`` to the rows of each key.
 
-    A group must fit in one task's memory, so add up what can be added up before calling this.
+    Its output has the columns of its input. Rows of a key are first reduced per upstream task and
+    the results then reduced once more, so that a hot key is never in one task as a whole.
     """
-    return pairs.groupBy(key).applyInPandas(reducer, schema)
+    names = pairs.columns
+    by_task = pairs.withColumn("_task", F.spark_partition_id())
+    partial = by_task.groupBy(key, "_task").applyInPandas(lambda g: reducer(g[names]), schema)
+    return partial.groupBy(key).applyInPandas(reducer, schema)

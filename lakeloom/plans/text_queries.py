@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators import aggregates, columns, graph, words
+from lakeloom.operators import aggregates, columns, graph, scripts, words
 from lakeloom.sources.tables import Tables
 
 
@@ -79,6 +80,23 @@ def variance_of_quantity(s, d) -> DataFrame:
     return v.select(F.round("sum_sq_dev", 2).alias("sum_sq_dev"), "n", F.round("variance", 6).alias("variance"))
 
 
+def word_lengths(line: str, longest: int):
+    """User mapper: one (length, 1) for each token, lengths cut at ``longest``."""
+    return [(min(len(token), longest), 1) for token in line.split(" ") if token]
+
+
+def add_up(group: pd.DataFrame) -> pd.DataFrame:
+    """User reducer."""
+    return group.groupby("length", as_index=False)["n"].sum()
+
+
+def script_word_lengths(s, d) -> DataFrame:
+    """Token lengths counted by a user mapper, with a parameter, and a user reducer."""
+    schema = "length bigint, n bigint"
+    pairs = scripts.map_lines(document_lines(s, d), word_lengths, schema, longest=30)
+    return scripts.reduce_groups(pairs, "length", add_up, schema)
+
+
 QUERIES = {
     "last_token_filter": lambda s, d: columns.last_token_above(unit_lines(s, d), 30),
     "count_by_field": lambda s, d: aggregates.count_by_field(sale_lines(s, d)),
@@ -87,6 +105,7 @@ QUERIES = {
     "mean_parts": mean_of_quantity,
     "variance_parts": variance_of_quantity,
     "word_count": lambda s, d: words.word_count(document_lines(s, d)),
+    "script_word_lengths": script_word_lengths,
     "cooccur_pairs": lambda s, d: words.partners_per_word(words.cooccur_pairs(document_lines(s, d))),
     "cooccur_stripes": stripe_sizes,
     "common_neighbors": lambda s, d: graph.common_neighbors(referrals(s, d)),
@@ -136,6 +155,9 @@ ORACLES = {
   round(var_pop(l_quantity), 6) AS variance FROM lineitem""",
     "word_count": rf"""SELECT word, count(*) AS n FROM (
   SELECT unnest(string_split_regex(text, '{_SPACE}')) AS word FROM documents) WHERE word <> '' GROUP BY 1""",
+    "script_word_lengths": """SELECT least(length(word), 30) AS length, count(*) AS n FROM (
+  SELECT unnest(string_split(line, ' ')) AS word FROM (
+    SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) WHERE word <> '' GROUP BY 1""",
     "cooccur_pairs": f"""{_PAIRS} SELECT first AS word, count(*) AS n_partners, CAST(sum(n) AS BIGINT) AS n_pairs,
   max(n) AS top_count, CAST(sum(n * length(second)) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS mean_length FROM pairs GROUP BY 1""",
     "cooccur_stripes": f"""{_PAIRS} SELECT first AS word, left(second, 1) AS initial, count(*) AS n_words,

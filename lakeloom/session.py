@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -32,15 +33,18 @@ def build_session(app: str = "lakeloom", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+@cache
+def _local_root(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix="lakeloom-")
+
+
 def _shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getConf().get(CHECKPOINT_CONF)
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="lakeloom-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    return root
+    return _local_root(spark.sparkContext.applicationId)
 
 
 def workspace(spark: SparkSession, label: str) -> str:
