@@ -11,36 +11,37 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values. (family, pattern that must occur, pattern whose group 1 is the version); first match wins.
+# Fixed values. (family, marks, pattern whose group 1 is the version); the first rule that holds wins.
+# Of each group of marks, separated by "|", one must occur in the user agent.
 BROWSERS = [
-    ("Googlebot", r"Googlebot", r"Googlebot/([0-9.]+)"),
-    ("bingbot", r"bingbot", r"bingbot/([0-9.]+)"),
-    ("Edge Mobile", r"EdgA/|EdgiOS/", r"Edg(?:A|iOS)/([0-9.]+)"),
-    ("Edge", r"Edge?/", r"Edge?/([0-9.]+)"),
-    ("Opera Mobile", r"OPR/.*Mobile|Mobile.*OPR/", r"OPR/([0-9.]+)"),
-    ("Opera", r"OPR/", r"OPR/([0-9.]+)"),
-    ("Samsung Internet", r"SamsungBrowser/", r"SamsungBrowser/([0-9.]+)"),
-    ("Firefox iOS", r"FxiOS/", r"FxiOS/([0-9.]+)"),
-    ("Firefox Mobile", r"(?:Mobile|Tablet);.*Firefox/", r"Firefox/([0-9.]+)"),
-    ("Firefox", r"Firefox/", r"Firefox/([0-9.]+)"),
-    ("Chrome Mobile iOS", r"CriOS/", r"CriOS/([0-9.]+)"),
-    ("Chrome Mobile", r"Android.*Chrome/.*Mobile", r"Chrome/([0-9.]+)"),
-    ("Chrome", r"Chrome/", r"Chrome/([0-9.]+)"),
-    ("Mobile Safari", r"(?:iPhone|iPad|iPod).*Safari/", r"Version/([0-9.]+)"),
-    ("Safari", r"Version/.*Safari/", r"Version/([0-9.]+)"),
-    ("IE", r"MSIE |Trident/", r"(?:MSIE |rv:)([0-9.]+)"),
+    ("Googlebot", ["Googlebot"], r"Googlebot/([0-9.]+)"),
+    ("bingbot", ["bingbot"], r"bingbot/([0-9.]+)"),
+    ("Edge Mobile", ["EdgA/|EdgiOS/"], r"Edg(?:A|iOS)/([0-9.]+)"),
+    ("Edge", ["Edg/|Edge/"], r"Edge?/([0-9.]+)"),
+    ("Opera Mobile", ["OPR/", "Mobile"], r"OPR/([0-9.]+)"),
+    ("Opera", ["OPR/"], r"OPR/([0-9.]+)"),
+    ("Samsung Internet", ["SamsungBrowser/"], r"SamsungBrowser/([0-9.]+)"),
+    ("Firefox iOS", ["FxiOS/"], r"FxiOS/([0-9.]+)"),
+    ("Firefox Mobile", ["Firefox/", "Mobile;|Tablet;"], r"Firefox/([0-9.]+)"),
+    ("Firefox", ["Firefox/"], r"Firefox/([0-9.]+)"),
+    ("Chrome Mobile iOS", ["CriOS/"], r"CriOS/([0-9.]+)"),
+    ("Chrome Mobile", ["Chrome/", "Android", "Mobile"], r"Chrome/([0-9.]+)"),
+    ("Chrome", ["Chrome/"], r"Chrome/([0-9.]+)"),
+    ("Mobile Safari", ["Safari/", "iPhone|iPad|iPod"], r"Version/([0-9.]+)"),
+    ("Safari", ["Safari/", "Version/"], r"Version/([0-9.]+)"),
+    ("IE", ["MSIE|Trident/"], r"(?:MSIE |rv:)([0-9.]+)"),
 ]
 SYSTEMS = [
-    ("Windows", r"Windows NT", r"Windows NT ([0-9.]+)"),
-    ("iOS", r"(?:iPhone|iPad|iPod)", r"OS ([0-9_]+) like Mac OS X"),
-    ("Mac OS X", r"Mac OS X", r"Mac OS X ([0-9_.]+)"),
-    ("Android", r"Android", r"Android ([0-9.]+)"),
-    ("Chrome OS", r"CrOS", r"CrOS \w+ ([0-9.]+)"),
-    ("Ubuntu", r"Ubuntu", r"Ubuntu/([0-9.]+)"),
-    ("Linux", r"Linux", r"Linux ([0-9.]+)"),
+    ("Windows", ["Windows NT"], r"Windows NT ([0-9.]+)"),
+    ("iOS", ["iPhone|iPad|iPod"], r"OS ([0-9_]+) like Mac OS X"),
+    ("Mac OS X", ["Mac OS X"], r"Mac OS X ([0-9_.]+)"),
+    ("Android", ["Android"], r"Android ([0-9.]+)"),
+    ("Chrome OS", ["CrOS"], r"CrOS \w+ ([0-9.]+)"),
+    ("Ubuntu", ["Ubuntu"], r"Ubuntu/([0-9.]+)"),
+    ("Linux", ["Linux"], r"Linux ([0-9.]+)"),
 ]
 WINDOWS_RELEASES = {"10.0": "10", "6.3": "8.1", "6.2": "8", "6.1": "7", "6.0": "Vista", "5.1": "XP"}
-BOTS = r"Googlebot|bingbot"
+BOTS = "Googlebot|bingbot"
 TOUCH_SYSTEMS = ["iOS", "Android"]
 MOBILE_BROWSERS = ["Chrome Mobile", "Chrome Mobile iOS", "Mobile Safari", "Firefox Mobile", "Firefox iOS",
                    "Edge Mobile", "Opera Mobile"]
@@ -59,11 +60,17 @@ def _first_match(cases: list[tuple[Column, Column]], otherwise: Column) -> Colum
     return reduce(lambda chain, c: chain.when(*c), rest, F.when(*head)).otherwise(otherwise)
 
 
-def _family(ua: Column, rules: list[tuple[str, str, str]]) -> Column:
-    return _first_match([(ua.rlike(seen), F.lit(family)) for family, seen, _ in rules], F.lit("Other"))
+def _any_mark(ua: Column, marks: str) -> Column:
+    return reduce(lambda a, b: a | b, [ua.contains(m) for m in marks.split("|")])
 
 
-def _version(ua: Column, family: Column, rules: list[tuple[str, str, str]]) -> Column:
+def _family(ua: Column, rules: list[tuple[str, list[str], str]]) -> Column:
+    return _first_match(
+        [(reduce(lambda a, b: a & b, [_any_mark(ua, m) for m in marks]), F.lit(family))
+         for family, marks, _ in rules], F.lit("Other"))
+
+
+def _version(ua: Column, family: Column, rules: list[tuple[str, list[str], str]]) -> Column:
     """Up to three numbers joined by dots, or an empty string."""
     found = _first_match(
         [(family == name, F.regexp_extract(ua, pattern, 1)) for name, _, pattern in rules], F.lit(""))
@@ -75,13 +82,16 @@ def browser_family(ua: Column) -> Column:
 
 
 def os_family(ua: Column) -> Column:
-    return F.when(ua.rlike(BOTS), "Other").otherwise(_family(ua, SYSTEMS))
+    return F.when(_any_mark(ua, BOTS), "Other").otherwise(_family(ua, SYSTEMS))
+
 
+def android_model(ua: Column) -> Column:
+    return F.when(ua.contains("Android"), F.regexp_extract(ua, ANDROID_MODEL, 1)).otherwise("")
 
-def device_family(ua: Column) -> Column:
-    model = F.regexp_extract(ua, ANDROID_MODEL, 1)
+
+def device_family(ua: Column, model: Column) -> Column:
     return (
-        F.when(ua.rlike(BOTS), "Spider")
+        F.when(_any_mark(ua, BOTS), "Spider")
         .when(ua.contains("iPhone"), "iPhone")
         .when(ua.contains("iPad"), "iPad")
         .when(ua.contains("iPod"), "iPod")
@@ -91,13 +101,18 @@ def device_family(ua: Column) -> Column:
         .otherwise("Other"))
 
 
-def version_fields(ua: Column, browser: Column, system: Column) -> dict[str, Column]:
-    number = _version(ua, system, SYSTEMS)
+def browser_version(ua: Column, browser: Column) -> Column:
+    return _version(ua, browser, BROWSERS)
+
+
+def system_number(ua: Column, system: Column) -> Column:
+    return _version(ua, system, SYSTEMS)
+
+
+def os_version(system: Column, number: Column) -> Column:
+    """The number, or the release name that goes with it on Windows."""
     releases = F.create_map(*[F.lit(x) for pair in WINDOWS_RELEASES.items() for x in pair])
-    return {
-        "browser_version": _version(ua, browser, BROWSERS),
-        "os_version": F.when(system == "Windows", F.coalesce(releases[number], number)).otherwise(number),
-    }
+    return F.when(system == "Windows", F.coalesce(releases[number], number)).otherwise(number)
 
 
 def device_fields(ua: Column, browser: Column, system: Column, device: Column) -> dict[str, Column]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.text import clean_word, words
+from lakeloom.functions.text import clean_words, words
 
 
 def lines_of(df: DataFrame, text: str = "text") -> DataFrame:
@@ -19,21 +19,19 @@ def word_count(lines: DataFrame) -> DataFrame:
 
 
 def line_bags(lines: DataFrame) -> DataFrame:
-    """Distinct bags of cleaned words with the number of lines that have each: ``tokens, copies``.
+    """Distinct sorted bags of cleaned words with the number of lines that have each: ``tokens, copies``.
 
     Copies of a line, however many, count once from here on.
     """
-    tokens = F.array_sort(F.filter(F.transform(words("value"), clean_word), lambda w: w != ""))
-    return lines.select(tokens.alias("tokens")).where(F.size("tokens") > 1).groupBy("tokens").agg(
-        F.count("*").alias("copies"))
+    # No filter on the size: pushed below the grouping it would clean every line once more.
+    return lines.groupBy(F.sort_array(clean_words("value")).alias("tokens")).agg(F.count("*").alias("copies"))
 
 
 def _weighted_words(bags: DataFrame) -> DataFrame:
-    """``bag``: array of (word, times in the line), sorted by word; lines of one word alone are left out."""
+    """``bag``: array of (word, times in the line), sorted by word."""
     times = F.transform(F.array_distinct("tokens"), lambda w: F.struct(
         w.alias("w"), (F.size("tokens") - F.size(F.array_remove(F.col("tokens"), w))).cast("long").alias("n")))
-    return bags.select(
-        "copies", F.size(F.array_distinct("tokens")).alias("n_words"), times.alias("bag")).where("n_words > 1")
+    return bags.select("copies", F.size(F.array_distinct("tokens")).alias("n_words"), times.alias("bag"))
 
 
 def cooccur_pairs(lines: DataFrame, block: int = 256) -> DataFrame:
@@ -45,9 +43,9 @@ def cooccur_pairs(lines: DataFrame, block: int = 256) -> DataFrame:
     small, but each gives up to ``block`` x ``block`` pairs, so tasks must not be sized by bytes here.
     """
     weighted = _weighted_words(line_bags(lines))
-    last = F.ceil(F.col("n_words") / block).cast("int") - 1
-    first = weighted.withColumn("i", F.explode(F.sequence(F.lit(0), last)))
-    both = first.withColumn("j", F.explode(F.sequence(F.col("i"), last)))
+    last = F.greatest(F.ceil(F.col("n_words") / block).cast("int"), F.lit(1)) - 1
+    first = weighted.withColumn("i", F.explode_outer(F.sequence(F.lit(0), last)))
+    both = first.withColumn("j", F.explode_outer(F.sequence(F.col("i"), last)))
     n_tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     blocks = both.select(
         "copies", (F.col("i") == F.col("j")).alias("same"),

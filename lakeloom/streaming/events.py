@@ -35,15 +35,21 @@ def validate(events: DataFrame) -> DataFrame:
 
 def enrich_user_agent(events: DataFrame, column: str = "user_agent") -> DataFrame:
     """Add the twelve browser, system and device columns of the event's user agent."""
-    ua = F.col("_ua")
+    ua, model, number = F.col("_ua"), F.col("_model"), F.col("_number")
     browser, system, device = F.col("browser_family"), F.col("os_family"), F.col("device_family")
+    # One step per layer of dependent columns, so that each is computed once.
     families = events.withColumn("_ua", json_fields.read_key("doc", column, default="")).withColumns({
         "browser_family": user_agent.browser_family(ua),
         "os_family": user_agent.os_family(ua),
-        "device_family": user_agent.device_family(ua),
+        "_model": user_agent.android_model(ua),
     })
-    full = families.withColumns({
-        **user_agent.version_fields(ua, browser, system),
+    named = families.withColumns({
+        "device_family": user_agent.device_family(ua, model),
+        "browser_version": user_agent.browser_version(ua, browser),
+        "_number": user_agent.system_number(ua, system),
+    })
+    full = named.withColumns({
+        "os_version": user_agent.os_version(system, number),
         **user_agent.device_fields(ua, browser, system, device),
     })
     return full.select(*events.columns, *user_agent.FIELDS)

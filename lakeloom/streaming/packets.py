@@ -45,4 +45,6 @@ def packet_layers(packets: DataFrame, max_depth: int = 5) -> DataFrame:
     """One row per packet and layer."""
     flat = flatten_packets(packets, max_depth)
     others = [c for c in flat.columns if c != "layers"]
-    return flat.select(*others, F.inline("layers"))
+    # The plain form would evaluate the whole array a second time, to filter out empty ones early.
+    rows = flat.select(*others, F.inline_outer("layers"))
+    return rows.where(F.col("layer_type").isNotNull())

@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakeloom.functions.text import clean_word, delimited_tokens, words
+from lakeloom.functions.text import clean_word, clean_words, delimited_tokens, words
 from lakeloom.operators import aggregates, columns
 from lakeloom.operators import words as w
 
@@ -63,12 +63,14 @@ def test_stripes_hold_the_pairs(lines):
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text(alphabet="aB é,.\t1", max_size=12), min_size=1, max_size=5))
+@given(st.lists(st.text(alphabet="aB é,.\t1", max_size=25), min_size=1, max_size=5))
 def test_word_count_and_cleaning(lines, texts):
     df = lines(*texts)
     assert {r.word: r.n for r in w.word_count(df).collect()} == Counter(t for x in texts for t in x.split())
     cleaned = Counter(r.t for r in df.select(F.explode(words("value")).alias("t")).select(clean_word("t").alias("t")).collect())
     assert cleaned == Counter(py_clean(t) for x in texts for t in x.split())
+    whole = [r.t for r in df.select(clean_words("value").alias("t")).collect()]
+    assert sorted(whole) == sorted([c for c in map(py_clean, x.split()) if c] for x in texts)
 
 
 def test_whitespace_is_ascii_only(lines):
