@@ -80,18 +80,15 @@ def variance_of_quantity(s, d) -> DataFrame:
     return v.select(F.round("sum_sq_dev", 2).alias("sum_sq_dev"), "n", F.round("variance", 6).alias("variance"))
 
 
-def word_lengths(line: str, longest: int):
-    """User mapper: one (length, 1) for each token, lengths cut at ``longest``."""
-    return [(min(len(token), longest), 1) for token in line.split(" ") if token]
-
-
-def add_up(group: pd.DataFrame) -> pd.DataFrame:
-    """User reducer."""
-    return group.groupby("length", as_index=False)["n"].sum()
-
-
 def script_word_lengths(s, d) -> DataFrame:
     """Token lengths counted by a user mapper, with a parameter, and a user reducer."""
+    # Local functions travel to the workers by value, like those of a user's own script.
+    def word_lengths(line: str, longest: int):
+        return [(min(len(token), longest), 1) for token in line.split(" ") if token]
+
+    def add_up(group: pd.DataFrame) -> pd.DataFrame:
+        return group.groupby("length", as_index=False)["n"].sum()
+
     schema = "length bigint, n bigint"
     pairs = scripts.map_lines(document_lines(s, d), word_lengths, schema, longest=30)
     return scripts.reduce_groups(pairs, "length", add_up, schema)
