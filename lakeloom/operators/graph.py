@@ -36,6 +36,12 @@ def both_ways(edges: DataFrame) -> DataFrame:
     return edges.where(F.col("src") != F.col("dst")).select(F.inline(ends)).distinct()
 
 
+def stored(edges: DataFrame) -> DataFrame:
+    """Edges written once to the checkpoint folder, for the operators below, which read them several times."""
+    enable_checkpoints(edges.sparkSession)
+    return edges.checkpoint()
+
+
 def common_neighbors(edges: DataFrame) -> DataFrame:
     """For every connected pair, one row per neighbour both list: ``a, b, neighbor``, with ``a <= b``.
 
@@ -74,7 +80,6 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, rounds: int = 4) -> DataF
     executor costs one round. Stops as soon as a round reaches nothing new.
     """
     enable_checkpoints(nodes.sparkSession)
-    edges = edges.checkpoint()
     reached = nodes.where(F.col("dist") >= 0).checkpoint()
     # Starting nodes may lie at different distances; a later hop may then shorten one.
     frontier = reached

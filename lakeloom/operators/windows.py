@@ -50,17 +50,24 @@ def moving_average(df: DataFrame, order: str, value: str, out: str, n: int = 3)
     return df.withColumn(out, F.avg(value).over(w))
 
 
+# At most this many groups count as hot, which bounds the tables that ``ranked`` broadcasts.
+MAX_HOT_GROUPS = 10_000
+
+
 def ranked(df: DataFrame, part: Sequence[str], order: str, ties: Sequence[str] = (), *,
            row_number: str | None = None, rank: str | None = None, dense_rank: str | None = None,
-           lag: tuple[str, int, str] | None = None, hot_rows: int = 5_000_000, chunks: int = 128) -> DataFrame:
+           lag: tuple[str, int, str] | None = None, hot_rows: int = 5_000_000, chunks: int = 64) -> DataFrame:
     """Rank functions over groups of any size, ordered by ``order`` and then ``ties``, ascending.
 
     Each keyword names the output column of one function; ``lag`` is ``(column, n, output)``.
-    A group of more than ``hot_rows`` rows is cut by quantiles of ``order`` (a number, date or
-    timestamp) into up to ``chunks`` parts that different tasks sort. Equal values of ``order`` stay
-    in one chunk, so the ranks inside a chunk need only an offset: the rows, or distinct values, in
-    the chunks before it. Groups below the limit keep the plain window. The offset table has at most
-    ``chunks`` rows for each hot group, and there are at most ``total rows / hot_rows`` of those.
+    A hot group is cut by quantiles of ``order`` (a number, date or timestamp) into up to ``chunks``
+    parts that different tasks sort. Equal values of ``order`` stay in one chunk, so the ranks inside
+    a chunk need only an offset: the rows, or distinct values, in the chunks before it. All other
+    groups keep the plain window.
+
+    A group is hot above ``hot_rows`` rows and above 1/10,000 of all rows, whichever is more. So there are
+    fewer than ``MAX_HOT_GROUPS`` of them, and cut points and offsets (one row per chunk) are small
+    enough to broadcast whatever the size of the data.
     """
     part = list(part)
     split = _cut_hot_groups(df, part, order, hot_rows, chunks)
@@ -77,7 +84,7 @@ def ranked(df: DataFrame, part: Sequence[str], order: str, ties: Sequence[str] =
     if lag:
         local = local.withColumn(lag[2], F.lag(lag[0], lag[1]).over(w))
 
-    out = _left_join_on(local, offsets, by_chunk)
+    out = _left_join_on(local, F.broadcast(offsets), by_chunk)
     before = F.coalesce("_rows_before", F.lit(0))
     out = out.withColumn("_position", F.col("_row") + before)
     if rank:
@@ -102,12 +109,14 @@ def _left_join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
 def _cut_hot_groups(df: DataFrame, part: list[str], order: str, hot_rows: int, chunks: int) -> DataFrame:
     """Add ``_hot`` and ``_chunk``; chunk 0 holds the whole group unless the group is hot."""
     steps = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
-    hot = df.groupBy(*part).agg(F.count("*").alias("_n")).where(F.col("_n") > hot_rows).drop("_n")
-    marked = _left_join_on(df, hot.withColumn("_hot", F.lit(True)), part).where("_hot")
+    share = df.select(F.count("*") / MAX_HOT_GROUPS).scalar()
+    hot = df.groupBy(*part).agg(F.count("*").alias("_n")).where(
+        F.col("_n") > F.greatest(F.lit(float(hot_rows)), share)).drop("_n")
+    marked = _left_join_on(df, F.broadcast(hot.withColumn("_hot", F.lit(True))), part).where("_hot")
     cuts = marked.groupBy(*part).agg(
         F.percentile_approx(order, steps, F.lit(20 * chunks)).alias("_cuts"))
     passed = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
-    return _left_join_on(df, cuts, part).select(
+    return _left_join_on(df, F.broadcast(cuts), part).select(
         *df.columns,
         F.col("_cuts").isNotNull().alias("_hot"),
         F.when(F.col("_cuts").isNotNull(), passed).otherwise(0).alias("_chunk"))
@@ -131,6 +140,8 @@ def _lag_across_chunks(out: DataFrame, part: list[str], column: str, n: int, nam
     """Fill the first ``n`` rows of a chunk from the last ``n`` rows of the chunks before it."""
     tails = out.where(F.col("_hot") & (F.col("_row") > F.col("_chunk_rows") - n)).select(
         *part, (F.col("_position") + n).alias("_wanted"), F.col(column).alias("_carried"))
+    # ``n`` rows for each chunk: as small as the offsets for the usual short lag, else left to Spark.
+    tails = F.broadcast(tails) if n <= 4 else tails
     head = F.col("_hot") & (F.col("_chunk") > 0) & (F.col("_row") <= n)
     heads = out.withColumn("_wanted", F.when(head, F.col("_position")))
     filled = heads.join(

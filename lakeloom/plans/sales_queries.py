@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.plans import sales as reports
-from lakeloom.plans.star import sales_rows, sales_totals
+from lakeloom.plans.star import sales_rows, sales_sample, sales_totals
 from lakeloom.sources.tables import Tables
 
 DOLLARS = ("sale_dollars",)
@@ -36,7 +36,7 @@ QUERIES = {
     "cumulative_revenue_year": lambda s, d: reports.cumulative_revenue_year(sales_totals(Tables(s, d), [])),
     "running_avg_revenue_year": lambda s, d: reports.running_avg_revenue_year(sales_totals(Tables(s, d), [])),
     "curated_sales": lambda s, d: reports.curated_sales(sales_rows(Tables(s, d))),
-    "curated_sample": lambda s, d: reports.curated_sample(sales_rows(Tables(s, d))),
+    "curated_sample": lambda s, d: sales_sample(Tables(s, d)),
 }
 
 _SALES = """

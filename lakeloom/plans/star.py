@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.numbers import exact_sum
 from lakeloom.operators.columns import require
-from lakeloom.plans.sales import SALES_COLUMNS
+from lakeloom.plans.sales import SALES_COLUMNS, SAMPLE_ORDER
 from lakeloom.sources.tables import Tables
 
 # Sales columns as Spark SQL over the order tables, by the table that supplies them. Fixed values:
@@ -55,10 +55,10 @@ def _stores(t: Tables) -> DataFrame:
     return t["customer"].join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
 
 
-def sales_rows(t: Tables, columns: Iterable[str] = SALES_COLUMNS) -> DataFrame:
-    """One row per order line with the given sales columns."""
+def sales_rows(t: Tables, columns: Iterable[str] = SALES_COLUMNS, lines: DataFrame | None = None) -> DataFrame:
+    """One row per order line with the given sales columns; ``lines`` may be a choice of order lines."""
     columns = list(columns)
-    df = t["lineitem"]
+    df = t["lineitem"] if lines is None else lines
     if set(columns) & (ORDER.keys() | STORE.keys()):
         df = df.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if set(columns) & STORE.keys():
@@ -70,6 +70,15 @@ def sales_rows(t: Tables, columns: Iterable[str] = SALES_COLUMNS) -> DataFrame:
     return df.select(*_sales_columns(columns))
 
 
+def sales_sample(t: Tables, n: int = 10_000) -> DataFrame:
+    """The rows of ``sales.curated_sample``, chosen on order lines alone: only ``n`` of them meet the
+    customer, part and supplier tables."""
+    dated = t["orders"].where(F.col("o_orderdate").isNotNull() & F.col("o_custkey").isNotNull())
+    lines = require(t["lineitem"], "l_partkey").join(dated, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
+    first = lines.orderBy(*[F.expr(COLUMNS[c]) for c in SAMPLE_ORDER]).limit(n)
+    return sales_rows(t, lines=first)
+
+
 def sales_totals(t: Tables, attributes: Iterable[str], measures: Sequence[str] = ("sale_dollars",),
                  period: str = "year") -> DataFrame:
     """The measures summed per period and attribute; sales lacking one of the measures are left out.

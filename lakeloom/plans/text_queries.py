@@ -60,7 +60,7 @@ def referrals(s, d) -> DataFrame:
     edges = t["orders"].select(
         F.col("o_custkey").cast("string").alias("src"),
         F.pmod("o_orderkey", n_customers).cast("string").alias("dst"))
-    return graph.both_ways(edges)
+    return graph.stored(graph.both_ways(edges))
 
 
 def referral_paths(s, d) -> DataFrame:

@@ -22,6 +22,9 @@ SESSION_CONF = {
     # faster as several smaller methods than as one interpreted stage.
     "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Keys of streaming deduplication live on disk, not on the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

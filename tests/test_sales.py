@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakeloom.plans import sales as reports
-from lakeloom.plans.star import sales_rows, sales_totals
+from lakeloom.plans.star import sales_rows, sales_sample, sales_totals
 from lakeloom.sources.tables import Tables
 
 SCHEMA = ("sale_date date, city string, vendor_name string, item_number bigint, item_description string, "
@@ -75,6 +75,11 @@ def test_sample_is_guarded_and_limited(spark, small):
     assert sample.columns == reports.SALES_COLUMNS
 
 
+def test_sample_of_lines_is_the_sample_of_sales(spark, small, rows):
+    t = Tables(spark, small)
+    assert rows(sales_sample(t, 200)) == rows(reports.curated_sample(sales_rows(t), 200))
+
+
 @pytest.mark.parametrize("report, attributes, period", [
     (reports.top_items_year, ["item_number", "item_description"], "year"),
     (reports.top_vendors_year, ["vendor_name"], "year"),
