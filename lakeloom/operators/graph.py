@@ -6,6 +6,8 @@ lets Spark split the list of a hub; no list is ever gathered into one row before
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -76,24 +78,28 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, rounds: int = 4) -> DataF
 
     ``nodes`` is ``(node, path, dist)`` with -1 and ``_`` where not reached yet. A path lists the
     nodes before it, nearest first; of equally short ones the first in text order stays. Only the
-    nodes reached last are expanded, and each round is written to the checkpoint folder, so a lost
-    executor costs one round. Stops as soon as a round reaches nothing new.
+    nodes reached last are expanded. Each round writes what it reached, and no more, to the checkpoint
+    folder, so a lost executor costs one round. Stops as soon as a round reaches nothing new.
     """
     enable_checkpoints(nodes.sparkSession)
-    reached = nodes.where(F.col("dist") >= 0).checkpoint()
-    # Starting nodes may lie at different distances; a later hop may then shorten one.
-    frontier = reached
+    levels = [nodes.where(F.col("dist") >= 0).select("node", "path", "dist").checkpoint()]
     for _ in range(rounds):
-        step = frontier.join(edges, F.col("node") == F.col("src")).groupBy(F.col("dst").alias("node")).agg(
+        step = levels[-1].join(edges, F.col("node") == F.col("src")).groupBy(F.col("dst").alias("node")).agg(
             F.min(F.struct((F.col("dist") + 1).alias("dist"), F.concat("node", F.lit(":"), "path").alias("path")))
             .alias("best"))
-        known = reached.select("node", F.col("dist").alias("known_dist"))
-        frontier = step.join(known, "node", "left").where(
+        # Starting nodes may lie at different distances, so a later hop can still shorten a path.
+        known = _all(levels).groupBy("node").agg(F.min("dist").alias("known_dist"))
+        level = step.join(known, "node", "left").where(
             F.col("known_dist").isNull() | (F.col("best.dist") < F.col("known_dist"))).select(
             "node", "best.path", "best.dist").checkpoint()
-        if frontier.isEmpty():
+        if level.isEmpty():
             break
-        reached = reached.join(frontier, "node", "left_anti").unionByName(frontier).checkpoint()
-    best = reached.select("node", F.col("path").alias("best_path"), F.col("dist").alias("best_dist"))
-    return nodes.join(best, "node", "left").select(
-        "node", F.coalesce("best_path", "path").alias("path"), F.coalesce("best_dist", "dist").alias("dist"))
+        levels.append(level)
+    best = _all(levels).groupBy("node").agg(F.min(F.struct("dist", "path")).alias("best"))
+    return nodes.select("node", F.col("path").alias("_path"), F.col("dist").alias("_dist")).join(
+        best, "node", "left").select(
+        "node", F.coalesce("best.path", "_path").alias("path"), F.coalesce("best.dist", "_dist").alias("dist"))
+
+
+def _all(levels: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, levels)

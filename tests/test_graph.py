@@ -76,6 +76,34 @@ def test_equal_paths_take_the_first_in_text_order(lines):
     assert found["T"] == "a:S:_"
 
 
+def test_starting_nodes_at_different_distances(lines):
+    """d is first reached from the far start, then over a shorter path from the near one."""
+    nodes, edges = graph.parse_adjacency(lines("n _ 0 a", "a _ -1 b", "b _ -1 d", "f _ 9 d", "d _ -1 e", "e _ -1"))
+    found = {r.node: (r.path, r.dist) for r in graph.shortest_paths(nodes, edges, 5).collect()}
+    assert found["d"] == ("b:a:n:_", 3)
+    assert found["e"] == ("d:b:a:n:_", 4)
+    assert found["f"] == ("_", 9)
+
+
+def test_paths_at_random_match_breadth_first_search(spark):
+    rnd = random.Random(11)
+    names = [f"n{i:02d}" for i in range(40)]
+    links = {(a, b) for a in names for b in names if a != b and rnd.random() < 0.05}
+    links |= {("n00", b) for b in names[1:15]}
+    want, frontier = {"n00": ("_", 0)}, ["n00"]
+    for hop in range(1, 5):
+        reached = {}
+        for a, b in links:
+            if a in frontier and b not in want:
+                reached[b] = min(reached.get(b, "~"), f"{a}:{want[a][0]}")
+        want.update({b: (path, hop) for b, path in reached.items()})
+        frontier = list(reached)
+    nodes = spark.createDataFrame([(n, "_", 0 if n == "n00" else -1) for n in names], "node string, path string, dist int")
+    edges = graph.stored(spark.createDataFrame(sorted(links), "src string, dst string"))
+    found = {r.node: (r.path, r.dist) for r in graph.shortest_paths(nodes, edges, 4).collect()}
+    assert found == {n: want.get(n, ("_", -1)) for n in names}
+
+
 def test_both_ways(spark, rows):
     edges = spark.createDataFrame([("a", "b"), ("b", "a"), ("c", "c"), ("a", "c")], "src string, dst string")
     assert rows(graph.both_ways(edges)) == [("a", "b"), ("a", "c"), ("b", "a"), ("c", "a")]
