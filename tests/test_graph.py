@@ -26,12 +26,14 @@ def py_common(lists):
 
 
 def test_common_neighbors_of_lists(lines):
-    edges = graph.parse_neighbor_lists(lines("A:B,C,D", "B:A,C,D,E", "C:A,B,D,E", "D:A,B,C,E", "E:B,C,D"))
+    """A wheel: the hub knows all five rim nodes, and each of those its two sides."""
+    edges = graph.parse_neighbor_lists(lines(
+        "hub:p,q,r,s,t", "p:hub,q,t", "q:hub,p,r", "r:hub,q,s", "s:hub,r,t", "t:hub,s,p"))
     found = neighbor_sets(graph.common_neighbors(edges))
-    assert found["A", "B"] == {"C", "D"}
-    assert found["B", "C"] == {"A", "D", "E"}
-    assert found["D", "E"] == {"B", "C"}
-    assert len(found) == 9
+    assert found["hub", "p"] == {"q", "t"}
+    assert found["p", "q"] == {"hub"}
+    assert found["s", "t"] == {"hub"}
+    assert len(found) == 10
 
 
 def test_one_sided_edge_gives_the_whole_list(lines):
@@ -49,8 +51,8 @@ def test_common_neighbors_at_random(spark, seed):
     assert neighbor_sets(graph.common_neighbors(edges)) == py_common(lists)
 
 
-ADJACENCY = ["B _ -1 A C D", "C _ -1 A B E", "E _ -1 D C F", "F _ -1 E G", "G _ -1 F", "A _ 0 B C", "D _ -1 B E",
-             "Z _ -1", "bad _ x A"]
+ADJACENCY = ["k1 _ 0 k2 k3", "k2 _ -1 k4", "k3 _ -1 k4 k5", "k4 _ -1 k6", "k5 _ -1 k6", "k6 _ -1 k1 k7", "k7 _ -1",
+             "alone _ -1", "bad _ x k1"]
 
 
 def paths(lines, rounds):
@@ -60,14 +62,14 @@ def paths(lines, rounds):
 
 def test_shortest_paths(lines):
     assert paths(lines, 4) == {
-        "A": ("_", 0), "B": ("A:_", 1), "C": ("A:_", 1), "D": ("B:A:_", 2), "E": ("C:A:_", 2),
-        "F": ("E:C:A:_", 3), "G": ("F:E:C:A:_", 4), "Z": ("_", -1)}
+        "k1": ("_", 0), "k2": ("k1:_", 1), "k3": ("k1:_", 1), "k4": ("k2:k1:_", 2), "k5": ("k3:k1:_", 2),
+        "k6": ("k4:k2:k1:_", 3), "k7": ("k6:k4:k2:k1:_", 4), "alone": ("_", -1)}
 
 
 def test_rounds_bound_the_search(lines):
     found = paths(lines, 2)
-    assert found["E"] == ("C:A:_", 2)
-    assert found["F"] == ("_", -1)
+    assert found["k5"] == ("k3:k1:_", 2)
+    assert found["k6"] == ("_", -1)
 
 
 def test_equal_paths_take_the_first_in_text_order(lines):

@@ -10,9 +10,9 @@ from lakeloom.plans import learning
 
 @pytest.fixture
 def training(spark):
+    """Two classes apart in the first feature."""
     return spark.createDataFrame([
-        (1.0, Vectors.dense(0.0, 1.1, 0.1)), (0.0, Vectors.dense(2.0, 1.0, -1.0)),
-        (0.0, Vectors.dense(2.0, 1.3, 1.0)), (1.0, Vectors.dense(0.0, 1.2, -0.5))], ["label", "features"])
+        (float(i % 2), Vectors.dense(3.0 * (i % 2) + i / 10, -i / 5, 1.0)) for i in range(8)], ["label", "features"])
 
 
 def test_parameters_can_be_overridden_for_one_fit(training):

@@ -79,9 +79,9 @@ def test_whitespace_is_ascii_only(lines):
 
 
 def test_last_token_above(lines, rows):
-    data = lines("1981   31 32  34", "1979 23\t25", "[1984]*40", "1985", "1986 3 x", "", "1981 31 45", "1990 [30]")
-    assert rows(columns.last_token_above(data)) == [("1981", 34), ("1981", 45), ("1984", 40)]
-    assert data.select(delimited_tokens("value")).first()[0] == ["1981", "31", "32", "34"]
+    data = lines("2001   31 32  34", "2002 23\t25", "[2003]*40", "2004", "2005 3 x", "", "2001 31 45", "2006 [30]")
+    assert rows(columns.last_token_above(data)) == [("2001", 34), ("2001", 45), ("2003", 40)]
+    assert data.select(delimited_tokens("value")).first()[0] == ["2001", "31", "32", "34"]
 
 
 def test_count_by_field_keeps_the_header_and_drops_short_lines(lines, rows):
