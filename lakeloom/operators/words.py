@@ -63,14 +63,16 @@ def cooccur_pairs(lines: DataFrame, block: int = 256) -> DataFrame:
     return counts.select(F.inline(orders))
 
 
-def cooccur_stripes(lines: DataFrame, prefix: int = 1) -> DataFrame:
-    """The same counts as maps: ``word, initial, stripe``.
+def cooccur_stripes(lines: DataFrame, max_entries: int = 100_000) -> DataFrame:
+    """The same counts as maps: ``word, part, stripe``, where ``stripe`` maps neighbours to counts.
 
-    The neighbours of a word are split over maps by their first ``prefix`` letters, so that a word
-    seen next to most of the vocabulary is not one row; raise ``prefix`` for very large vocabularies.
+    A word with more than ``max_entries`` neighbours has its stripe split over several parts of about
+    that size, so that no row and no task holds all neighbours of a word seen everywhere.
     """
     pairs = cooccur_pairs(lines)
-    return pairs.groupBy(F.col("first").alias("word"), F.left("second", F.lit(prefix)).alias("initial")).agg(
+    wide = pairs.groupBy("first").agg(F.ceil(F.count("*") / max_entries).alias("parts")).where(F.col("parts") > 1)
+    part = F.coalesce(F.pmod(F.xxhash64("second"), F.col("parts")), F.lit(0))
+    return pairs.join(wide, "first", "left").groupBy(F.col("first").alias("word"), part.alias("part")).agg(
         F.map_from_entries(F.collect_list(F.struct("second", "n"))).alias("stripe"))
 
 

@@ -49,7 +49,7 @@ def stripe_sizes(s, d) -> DataFrame:
     stripes = words.cooccur_stripes(document_lines(s, d))
     total = F.aggregate(F.map_values("stripe"), F.lit(0).cast("long"), lambda a, x: a + x)
     return stripes.select(
-        "word", "initial", F.size("stripe").cast("long").alias("n_words"), total.alias("n_pairs"),
+        "word", F.size("stripe").cast("long").alias("n_words"), total.alias("n_pairs"),
         F.array_max(F.map_keys("stripe")).alias("last_word"))
 
 
@@ -157,8 +157,8 @@ ORACLES = {
     SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) WHERE word <> '' GROUP BY 1""",
     "cooccur_pairs": f"""{_PAIRS} SELECT first AS word, count(*) AS n_partners, CAST(sum(n) AS BIGINT) AS n_pairs,
   max(n) AS top_count, CAST(sum(n * length(second)) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS mean_length FROM pairs GROUP BY 1""",
-    "cooccur_stripes": f"""{_PAIRS} SELECT first AS word, left(second, 1) AS initial, count(*) AS n_words,
-  CAST(sum(n) AS BIGINT) AS n_pairs, max(second) AS last_word FROM pairs GROUP BY 1, 2""",
+    "cooccur_stripes": f"""{_PAIRS} SELECT first AS word, count(*) AS n_words,
+  CAST(sum(n) AS BIGINT) AS n_pairs, max(second) AS last_word FROM pairs GROUP BY 1""",
     "common_neighbors": f"""{_EDGES}, pairs AS (SELECT src AS a, dst AS b FROM edges WHERE src < dst)
 SELECT a, b, neighbor FROM pairs LEFT JOIN (
   SELECT p.a, p.b, e.dst AS neighbor FROM pairs p JOIN edges e ON e.src = p.a

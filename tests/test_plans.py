@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as e
+from lakeloom.operators.joins import inner_join
 from lakeloom.plans import sales as reports
 from lakeloom.plans.star import sales_rows, sales_totals
 from lakeloom.sources.tables import Tables
@@ -73,3 +74,46 @@ def test_no_product_and_no_row_by_row_python(spark, small, name):
     text = plan(e.queries()[name](spark, small), whole=True)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text
+
+
+@pytest.fixture
+def small_partitions(spark):
+    """Thresholds at which a few megabytes look like terabytes."""
+    values = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hot_join_key_is_split(spark, small_partitions):
+    """Half of the rows share one key; the join spreads them over several tasks."""
+    left = spark.range(0, 200_000, numPartitions=8).select(
+        F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).cast("string").alias("k"),
+        F.sha2(F.col("id").cast("string"), 256).alias("x"))
+    right = spark.range(0, 200_000).select("id")
+    joined = inner_join(left, right, "k", "id", "bigint")
+    assert len(joined.collect()) == 200_000
+    assert "skew=true" in plan(joined)
+
+
+def test_hot_order_is_one_row_per_task_at_the_join(spark, small, tmp_path):
+    """Every line belongs to one order: the orders join then receives at most one row per scan task."""
+    folder = str(tmp_path)
+    Tables(spark, small)["orders"].write.parquet(f"{folder}/orders.parquet")
+    Tables(spark, small)["lineitem"].withColumn("l_orderkey", F.lit(1).cast("bigint")).repartition(6).write.parquet(
+        f"{folder}/lineitem.parquet")
+    t = Tables(spark, folder)
+    report = reports.revenue_year(sales_totals(t, []))
+    assert report.collect() == reports.revenue_year(sales_rows(t, ["sale_date", "sale_dollars"])).collect()
+    text = plan(report)
+    assert re.search(r"HashAggregate\(keys=\[l_orderkey#\d+L\], functions=\[partial_sum", text)

@@ -54,12 +54,14 @@ def test_long_line_is_cut_into_blocks(lines):
     assert got == py_pairs([text])
 
 
-def test_stripes_hold_the_pairs(lines):
+@pytest.mark.parametrize("max_entries", [100, 3])
+def test_stripes_hold_the_pairs(lines, max_entries):
     texts = random_lines(40, 20, 99)
     pairs = {(r.first, r.second): r.n for r in w.cooccur_pairs(lines(*texts)).collect()}
-    stripes = w.cooccur_stripes(lines(*texts)).collect()
+    stripes = w.cooccur_stripes(lines(*texts), max_entries).collect()
     assert {(r.word, other): n for r in stripes for other, n in r.stripe.items()} == pairs
-    assert all(other.startswith(r.initial) for r in stripes for other in r.stripe)
+    assert sum(len(r.stripe) for r in stripes) == len(pairs)
+    assert (max(r.part for r in stripes) > 0) == (max_entries == 3)
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
