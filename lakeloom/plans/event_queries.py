@@ -198,7 +198,8 @@ ORACLES = {
   WHERE event_id % 100 IN {_FAILED_FORMS}""",
     "ua_fields": f"""SELECT CAST(event_id AS VARCHAR) AS id, {', '.join(FIELDS)} FROM events
   JOIN {_AGENT_FIELDS} ON a.agent = {_AGENT_NO} WHERE {_VALID}""",
-    "packets": f"""WITH p AS (SELECT *, [80, 443, 8091, 8092, 22, 8080][CAST(event_id % 6 + 1 AS INTEGER)] AS port FROM events),
+    "packets": f"""WITH p AS (SELECT *, [80, 443, 8091, 8092, 22, 8080][CAST(event_id % 6 + 1 AS INTEGER)] AS port
+  FROM events),
 t AS (SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS received_at,
   CAST({_SPORT} AS INTEGER) AS sport, CAST({_DPORT} AS INTEGER) AS dport FROM p)
 SELECT event_id, 0 AS depth, 'Ether' AS layer_type, NULL AS protocol, received_at, CAST(NULL AS INTEGER) AS dport FROM t
@@ -217,7 +218,8 @@ UNION ALL SELECT NULL, {_FAILED_SQL}, NULL, NULL FROM events WHERE event_id % 10
   CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bottles
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2),
 promos AS (SELECT user_id AS store_number, CAST(floor(value) AS BIGINT) AS item_number, CAST(ts AS DATE) AS date,
-  value AS price, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS DOUBLE) / CAST(100 AS DOUBLE) AS discount FROM events)
+  value AS price, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS DOUBLE) / CAST(100 AS DOUBLE) AS discount
+  FROM events)
 SELECT store_number, item_number, date, price, discount, revenue, bottles, price * (1 - discount) AS promo_price
 FROM promos LEFT JOIN totals USING (store_number, item_number)""",
 }

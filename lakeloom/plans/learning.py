@@ -34,7 +34,7 @@ def params_used(model: Transformer) -> dict[str, Any]:
     return {param.name: value for param, value in model.extractParamMap().items()}
 
 
-def forest_pipeline(label: str, categories: Sequence[str], numbers: Sequence[str], seed: int,
+def forest_stages(label: str, categories: Sequence[str], numbers: Sequence[str], seed: int,
                     max_depth: int = 5) -> Pipeline:
     """Index categories (unseen ones get an index of their own), assemble features, grow a forest."""
     indexed = [f"{c}_index" for c in categories]
@@ -49,7 +49,7 @@ def fit_forest(data: DataFrame, label: str, categories: Sequence[str], numbers:
                seed: int = 42) -> tuple[PipelineModel, DataFrame]:
     """Train on 80 percent of the rows; gives the model and the other 20 percent, scored."""
     train, test = data.randomSplit([0.8, 0.2], seed)
-    model = forest_pipeline(label, categories, numbers, seed).fit(train)
+    model = forest_stages(label, categories, numbers, seed).fit(train)
     return model, model.transform(test)
 
 

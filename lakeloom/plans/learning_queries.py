@@ -58,7 +58,8 @@ QUERIES = {"ml_logreg": ml_logreg, "ml_forest": ml_forest, "ml_linreg": ml_linre
 # correlation divided by 1 + reg / stddev(label).
 ORACLES = {
     "ml_linreg": """WITH m AS (SELECT avg(l_quantity) AS mx, avg(l_extendedprice) AS my,
-  stddev_pop(l_quantity) AS sx, stddev_pop(l_extendedprice) AS sy, corr(l_extendedprice, l_quantity) AS r FROM lineitem),
+  stddev_pop(l_quantity) AS sx, stddev_pop(l_extendedprice) AS sy, corr(l_extendedprice, l_quantity) AS r
+  FROM lineitem),
 f AS (SELECT reg AS reg_param, r * sy / sx / (1 + reg / sy) AS slope, mx, my
   FROM m, (VALUES (CAST(0 AS DOUBLE)), (CAST(100 AS DOUBLE))) AS regs(reg))
 SELECT reg_param, round(slope, 4) AS slope,

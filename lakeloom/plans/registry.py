@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.plans import event_queries, frame_queries, io_queries, learning_queries, sales_queries, text_queries
 
-MODULES = [sales_queries, frame_queries, text_queries, io_queries, event_queries,
-           learning_queries]
+MODULES = [sales_queries, frame_queries, text_queries, io_queries, event_queries, learning_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

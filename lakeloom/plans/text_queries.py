@@ -38,7 +38,8 @@ def sale_lines(s, d) -> DataFrame:
 
 def measure_lines(s, d) -> DataFrame:
     li = Tables(s, d)["lineitem"]
-    return li.select(F.concat_ws(",", "l_returnflag", F.col("l_quantity").cast("string"), "l_linestatus").alias("value"))
+    quantity = F.col("l_quantity").cast("string")
+    return li.select(F.concat_ws(",", "l_returnflag", quantity, "l_linestatus").alias("value"))
 
 
 def document_lines(s, d) -> DataFrame:
@@ -156,7 +157,8 @@ ORACLES = {
   SELECT unnest(string_split(line, ' ')) AS word FROM (
     SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) WHERE word <> '' GROUP BY 1""",
     "cooccur_pairs": f"""{_PAIRS} SELECT first AS word, count(*) AS n_partners, CAST(sum(n) AS BIGINT) AS n_pairs,
-  max(n) AS top_count, CAST(sum(n * length(second)) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS mean_length FROM pairs GROUP BY 1""",
+  max(n) AS top_count,
+  CAST(sum(n * length(second)) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS mean_length FROM pairs GROUP BY 1""",
     "cooccur_stripes": f"""{_PAIRS} SELECT first AS word, count(*) AS n_words,
   CAST(sum(n) AS BIGINT) AS n_pairs, max(second) AS last_word FROM pairs GROUP BY 1""",
     "common_neighbors": f"""{_EDGES}, pairs AS (SELECT src AS a, dst AS b FROM edges WHERE src < dst)

@@ -25,6 +25,8 @@ SESSION_CONF = {
     # Keys of streaming deduplication live on disk, not on the executors' heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Of a key given twice in a JSON object the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 

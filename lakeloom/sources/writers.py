@@ -37,6 +37,14 @@ def write_mart_batch(path: str):
     return write
 
 
+def write_mart_batch_jdbc(options: dict[str, str]):
+    """A micro-batch writer over JDBC. The batch number is a column of the mart: a batch that comes again
+    after a failure appends again, and its first, possibly partial, rows carry the same number."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        write_mart(df.withColumn("batch_id", F.lit(batch_id)), options)
+    return write
+
+
 def write_partitioned(df: DataFrame, path: str, *keys: str, fmt: str = "parquet", mode: str = "overwrite",
                       **options: str) -> None:
     """One folder per key value. Rows are brought together by key first, so that a task does not open

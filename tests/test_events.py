@@ -47,6 +47,10 @@ def test_missing_user_agent_and_numeric_id(raw):
     assert tuple(json.loads(row.value)[f] for f in FIELDS) == NO_AGENT
 
 
+def test_last_of_repeated_keys_counts(raw):
+    assert events.route(raw('{"id": "a", "id": "b"}')).first().key == "b"
+
+
 def test_enrichments_chain(raw):
     shout = lambda df: df.withColumn("loud", F.upper(F.col("browser_family")))
     row = events.route(raw(json.dumps({"id": "x", "user_agent": AGENTS[0][0]})),

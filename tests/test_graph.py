@@ -100,7 +100,8 @@ def test_paths_at_random_match_breadth_first_search(spark):
                 reached[b] = min(reached.get(b, "~"), f"{a}:{want[a][0]}")
         want.update({b: (path, hop) for b, path in reached.items()})
         frontier = list(reached)
-    nodes = spark.createDataFrame([(n, "_", 0 if n == "n00" else -1) for n in names], "node string, path string, dist int")
+    nodes = spark.createDataFrame(
+        [(n, "_", 0 if n == "n00" else -1) for n in names], "node string, path string, dist int")
     edges = graph.stored(spark.createDataFrame(sorted(links), "src string, dst string"))
     found = {r.node: (r.path, r.dist) for r in graph.shortest_paths(nodes, edges, 4).collect()}
     assert found == {n: want.get(n, ("_", -1)) for n in names}

@@ -1,5 +1,7 @@
 """Readers, writers, tables and partitions."""
 
+from unittest.mock import MagicMock, call
+
 import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
@@ -98,6 +100,21 @@ def test_jdbc_options():
                     "batchsize": "2000", "numPartitions": "1", "truncate": "true"}
 
 
+def test_jdbc_writer_calls():
+    """Without a database: the calls that reach Spark's writer."""
+    df = MagicMock()
+    options = writers.jdbc_options("jdbc:x", "t", truncate=True)
+    writers.write_mart(df, options, "overwrite")
+    assert df.mock_calls == call.write.format("jdbc").options(**options).mode("overwrite").save().call_list()
+
+
+def test_jdbc_batch_carries_its_number(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(writers, "write_mart", lambda df, options: written.append((df.collect(), options)))
+    writers.write_mart_batch_jdbc({"url": "jdbc:x"})(spark.range(1), 4)
+    assert written == [([Row(id=0, batch_id=4)], {"url": "jdbc:x"})]
+
+
 def test_repeated_batch_replaces_itself(spark, tmp_path):
     write = writers.write_mart_batch(str(tmp_path / "mart"))
     for batch, n in [(0, 3), (1, 2), (1, 2)]:
@@ -189,7 +206,8 @@ def test_kept_frame_is_released(spark):
 
 
 def test_user_scripts(lines, rows):
-    pairs = scripts.map_lines(lines("a b a", "", "b c"), lambda x, n: [(w, n) for w in x.split()], "w string, n int", n=1)
+    pairs = scripts.map_lines(
+        lines("a b a", "", "b c"), lambda x, n: [(w, n) for w in x.split()], "w string, n int", n=1)
     total = scripts.reduce_groups(
         pairs, "w", lambda g: g.groupby("w", as_index=False)["n"].sum(), "w string, n int")
     assert rows(total) == [("a", 2), ("b", 2), ("c", 1)]

@@ -69,7 +69,8 @@ def test_stripes_hold_the_pairs(lines, max_entries):
 def test_word_count_and_cleaning(lines, texts):
     df = lines(*texts)
     assert {r.word: r.n for r in w.word_count(df).collect()} == Counter(t for x in texts for t in x.split())
-    cleaned = Counter(r.t for r in df.select(F.explode(words("value")).alias("t")).select(clean_word("t").alias("t")).collect())
+    tokens = df.select(F.explode(words("value")).alias("t"))
+    cleaned = Counter(r.t for r in tokens.select(clean_word("t").alias("t")).collect())
     assert cleaned == Counter(py_clean(t) for x in texts for t in x.split())
     whole = [r.t for r in df.select(clean_words("value").alias("t")).collect()]
     assert sorted(whole) == sorted([c for c in map(py_clean, x.split()) if c] for x in texts)
