@@ -21,7 +21,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
-    con = duckdb.connect()
+    con = duckdb.connect(config={"memory_limit": "8GB"})
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
     return con
@@ -69,7 +69,7 @@ if __name__ == "__main__":
     sf, *names = sys.argv[1:] or ["0.01"]
     where = f"/root/testdata/sf{sf}"
     session = build_session("oracle", "local[8]", **{
-        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "20g", "spark.ui.enabled": "false"})
+        "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "12g", "spark.ui.enabled": "false"})
     session.sparkContext.setLogLevel("ERROR")
     db = connect(where)
     failed = 0
