@@ -11,12 +11,14 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def map_lines(lines: DataFrame, mapper: Callable[..., Iterable[tuple]], schema: str, **params: Any) -> DataFrame:
     """Apply ``mapper(line, **params)``, which gives zero or more output rows, to each text line."""
+    names = StructType.fromDDL(schema).names
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [part.split()[0] for part in schema.split(",")]
         for batch in batches:
             rows = [row for line in batch["value"] for row in mapper(line, **params)]
             yield pd.DataFrame(rows, columns=names)
