@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.llm import quality_rules
+from lakeloom.llm import exact_dedup, quality_rules
 from lakeloom.sources.tables import Tables
 
 
@@ -14,8 +14,20 @@ def op4(spark, folder):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6(spark, folder):
+    return exact_dedup.exact_dedup(Tables(spark, folder)["documents"])
+
+
 QUERIES = {
     "op4_quality_rules": op4,
+    "op6_exact_dedup": op6,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_exact_dedup": """
+        WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+               doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
+        FROM d WINDOW g AS (PARTITION BY t)""",
+}
