@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.llm import exact_dedup, quality_rules
+from lakeloom.llm import exact_dedup, near_dup, quality_rules
 from lakeloom.sources.tables import Tables
 
 
@@ -18,9 +18,14 @@ def op6(spark, folder):
     return exact_dedup.exact_dedup(Tables(spark, folder)["documents"])
 
 
+def op10(spark, folder):
+    return near_dup.near_dup(Tables(spark, folder)["documents"])
+
+
 QUERIES = {
     "op4_quality_rules": op4,
     "op6_exact_dedup": op6,
+    "op10_near_dup": op10,
 }
 
 ORACLES: dict[str, str] = {
