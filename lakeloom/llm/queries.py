@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.llm import exact_dedup, near_dup, quality_rules
+from lakeloom.llm import exact_dedup, near_dup, quality_rules, tokens
 from lakeloom.sources.tables import Tables
 
 
@@ -22,9 +22,14 @@ def op10(spark, folder):
     return near_dup.near_dup(Tables(spark, folder)["documents"])
 
 
+def op8(spark, folder):
+    return tokens.token_counts(Tables(spark, folder)["documents"])
+
+
 QUERIES = {
     "op4_quality_rules": op4,
     "op6_exact_dedup": op6,
+    "op8_token_counts": op8,
     "op10_near_dup": op10,
 }
 
