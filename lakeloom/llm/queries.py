@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.llm import exact_dedup, near_dup, quality_rules, tokens
+from lakeloom.llm import exact_dedup, mixing, near_dup, quality_rules, tokens
 from lakeloom.sources.tables import Tables
 
 
@@ -26,9 +26,15 @@ def op8(spark, folder):
     return tokens.token_counts(Tables(spark, folder)["documents"])
 
 
+def op7(spark, folder):
+    return mixing.mix(Tables(spark, folder)["documents"]).select(
+        "doc_id", "size", "source_size", "target", "taken", "source")
+
+
 QUERIES = {
     "op4_quality_rules": op4,
     "op6_exact_dedup": op6,
+    "op7_mixing": op7,
     "op8_token_counts": op8,
     "op10_near_dup": op10,
 }
