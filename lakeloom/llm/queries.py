@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakeloom.llm import exact_dedup, mixing, near_dup, quality_rules, tokens
+from lakeloom.llm import exact_dedup, mixing, near_dup, packing, quality_rules, tokens
 from lakeloom.sources.tables import Tables
 
 
@@ -31,11 +31,16 @@ def op7(spark, folder):
         "doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op9(spark, folder):
+    return packing.pack(Tables(spark, folder)["documents"])
+
+
 QUERIES = {
     "op4_quality_rules": op4,
     "op6_exact_dedup": op6,
     "op7_mixing": op7,
     "op8_token_counts": op8,
+    "op9_packing": op9,
     "op10_near_dup": op10,
 }
 
