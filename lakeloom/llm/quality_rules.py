@@ -151,11 +151,13 @@ def certified_cutoffs(holdout: DataFrame, rules: Mapping[str, str] = RULES,
 
 
 def verdict(rules: Mapping[str, str] = RULES) -> Column:
-    """Whether a row with counts, and the cutoffs of its stratum, is kept."""
-    hit = F.lit(False)
-    for name, sql in rules.items():
-        hit = hit | F.coalesce(F.expr(f"{sql} >= cut_{name}"), F.lit(False))
-    return ~base_failed() & ~hit
+    """Whether a row with counts, and the cutoffs of its stratum, is kept.
+
+    One number over counts and cutoffs, not a conjunction: Spark would push the part on counts below the join and down
+    to the scan as a filter, and there write out every count anew wherever it is named.
+    """
+    hits = [base_failed()] + [F.coalesce(F.expr(f"{sql} >= cut_{name}"), F.lit(False)) for name, sql in rules.items()]
+    return F.greatest(*[h.cast("int") for h in hits]) == 0
 
 
 def one_verdict(labels: DataFrame) -> DataFrame:

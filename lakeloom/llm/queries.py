@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lakeloom.llm import exact_dedup, mixing, near_dup, packing, quality_rules, tokens
 from lakeloom.sources.tables import Tables
 
@@ -36,6 +37,7 @@ def op9(spark, folder):
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op4_quality_rules": op4,
     "op6_exact_dedup": op6,
     "op7_mixing": op7,
