@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeloom.llm import exact_dedup, mixing, near_dup, packing, quality_rules, tokens
+from lakeloom.llm import exact_dedup, mixing, near_dup, packing, quality_rules, sharding, tokens
 from lakeloom.sources.tables import Tables
 
 
@@ -36,8 +36,13 @@ def op9(spark, folder):
     return packing.pack(Tables(spark, folder)["documents"])
 
 
+def op3(spark, folder):
+    return sharding.shard(Tables(spark, folder)["documents"])
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op3_sharding": op3,
     "op4_quality_rules": op4,
     "op6_exact_dedup": op6,
     "op7_mixing": op7,
