@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeloom.llm import exact_dedup, mixing, near_dup, packing, quality_rules, sharding, tokens
+from lakeloom.llm import exact_dedup, mixing, near_dup, packing, quality_rules, sharding, tokens, warc
 from lakeloom.sources.tables import Tables
 
 
@@ -40,10 +40,15 @@ def op3(spark, folder):
     return sharding.shard(Tables(spark, folder)["documents"])
 
 
+def op5(spark, folder):
+    return warc.round_trip(Tables(spark, folder)["pages"])
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op3_sharding": op3,
     "op4_quality_rules": op4,
+    "op5_warc": op5,
     "op6_exact_dedup": op6,
     "op7_mixing": op7,
     "op8_token_counts": op8,
