@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeloom.llm import exact_dedup, mixing, near_dup, packing, quality_rules, sharding, tokens, warc
+from lakeloom.llm import exact_dedup, mixing, near_dup, packing, quality_model, quality_rules, secret_scan, sharding, tokens, warc
 from lakeloom.sources.tables import Tables
 
 
@@ -44,8 +44,22 @@ def op5(spark, folder):
     return warc.round_trip(Tables(spark, folder)["pages"])
 
 
+def op2(spark, folder):
+    return secret_scan.secret_scan(Tables(spark, folder)["documents"])
+
+
+def op1(spark, folder):
+    """Grades from the labels: 0 toxic, 1 poor, 2 good."""
+    t = Tables(spark, folder)
+    grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
+    ratings = t["labels"].select("doc_id", grade.alias("grade"))
+    return quality_model.scored(t["documents"], quality_model.fit(t["documents"], ratings, grades=3))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
+    "op1_quality_model": op1,
+    "op2_secret_scan": op2,
     "op3_sharding": op3,
     "op4_quality_rules": op4,
     "op5_warc": op5,
