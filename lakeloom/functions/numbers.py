@@ -26,10 +26,6 @@ def exact_total(df: DataFrame, name: str) -> Column:
     return exact_sum(df, name).cast("double")
 
 
-def exact_mean(df: DataFrame, name: str) -> Column:
-    return exact_total(df, name) / F.count(name)
-
-
 def zero_if_null(col: Column) -> Column:
     return F.coalesce(col, F.lit(0.0))
 

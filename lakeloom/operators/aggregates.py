@@ -7,15 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.functions.numbers import exact_mean, exact_total
 from lakeloom.functions.text import as_column, field, parse_double, parse_int, strip_ascii
 
 
-def sums_and_means(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """``sum_c`` and ``avg_c`` for every column ``c``."""
+def sums_and_means(df: DataFrame, keys: Sequence[str], columns: Sequence[str], exact: str | None = None) -> DataFrame:
+    """``sum_c`` and ``avg_c`` for every column ``c``, as doubles.
+
+    ``exact`` names a decimal type to add up in, so that the result does not depend on the order of tasks. The values must fit
+    it; without it they are added up as they are and no digit is lost to rounding.
+    """
+    def total(c: str) -> Column:
+        return F.sum(F.col(c).cast(exact) if exact else F.col(c)).cast("double")
+
     return df.groupBy(*keys).agg(*[
-        agg for c in columns
-        for agg in (exact_total(df, c).alias(f"sum_{c}"), exact_mean(df, c).alias(f"avg_{c}"))])
+        agg for c in columns for agg in (total(c).alias(f"sum_{c}"), (total(c) / F.count(c)).alias(f"avg_{c}"))])
 
 
 def group_count(df: DataFrame, *keys: str) -> DataFrame:
@@ -36,11 +41,15 @@ def first_by(df: DataFrame, keys: Sequence[str], column: str, order: Sequence[st
     return df.groupBy(*keys).agg(F.min_by(column, F.struct(*order)).alias(f"first_{column}"))
 
 
-def mean_parts(df: DataFrame, column: str | Column) -> DataFrame:
-    """Sum, count and mean of the values that are numbers."""
-    x = as_column(column).try_cast("double")
+def mean_parts(df: DataFrame, column: str | Column, exact: str | None = None) -> DataFrame:
+    """Sum, count and mean of the values that are numbers.
+
+    Sums of doubles depend on the order of tasks in their last digits; ``exact`` names a decimal type in which they do not.
+    """
+    x = as_column(column).try_cast(exact or "double")
+    total = F.sum("x").cast("double")
     return df.select(x.alias("x")).agg(
-        F.sum("x").alias("total"), F.count("x").alias("n"), F.avg("x").alias("mean"))
+        total.alias("total"), F.count("x").alias("n"), F.try_divide(total, F.count("x")).alias("mean"))
 
 
 def variance_parts(df: DataFrame, column: str | Column) -> DataFrame:

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+SLICES = 1024  # of the tasks; a key has at most so many partial results at the end
+
+
 def map_lines(lines: DataFrame, mapper: Callable[..., Iterable[tuple]], schema: str, **params: Any) -> DataFrame:
     """Apply ``mapper(line, **params)``, which gives zero or more output rows, to each text line."""
     names = StructType.fromDDL(schema).names
@@ -30,10 +33,15 @@ def reduce_groups(pairs: DataFrame, key: str, reducer: Callable[[pd.DataFrame],
                   schema: str) -> DataFrame:
     """Apply an associative ``reducer`` to the rows of each key.
 
-    Its output has the columns of its input. Rows of a key are first reduced per upstream task and
-    the results then reduced once more, so that a hot key is never in one task as a whole.
+    Its output has the columns of its input. Every batch is reduced where it lies, before anything is shuffled,
+    and the results once more per key and slice of tasks, so that a hot key never meets in one task as a whole.
     """
+    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for _, group in batch.groupby(key, dropna=False, sort=False):
+                yield reducer(group)
+
+    combined = pairs.mapInPandas(combine, schema).withColumn("_slice", F.pmod(F.spark_partition_id(), F.lit(SLICES)))
     names = pairs.columns
-    by_task = pairs.withColumn("_task", F.spark_partition_id())
-    partial = by_task.groupBy(key, "_task").applyInPandas(lambda g: reducer(g[names]), schema)
+    partial = combined.groupBy(key, "_slice").applyInPandas(lambda g: reducer(g[names]), schema)
     return partial.groupBy(key).applyInPandas(reducer, schema)

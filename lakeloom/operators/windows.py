@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions.numbers import percent_change, zero_if_null
+from lakeloom.session import workspace
 
 
 def top_k_per(df: DataFrame, part: Sequence[str], order: Sequence[Column], k: int,
@@ -21,6 +22,15 @@ def top_k_per(df: DataFrame, part: Sequence[str], order: Sequence[Column], k: in
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
 
 
+def first_rows(df: DataFrame, order: Sequence[Column], n: int, groups: int = 1024) -> DataFrame:
+    """The first ``n`` rows of all, chosen in two steps: first in ``groups`` groups of tasks, then among those.
+
+    Each task sends at most ``n`` rows to its group, and the last step sees at most ``groups`` x ``n``, however many tasks there are.
+    """
+    grouped = df.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(groups)))
+    return top_k_per(grouped, ["_group"], order, n, "_place").drop("_group", "_place").orderBy(*order).limit(n)
+
+
 def with_previous(df: DataFrame, keys: Sequence[str], period: str, value: str, pct: str,
                   previous: str = "prev_revenue") -> DataFrame:
     """Add the value of the previous period present in each group, and the change in percent.
@@ -50,50 +60,38 @@ def moving_average(df: DataFrame, order: str, value: str, out: str, n: int = 3)
     return df.withColumn(out, F.avg(value).over(w))
 
 
-# At most this many groups count as hot, which bounds the tables that ``ranked`` broadcasts.
-MAX_HOT_GROUPS = 10_000
-
-
 def ranked(df: DataFrame, part: Sequence[str], order: str, ties: Sequence[str] = (), *,
            row_number: str | None = None, rank: str | None = None, dense_rank: str | None = None,
-           lag: tuple[str, int, str] | None = None, hot_rows: int = 5_000_000, chunks: int = 64) -> DataFrame:
+           lag: tuple[str, int, str] | None = None) -> DataFrame:
     """Rank functions over groups of any size, ordered by ``order`` and then ``ties``, ascending.
 
     Each keyword names the output column of one function; ``lag`` is ``(column, n, output)``.
-    A hot group is cut by quantiles of ``order`` (a number, date or timestamp) into up to ``chunks``
-    parts that different tasks sort. Equal values of ``order`` stay in one chunk, so the ranks inside
-    a chunk need only an offset: the rows, or distinct values, in the chunks before it. All other
-    groups keep the plain window.
-
-    A group is hot above ``hot_rows`` rows and above 1/10,000 of all rows, whichever is more. So there are
-    fewer than ``MAX_HOT_GROUPS`` of them, and cut points and offsets (one row per chunk) are small
-    enough to broadcast whatever the size of the data.
+    The rows are sorted by range on group, order and ties, and stored once with the number of their range. A group is then one or
+    more pieces, each within one range; its size, its order values or how often they repeat do not matter, as equal rows
+    may lie in different ranges too. Ranks inside a piece need only an offset, which comes from one summary row per piece.
     """
-    part = list(part)
-    split = _cut_hot_groups(df, part, order, hot_rows, chunks)
-    by_chunk = [*part, "_hot", "_chunk"]
-    offsets = _chunk_offsets(split, by_chunk, part, order, distinct=dense_rank is not None)
-    w = Window.partitionBy(*by_chunk).orderBy(order, *ties)
-    by_value = Window.partitionBy(*by_chunk).orderBy(order)
-
-    local = split.withColumn("_row", F.row_number().over(w))
+    part, keys = list(part), ["_range", *part]
+    rows = _by_range(df, part, order, ties)
+    w = Window.partitionBy(*keys).orderBy(order, *ties, "_row_id")
+    by_value = Window.partitionBy(*keys).orderBy(order)
+    pieces = _pieces(rows, keys, part, order, values=bool(dense_rank))
+
+    local = rows.withColumn("_row", F.row_number().over(w))
     if rank:
-        local = local.withColumn(rank, F.rank().over(by_value))
+        local = local.withColumn("_rank", F.rank().over(by_value))
     if dense_rank:
-        local = local.withColumn(dense_rank, F.dense_rank().over(by_value))
+        local = local.withColumn("_dense", F.dense_rank().over(by_value))
     if lag:
         local = local.withColumn(lag[2], F.lag(lag[0], lag[1]).over(w))
-
-    out = _left_join_on(local, F.broadcast(offsets), by_chunk)
-    before = F.coalesce("_rows_before", F.lit(0))
-    out = out.withColumn("_position", F.col("_row") + before)
+    out = _left_join_on(local, pieces, keys).withColumn("_position", F.col("_before") + F.col("_row"))
+    goes_on = F.col("_goes_on") & F.col(order).eqNullSafe(F.col("_first"))
     if rank:
-        out = out.withColumn(rank, (F.col(rank) + before).cast("long"))
+        out = out.withColumn(rank, F.when(goes_on, F.col("_run_start")).otherwise(
+            F.col("_before") + F.col("_rank") - 1) + 1)
     if dense_rank:
-        out = out.withColumn(
-            dense_rank, (F.col(dense_rank) + F.coalesce("_values_before", F.lit(0))).cast("long"))
+        out = out.withColumn(dense_rank, F.col("_values_before") + F.col("_dense"))
     if lag:
-        out = _lag_across_chunks(out, part, *lag)
+        out = _lag_across_pieces(out, part, *lag)
     if row_number:
         out = out.withColumn(row_number, F.col("_position"))
     return out.select(*df.columns, *[c for c in (row_number, rank, dense_rank, lag and lag[2]) if c])
@@ -106,43 +104,46 @@ def _left_join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Dat
     return left.join(renamed, on, "left").drop(*[f"_r_{k}" for k in keys])
 
 
-def _cut_hot_groups(df: DataFrame, part: list[str], order: str, hot_rows: int, chunks: int) -> DataFrame:
-    """Add ``_hot`` and ``_chunk``; chunk 0 holds the whole group unless the group is hot."""
-    steps = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
-    share = df.select(F.count("*") / MAX_HOT_GROUPS).scalar()
-    hot = df.groupBy(*part).agg(F.count("*").alias("_n")).where(
-        F.col("_n") > F.greatest(F.lit(float(hot_rows)), share)).drop("_n")
-    marked = _left_join_on(df, F.broadcast(hot.withColumn("_hot", F.lit(True))), part).where("_hot")
-    cuts = marked.groupBy(*part).agg(
-        F.percentile_approx(order, steps, F.lit(20 * chunks)).alias("_cuts"))
-    passed = F.size(F.filter("_cuts", lambda c: c < F.col(order)))
-    return _left_join_on(df, F.broadcast(cuts), part).select(
-        *df.columns,
-        F.col("_cuts").isNotNull().alias("_hot"),
-        F.when(F.col("_cuts").isNotNull(), passed).otherwise(0).alias("_chunk"))
+def _by_range(df: DataFrame, part: list[str], order: str, ties: Sequence[str]) -> DataFrame:
+    """``df`` stored in order, with ``_range`` and ``_row_id``, which makes every row different."""
+    by = [*part, order, *ties, "_row_id"]
+    tagged = df.withColumn("_row_id", F.monotonically_increasing_id())
+    path = workspace(df.sparkSession, "ranges")
+    tagged.repartitionByRange(*by).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
-def _chunk_offsets(split: DataFrame, by_chunk: list[str], part: list[str], order: str,
-                   distinct: bool) -> DataFrame:
-    earlier = Window.partitionBy(*part).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+def _pieces(rows: DataFrame, keys: list[str], part: list[str], order: str, values: bool) -> DataFrame:
+    """One row per piece: rows and values before it in its group, its first value, whether that goes on from the piece before
+    (``_goes_on``), and the position at which the run of that value starts (``_run_start``).
+
+    A group has at most as many pieces as there are ranges.
+    """
     # NULL is one more distinct value of ``order`` for dense_rank.
-    n_values = F.count_distinct(order) + F.max(F.col(order).isNull().cast("int")) if distinct else F.lit(0)
-    sizes = split.where("_hot").groupBy(*by_chunk).agg(
-        F.count("*").alias("_rows"), n_values.alias("_values"))
-    return sizes.select(
-        *by_chunk,
-        F.col("_rows").alias("_chunk_rows"),
-        F.sum("_rows").over(earlier).alias("_rows_before"),
-        F.sum("_values").over(earlier).alias("_values_before"))
-
-
-def _lag_across_chunks(out: DataFrame, part: list[str], column: str, n: int, name: str) -> DataFrame:
-    """Fill the first ``n`` rows of a chunk from the last ``n`` rows of the chunks before it."""
-    tails = out.where(F.col("_hot") & (F.col("_row") > F.col("_chunk_rows") - n)).select(
+    n_values = F.count_distinct(order) + F.max(F.col(order).isNull().cast("int")) if values else F.lit(0)
+    low = F.struct(F.col(order).isNotNull().alias("set"), order)
+    runs = rows.groupBy(*keys, order).agg(F.count("*").alias("_n"))
+    ends = runs.groupBy(*keys).agg(
+        F.sum("_n").alias("_rows"), n_values.cast("long").alias("_values"), F.min(low)[order].alias("_first"),
+        F.max(low)[order].alias("_last"), F.max_by("_n", low).alias("_n_last"))
+    w = Window.partitionBy(*part).orderBy("_range")
+    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = F.coalesce((F.row_number().over(w) > 1) & F.col("_first").eqNullSafe(F.lag("_last").over(w)), F.lit(False))
+    p = ends.withColumn("_goes_on", goes_on).withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    new = F.when(~(F.col("_goes_on") & F.col("_first").eqNullSafe(F.col("_last"))),
+                 F.col("_before") + F.col("_rows") - F.col("_n_last"))
+    repeats = F.sum(F.col("_goes_on").cast("long")).over(w)
+    return p.withColumn("_new", new).select(
+        *keys, "_before", "_goes_on", "_first", "_rows",
+        (F.coalesce(F.sum("_values").over(earlier), F.lit(0)) - repeats).alias("_values_before"),
+        F.last("_new", ignorenulls=True).over(earlier).alias("_run_start"))
+
+
+def _lag_across_pieces(out: DataFrame, part: list[str], column: str, n: int, name: str) -> DataFrame:
+    """Fill the first ``n`` rows of a piece from the last ``n`` rows of the pieces before it."""
+    tails = out.where(F.col("_row") > F.col("_rows") - n).select(
         *part, (F.col("_position") + n).alias("_wanted"), F.col(column).alias("_carried"))
-    # ``n`` rows for each chunk: as small as the offsets for the usual short lag, else left to Spark.
-    tails = F.broadcast(tails) if n <= 4 else tails
-    head = F.col("_hot") & (F.col("_chunk") > 0) & (F.col("_row") <= n)
+    head = (F.col("_before") > 0) & (F.col("_row") <= n)
     heads = out.withColumn("_wanted", F.when(head, F.col("_position")))
     filled = heads.join(
         tails.withColumnsRenamed({k: f"_r_{k}" for k in part} | {"_wanted": "_r_wanted"}),

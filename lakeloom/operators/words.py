@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import clean_words, words
+from lakeloom.session import workspace
 
 
 def lines_of(df: DataFrame, text: str = "text") -> DataFrame:
@@ -28,33 +29,49 @@ def line_bags(lines: DataFrame) -> DataFrame:
 
 
 def _weighted_words(bags: DataFrame) -> DataFrame:
-    """``bag``: array of (word, times in the line), sorted by word."""
-    times = F.transform(F.array_distinct("tokens"), lambda w: F.struct(
-        w.alias("w"), (F.size("tokens") - F.size(F.array_remove(F.col("tokens"), w))).cast("long").alias("n")))
-    return bags.select("copies", F.size(F.array_distinct("tokens")).alias("n_words"), times.alias("bag"))
+    """``bag``: array of (word, times in the line), sorted by word. One pass: a word's run ends where the next one starts."""
+    at, tokens = F.col("starts"), F.col("tokens")
+    starts = F.filter(
+        F.transform("tokens", lambda w, i: F.when(w.eqNullSafe(F.get("tokens", i - 1)), -1).otherwise(i)), lambda i: i >= 0)
+    times = F.transform(at, lambda i, k: F.struct(
+        F.get(tokens, i).alias("w"), (F.coalesce(F.get(at, k + 1), F.size(tokens)) - i).cast("long").alias("n")))
+    return bags.select("copies", "tokens", starts.alias("starts")).select(
+        "copies", F.size("starts").alias("n_words"), times.alias("bag"))
+
+
+def _block_pairs(blocks: DataFrame, block: int) -> DataFrame:
+    """``x, y, copies`` for every sorted pair of two blocks ``a, b`` of a line."""
+    left = blocks.select("copies", "same", "b", F.posexplode("a").alias("at", "x"))
+    later = F.when(F.col("same"), F.slice("b", F.col("at") + 2, block)).otherwise(F.col("b"))
+    return left.select("copies", "x", F.explode(later).alias("y"))
 
 
-def cooccur_pairs(lines: DataFrame, block: int = 256) -> DataFrame:
+def cooccur_pairs(lines: DataFrame, block: int = 256, task_blocks: int = 256) -> DataFrame:
     """How often each ordered pair of different words shares a line: ``first, second, n``.
 
     A pair counts (times of first) x (times of second) in each line. Both orders of a pair have the
-    same count, so only sorted pairs are added up. The words of a line are cut into blocks, and each
-    pair of blocks is a row of its own. Those rows are spread over all shuffle partitions: they are
-    small, but each gives up to ``block`` x ``block`` pairs, so tasks must not be sized by bytes here.
+    same count, so only sorted pairs are added up. The bags are stored; a line of up to ``block`` words gives its pairs
+    where it lies. A longer one is cut into blocks, each pair of blocks a row of its own, and these rows are spread over as
+    many tasks as their number asks for, ``task_blocks`` to a task.
     """
-    weighted = _weighted_words(line_bags(lines))
-    last = F.greatest(F.ceil(F.col("n_words") / block).cast("int"), F.lit(1)) - 1
-    first = weighted.withColumn("i", F.explode_outer(F.sequence(F.lit(0), last)))
-    both = first.withColumn("j", F.explode_outer(F.sequence(F.col("i"), last)))
-    n_tasks = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = lines.sparkSession
+    path = workspace(spark, "bags")
+    _weighted_words(line_bags(lines)).write.parquet(path)
+    weighted = spark.read.parquet(path)
+    short = weighted.where(F.col("n_words") <= block).select(
+        "copies", F.lit(True).alias("same"), F.col("bag").alias("a"), F.col("bag").alias("b"))
+
+    long = weighted.where(F.col("n_words") > block)
+    last = F.ceil(F.col("n_words") / block).cast("int") - 1
+    n_blocks = long.agg(F.sum((last + 1) * (last + 2) / 2)).first()[0] or 0
+    n_tasks = n_blocks // task_blocks + 1
+    first = long.withColumn("i", F.explode(F.sequence(F.lit(0), last)))
+    both = first.withColumn("j", F.explode(F.sequence(F.col("i"), last)))
     blocks = both.select(
         "copies", (F.col("i") == F.col("j")).alias("same"),
         F.slice("bag", F.col("i") * block + 1, block).alias("a"),
-        F.slice("bag", F.col("j") * block + 1, block).alias("b")).repartition(n_tasks, F.xxhash64("a", "b"))
-
-    left = blocks.select("copies", "same", "b", F.posexplode("a").alias("at", "x"))
-    later = F.when(F.col("same"), F.slice("b", F.col("at") + 2, block)).otherwise(F.col("b"))
-    pairs = left.select("copies", "x", F.explode(later).alias("y"))
+        F.slice("bag", F.col("j") * block + 1, block).alias("b")).repartition(int(n_tasks), F.xxhash64("a", "b"))
+    pairs = _block_pairs(short, block).unionByName(_block_pairs(blocks, block))
     counts = pairs.groupBy(F.col("x.w").alias("lo"), F.col("y.w").alias("hi")).agg(
         F.sum(F.col("x.n") * F.col("y.n") * F.col("copies")).alias("n"))
     orders = F.array(
@@ -63,22 +80,23 @@ def cooccur_pairs(lines: DataFrame, block: int = 256) -> DataFrame:
     return counts.select(F.inline(orders))
 
 
-def cooccur_stripes(lines: DataFrame, max_entries: int = 100_000) -> DataFrame:
+def cooccur_stripes(lines: DataFrame, parts: int = 64) -> DataFrame:
     """The same counts as maps: ``word, part, stripe``, where ``stripe`` maps neighbours to counts.
 
-    A word with more than ``max_entries`` neighbours has its stripe split over several parts of about
-    that size, so that no row and no task holds all neighbours of a word seen everywhere.
+    Every word's neighbours are dealt to ``parts`` parts by their hash, whatever their number, and a part without
+    neighbours has no row. So no row and no task holds all neighbours of a word seen everywhere.
     """
-    pairs = cooccur_pairs(lines)
-    wide = pairs.groupBy("first").agg(F.ceil(F.count("*") / max_entries).alias("parts")).where(F.col("parts") > 1)
-    part = F.coalesce(F.pmod(F.xxhash64("second"), F.col("parts")), F.lit(0))
-    return pairs.join(wide, "first", "left").groupBy(F.col("first").alias("word"), part.alias("part")).agg(
+    part = F.pmod(F.xxhash64("second"), F.lit(parts)).cast("int")
+    return cooccur_pairs(lines).groupBy(F.col("first").alias("word"), part.alias("part")).agg(
         F.map_from_entries(F.collect_list(F.struct("second", "n"))).alias("stripe"))
 
 
 def partners_per_word(pairs: DataFrame) -> DataFrame:
-    """Per word: distinct partners, all pair counts, the largest one, and the mean length of a partner."""
-    letters = F.sum(F.col("n") * F.length("second"))
+    """Per word: distinct partners, all pair counts, the largest one, and a sum that ties counts to partners.
+
+    ``bound`` adds up every count times a number read off its partner (length, first and last letter).
+    """
+    letters = F.length("second") + 31 * F.ascii("second") + 1009 * F.ascii(F.right("second", F.lit(1)))
     return pairs.groupBy(F.col("first").alias("word")).agg(
         F.count("*").alias("n_partners"), F.sum("n").alias("n_pairs"), F.max("n").alias("top_count"),
-        (letters / F.sum("n")).alias("mean_length"))
+        F.sum(F.col("n") * letters).alias("bound"))

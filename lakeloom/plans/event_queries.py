@@ -15,9 +15,9 @@ from lakeloom.streaming import events, jobs, packets, promotions
 
 # User agents, and what each one is (in the order of ``user_agent.FIELDS``).
 AGENTS = [
-    ("Mozilla/5.0 (Macintosh; Intel Mac OS X 10_15_7) AppleWebKit/605.1.15 (KHTML, like Gecko) "
-     "Version/14.1.1 Safari/605.1.15",
-     ("Safari", "14.1.1", "Mac OS X", "10.15.7", "Mac", "Apple", "Mac", False, False, True, False, False)),
+    ("Mozilla/5.0 (Macintosh; Intel Mac OS X 10_14_6) AppleWebKit/605.1.15 (KHTML, like Gecko) "
+     "Version/15.6.2 Safari/605.1.15",
+     ("Safari", "15.6.2", "Mac OS X", "10.14.6", "Mac", "Apple", "Mac", False, False, True, False, False)),
     ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) "
      "Chrome/120.0.0.0 Safari/537.36",
      ("Chrome", "120.0.0", "Windows", "10", "Other", None, None, False, False, True, False, False)),
@@ -58,7 +58,7 @@ def messages(source: DataFrame) -> DataFrame:
     identity = F.col("event_id").cast("string").alias("id")
     form = F.col("event_id") % 100
     value = (
-        F.when(form == 7, '{"no_id": "here"}')
+        F.when(form == 7, '{"kind": "anonymous"}')
         .when(form == 17, F.concat(F.lit('{"id": "'), "event_id", F.lit('", ')))
         .when(form == 27, None)
         .when(form == 37, "{ }")
@@ -103,11 +103,11 @@ def stream_enrich(s, d) -> DataFrame:
 
 
 def stream_dedup(s, d) -> DataFrame:
-    """Every event sent one to three times comes out once. The table spans a month, and files may be
-    read in any order: ids are kept for that long."""
+    """Every event sent one to three times comes out once; one without id, as often as it was sent. The table
+    spans a month, and files may be read in any order: ids are kept for that long."""
     home = workspace(s, "dedup")
     sent = _event_stream(s, d).select(
-        F.col("event_id").alias("id"), "ts", "event_type",
+        F.when(F.col("event_id") % 97 != 0, F.col("event_id")).alias("id"), "ts", "event_type",
         F.explode(F.sequence(F.lit(0), F.col("event_id") % 3)).alias("copy")).drop("copy")
     jobs.write_files(
         events.dedup(sent, "id", "ts", "31 days"), f"{home}/events", f"{home}/progress",
@@ -138,7 +138,9 @@ def stream_promo(s, d) -> DataFrame:
 
 
 def captured_packets(s, d) -> DataFrame:
-    """Nested packet JSON of the events table: Ethernet, IP, TCP or UDP, and for some a raw body."""
+    """Nested packet JSON of the events table: Ethernet, IP, TCP or UDP, and for some a raw body.
+
+    Every fiftieth packet travels in a tunnel, three layers deeper."""
     e = Tables(s, d)["events"]
     ports = F.array(*[F.lit(p) for p in (80, 443, 8091, 8092, 22, 8080)])
     port = F.element_at(ports, (F.col("event_id") % 6 + 1).cast("int"))
@@ -150,10 +152,11 @@ def captured_packets(s, d) -> DataFrame:
         F.when(F.col("event_type") == "error", "UDP").otherwise("TCP").alias("layer_type"),
         F.when(inbound, port).otherwise(other).alias("sport"),
         F.when(inbound, other).otherwise(port).alias("dport"), raw.alias("payload"))
-    packet = F.struct(
-        F.lit("Ether").alias("layer_type"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("packet_received_at"),
-        F.struct(F.lit("IP").alias("layer_type"), F.lit(64).alias("ttl"), segment.alias("payload")).alias("payload"))
-    return e.select("event_id", F.to_json(packet).alias("value"))
+    inner = F.to_json(F.struct(F.lit("IP").alias("layer_type"), F.lit(64).alias("ttl"), segment.alias("payload")))
+    tunnel = "".join(f'{{"layer_type": "{x}", "payload": ' for x in ("Dot1Q", "IP", "GRE"))
+    body = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit(tunnel), inner, F.lit("}}}"))).otherwise(inner)
+    head = F.date_format("ts", """'{"layer_type": "Ether", "packet_received_at": "'yyyy-MM-dd HH:mm:ss'", "payload": '""")
+    return e.select("event_id", F.concat(head, body, F.lit("}")).alias("value"))
 
 
 def packet_rows(s, d) -> DataFrame:
@@ -186,7 +189,7 @@ _AGENT_FIELDS = "(VALUES " + ", ".join(
     "(" + ", ".join(_literal(x) for x in (i, *fields)) + ")"
     for i, fields in enumerate([*(f for _, f in AGENTS), NO_AGENT])) + f") AS a(agent, {', '.join(FIELDS)})"
 _AGENT_NO = f"CASE WHEN event_id % 100 = 67 THEN {len(AGENTS)} ELSE event_id % {len(AGENTS)} END"
-_FAILED_SQL = """CASE event_id % 100 WHEN 7 THEN '{"no_id": "here"}' WHEN 17 THEN '{"id": "' || event_id || '", '
+_FAILED_SQL = """CASE event_id % 100 WHEN 7 THEN '{"kind": "anonymous"}' WHEN 17 THEN '{"id": "' || event_id || '", '
   WHEN 47 THEN '[' || event_id || ']' ELSE '{"id": null}' END"""
 _SPORT = "CASE WHEN user_id % 2 = 0 THEN port ELSE user_id + 40000 END"
 _DPORT = "CASE WHEN user_id % 2 = 0 THEN user_id + 40000 ELSE port END"
@@ -200,19 +203,23 @@ ORACLES = {
   JOIN {_AGENT_FIELDS} ON a.agent = {_AGENT_NO} WHERE {_VALID}""",
     "packets": f"""WITH p AS (SELECT *, [80, 443, 8091, 8092, 22, 8080][CAST(event_id % 6 + 1 AS INTEGER)] AS port
   FROM events),
-t AS (SELECT event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS received_at,
+t AS (SELECT event_id, event_type, CASE WHEN event_id % 50 = 0 THEN 3 ELSE 0 END AS deeper, strftime(ts, '%Y-%m-%d %H:%M:%S') AS received_at,
   CAST({_SPORT} AS INTEGER) AS sport, CAST({_DPORT} AS INTEGER) AS dport FROM p)
 SELECT event_id, 0 AS depth, 'Ether' AS layer_type, NULL AS protocol, received_at, CAST(NULL AS INTEGER) AS dport FROM t
-UNION ALL SELECT event_id, 1, 'IP', NULL, received_at, NULL FROM t
-UNION ALL SELECT event_id, 2, CASE event_type WHEN 'error' THEN 'UDP' ELSE 'TCP' END,
+UNION ALL SELECT event_id, 1 + deeper, 'IP', NULL, received_at, NULL FROM t
+UNION ALL SELECT event_id, depth, kind, NULL, received_at, NULL FROM t, (VALUES (1, 'Dot1Q'), (2, 'IP'), (3, 'GRE')) AS x(depth, kind)
+  WHERE event_id % 50 = 0
+UNION ALL SELECT event_id, 2 + deeper, CASE event_type WHEN 'error' THEN 'UDP' ELSE 'TCP' END,
   CASE WHEN event_type = 'error' THEN NULL
        WHEN sport IN (80, 8091, 8092) OR dport IN (80, 8091, 8092) THEN 'HTTP'
        WHEN sport = 443 OR dport = 443 THEN 'HTTPS' ELSE 'OTHER' END, received_at, dport FROM t
-UNION ALL SELECT event_id, 3, 'Raw', NULL, received_at, NULL FROM t WHERE event_type = 'view'""",
+UNION ALL SELECT event_id, 3 + deeper, 'Raw', NULL, received_at, NULL FROM t WHERE event_type = 'view'""",
     "stream_enrich": f"""SELECT CAST(event_id AS VARCHAR) AS id, event_type, user_id, browser_family FROM events
   JOIN {_AGENT_FIELDS} ON a.agent = {_AGENT_NO} WHERE {_VALID}
 UNION ALL SELECT NULL, {_FAILED_SQL}, NULL, NULL FROM events WHERE event_id % 100 IN {_FAILED_FORMS}""",
-    "stream_dedup": "SELECT event_id AS id, event_type FROM events",
+    "stream_dedup": """SELECT event_id AS id, event_type FROM events WHERE event_id % 97 <> 0
+  UNION ALL SELECT NULL, event_type FROM (SELECT event_type, unnest(range(0, event_id % 3 + 1)) AS copy FROM events
+    WHERE event_id % 97 = 0)""",
     "stream_promo": """WITH totals AS (SELECT o_custkey AS store_number, l_partkey AS item_number,
   CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS revenue,
   CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bottles

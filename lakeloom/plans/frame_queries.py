@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions.numbers import MONEY
 from lakeloom.operators import aggregates, columns, joins, windows
 from lakeloom.sources.readers import split_record_kinds
 from lakeloom.sources.tables import Tables
@@ -49,8 +50,17 @@ def project_arith(s, d) -> DataFrame:
         (F.col("balance").try_cast("double") * 100).alias("cents"))
 
 
+def sketch_against_count(s, d) -> DataFrame:
+    """The exact number of parts sold, and whether the sketch is within four standard errors of it."""
+    lines = Tables(s, d)["lineitem"]
+    sketch = aggregates.approx_distinct(lines, "l_partkey", 0.05).scalar()
+    exact = lines.agg(F.count_distinct("l_partkey").alias("n_exact"))
+    return exact.select(
+        "n_exact", (F.abs(sketch - F.col("n_exact")) <= 4 * 0.05 * F.col("n_exact")).alias("is_close"))
+
+
 def drop_lit(s, d) -> DataFrame:
-    wide = columns.with_literals(Tables(s, d)["customer"], country="USA", note="anotherValue")
+    wide = columns.with_literals(Tables(s, d)["customer"], market="retail", note="dropped again")
     return wide.drop("note", "c_acctbal")
 
 
@@ -136,8 +146,8 @@ QUERIES = {
     "row_count": lambda s, d: Tables(s, d)["lineitem"].agg(F.count("*").alias("n")),
     "group_count": lambda s, d: aggregates.group_count(Tables(s, d)["events"], "event_type"),
     "group_sum_avg": lambda s, d: aggregates.sums_and_means(
-        Tables(s, d)["lineitem"], ["l_returnflag"], ["l_extendedprice", "l_quantity"]),
-    "approx_distinct": lambda s, d: aggregates.approx_distinct(Tables(s, d)["lineitem"], "l_partkey"),
+        Tables(s, d)["lineitem"], ["l_returnflag"], ["l_extendedprice", "l_quantity"], exact=MONEY),
+    "approx_distinct": sketch_against_count,
     "collect_set": collect_set,
     "first_by": lambda s, d: aggregates.first_by(
         Tables(s, d)["orders"], ["o_custkey"], "o_totalprice", ["o_orderdate", "o_orderkey"]),
@@ -167,7 +177,7 @@ ORACLES = {
   WHERE list_contains(string_split(p_name, ' '), 'ring')""",
     "filter_nested": "SELECT c_custkey, c_name AS name FROM customer WHERE c_mktsegment = 'MACHINERY'",
     "project_arith": "SELECT c_custkey, c_nationkey + 1 AS next_nation, c_acctbal * 100 AS cents FROM customer",
-    "drop_lit": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 'USA' AS country FROM customer",
+    "drop_lit": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 'retail' AS market FROM customer",
     "cast_cols": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey,
   CAST(o_totalprice AS FLOAT) AS o_totalprice FROM orders""",
     "rename_cols": "SELECT c_custkey AS customer_key, c_name AS full_name FROM customer",
@@ -190,6 +200,7 @@ ORACLES = {
     "group_sum_avg": "SELECT l_returnflag, " + ", ".join(
         f"{_SUM.format(c)} AS sum_{c}, {_SUM.format(c)} / count({c}) AS avg_{c}"
         for c in ("l_extendedprice", "l_quantity")) + " FROM lineitem GROUP BY 1",
+    "approx_distinct": "SELECT count(DISTINCT l_partkey) AS n_exact, true AS is_close FROM lineitem",
     "collect_set": "SELECT string_agg(event_type, ',' ORDER BY event_type) AS event_types FROM "
                    "(SELECT DISTINCT event_type FROM events)",
     "first_by": """SELECT o_custkey, o_totalprice AS first_o_totalprice FROM (

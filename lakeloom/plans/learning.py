@@ -9,15 +9,14 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
-def fit_logistic(training: DataFrame, estimator: LogisticRegression | None = None,
-                 **overrides: Any) -> LogisticRegressionModel:
+def fit_logistic(training: DataFrame, estimator: LogisticRegression, **overrides: Any) -> LogisticRegressionModel:
     """Fit with the estimator's parameters, any of which ``overrides`` replaces for this fit alone."""
-    estimator = estimator or LogisticRegression(maxIter=10, regParam=0.01)
     return estimator.fit(training, {estimator.getParam(name): v for name, v in overrides.items()})
 
 
@@ -45,12 +44,19 @@ def forest_stages(label: str, categories: Sequence[str], numbers: Sequence[str],
     ])
 
 
-def fit_forest(data: DataFrame, label: str, categories: Sequence[str], numbers: Sequence[str],
+def in_sample(key: Column, share: float) -> Column:
+    """Whether a row belongs to the sample; decided by its integer key alone, so every evaluation agrees."""
+    return F.pmod(F.pmod(key, F.lit(1_000_003)) * 2_654_435_761, F.lit(1 << 32)) < int(share * (1 << 32))
+
+
+def fit_forest(data: DataFrame, label: str, key: str, categories: Sequence[str], numbers: Sequence[str],
                seed: int = 42) -> tuple[PipelineModel, DataFrame]:
-    """Train on 80 percent of the rows; gives the model and the other 20 percent, scored."""
-    train, test = data.randomSplit([0.8, 0.2], seed)
-    model = forest_stages(label, categories, numbers, seed).fit(train)
-    return model, model.transform(test)
+    """Train on the rows of about 80 percent of the keys; gives the model and the other rows, scored.
+
+    All distinct categories come to the driver: index columns with few of them.
+    """
+    model = forest_stages(label, categories, numbers, seed).fit(data.where(in_sample(F.col(key), 0.8)))
+    return model, model.transform(data.where(~in_sample(F.col(key), 0.8)))
 
 
 def accuracy(predictions: DataFrame, label: str) -> float:
@@ -65,9 +71,9 @@ def single_feature(df: DataFrame, feature: str, label: str) -> DataFrame:
         "features", "label")
 
 
-def register_vector_function(spark: SparkSession, name: str = "one_element_vec") -> None:
-    """SQL function from a number to a vector. Row by row in Python: prefer ``single_feature``."""
-    spark.udf.register(name, lambda x: Vectors.dense([x]), VectorUDT())
+def as_vector(*numbers: Column) -> Column:
+    """A dense vector of numeric columns, as an expression."""
+    return array_to_vector(F.array(*[n.cast("double") for n in numbers]))
 
 
 def fit_linear(data: DataFrame, reg_params: Sequence[float] = (0.0, 100.0)) -> list[LinearRegressionModel]:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.numbers import exact_total, name_or_unknown
 from lakeloom.operators.columns import require, select_existing
-from lakeloom.operators.windows import moving_average, running_sum, top_k_per, with_previous
+from lakeloom.operators.windows import first_rows, moving_average, running_sum, top_k_per, with_previous
 
+# The columns of the curated sales table, in schema order.
 SALES_COLUMNS = [
     "invoice_item_number", "sale_date", "store_number", "city", "county_number", "county", "category",
     "category_name", "vendor_number", "vendor_name", "item_number", "item_description", "pack",
@@ -117,4 +118,4 @@ def curated_sales(sales: DataFrame) -> DataFrame:
 def curated_sample(sales: DataFrame, n: int = 10_000) -> DataFrame:
     """``n`` rows with a date, a store and an item: the first ones by invoice, so that runs agree."""
     complete = require(curated_sales(sales), "sale_date", "store_number", "item_number")
-    return complete.orderBy(*[c for c in SAMPLE_ORDER if c in complete.columns]).limit(n)
+    return first_rows(complete, [F.col(c) for c in SAMPLE_ORDER if c in complete.columns], n)

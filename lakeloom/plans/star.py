@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions.numbers import exact_sum
 from lakeloom.operators.columns import require
+from lakeloom.operators.windows import first_rows
 from lakeloom.plans.sales import SALES_COLUMNS, SAMPLE_ORDER
 from lakeloom.sources.tables import Tables
 
@@ -50,8 +51,10 @@ def _sales_columns(names: Iterable[str]) -> list[Column]:
     return [F.expr(COLUMNS[c]).alias(c) for c in names]
 
 
-def _stores(t: Tables) -> DataFrame:
-    places = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"), "left")
+def _stores(t: Tables, columns: Iterable[str]) -> DataFrame:
+    places = t["nation"]
+    if set(columns) & {"county", "county_number"}:
+        places = places.join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"), "left")
     return t["customer"].join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
 
 
@@ -62,7 +65,7 @@ def sales_rows(t: Tables, columns: Iterable[str] = SALES_COLUMNS, lines: DataFra
     if set(columns) & (ORDER.keys() | STORE.keys()):
         df = df.join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"), "left")
     if set(columns) & STORE.keys():
-        df = df.join(_stores(t), F.col("o_custkey") == F.col("c_custkey"), "left")
+        df = df.join(_stores(t, columns), F.col("o_custkey") == F.col("c_custkey"), "left")
     if set(columns) & ITEM.keys():
         df = df.join(t["part"], F.col("l_partkey") == F.col("p_partkey"), "left")
     if set(columns) & VENDOR.keys():
@@ -75,7 +78,7 @@ def sales_sample(t: Tables, n: int = 10_000) -> DataFrame:
     customer, part and supplier tables."""
     dated = t["orders"].where(F.col("o_orderdate").isNotNull() & F.col("o_custkey").isNotNull())
     lines = require(t["lineitem"], "l_partkey").join(dated, F.col("l_orderkey") == F.col("o_orderkey"), "left_semi")
-    first = lines.orderBy(*[F.expr(COLUMNS[c]) for c in SAMPLE_ORDER]).limit(n)
+    first = first_rows(lines, [F.expr(COLUMNS[c]) for c in SAMPLE_ORDER], n)
     return sales_rows(t, lines=first)
 
 
@@ -106,7 +109,7 @@ def sales_totals(t: Tables, attributes: Iterable[str], measures: Sequence[str] =
     totals = _add_up(dated, measures, "sale_date", *line_keys, *store_key)
 
     if wanted & STORE.keys():
-        totals = totals.join(_stores(t), F.col("o_custkey") == F.col("c_custkey"), "left")
+        totals = totals.join(_stores(t, wanted), F.col("o_custkey") == F.col("c_custkey"), "left")
     if wanted & ITEM.keys():
         totals = totals.join(t["part"], F.col("l_partkey") == F.col("p_partkey"), "left")
     if wanted & VENDOR.keys():

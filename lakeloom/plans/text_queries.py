@@ -49,9 +49,9 @@ def document_lines(s, d) -> DataFrame:
 def stripe_sizes(s, d) -> DataFrame:
     stripes = words.cooccur_stripes(document_lines(s, d))
     total = F.aggregate(F.map_values("stripe"), F.lit(0).cast("long"), lambda a, x: a + x)
-    return stripes.select(
-        "word", F.size("stripe").cast("long").alias("n_words"), total.alias("n_pairs"),
-        F.array_max(F.map_keys("stripe")).alias("last_word"))
+    return stripes.groupBy("word").agg(
+        F.sum(F.size("stripe")).alias("n_words"), F.sum(total).alias("n_pairs"),
+        F.max(F.array_max(F.map_keys("stripe"))).alias("last_word"))
 
 
 def referrals(s, d) -> DataFrame:
@@ -73,7 +73,7 @@ def referral_paths(s, d) -> DataFrame:
 
 
 def mean_of_quantity(s, d) -> DataFrame:
-    return aggregates.mean_parts(aggregates.measure(measure_lines(s, d)), "x")
+    return aggregates.mean_parts(aggregates.measure(measure_lines(s, d)), "x", exact="decimal(18,4)")
 
 
 def variance_of_quantity(s, d) -> DataFrame:
@@ -157,8 +157,8 @@ ORACLES = {
   SELECT unnest(string_split(line, ' ')) AS word FROM (
     SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) WHERE word <> '' GROUP BY 1""",
     "cooccur_pairs": f"""{_PAIRS} SELECT first AS word, count(*) AS n_partners, CAST(sum(n) AS BIGINT) AS n_pairs,
-  max(n) AS top_count,
-  CAST(sum(n * length(second)) AS DOUBLE) / CAST(sum(n) AS DOUBLE) AS mean_length FROM pairs GROUP BY 1""",
+  max(n) AS top_count, CAST(sum(n * (length(second) + 31 * ascii(second) + 1009 * ascii(right(second, 1)))) AS BIGINT)
+  AS bound FROM pairs GROUP BY 1""",
     "cooccur_stripes": f"""{_PAIRS} SELECT first AS word, count(*) AS n_words,
   CAST(sum(n) AS BIGINT) AS n_pairs, max(second) AS last_word FROM pairs GROUP BY 1""",
     "common_neighbors": f"""{_EDGES}, pairs AS (SELECT src AS a, dst AS b FROM edges WHERE src < dst)

@@ -76,9 +76,7 @@ def load_overwrite(spark: SparkSession, table: str, path: str, sep: str = ",", h
 def avro_table_ddl(name: str, schema_literal: str) -> str:
     """DDL of an Avro table with its record schema; to run in a session with Hive support."""
     return (
-        f"CREATE TABLE {name} ROW FORMAT SERDE 'org.apache.hadoop.hive.serde2.avro.AvroSerDe' "
-        "STORED AS INPUTFORMAT 'org.apache.hadoop.hive.ql.io.avro.AvroContainerInputFormat' "
-        "OUTPUTFORMAT 'org.apache.hadoop.hive.ql.io.avro.AvroContainerOutputFormat' "
+        f"CREATE TABLE {name} STORED AS AVRO "
         f"TBLPROPERTIES ('avro.schema.literal'='{schema_literal}')")
 
 

@@ -21,13 +21,19 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--enriched-topic", default=events.ENRICHED_TOPIC)
     parser.add_argument("--failed-topic", default=events.FAILED_TOPIC)
     parser.add_argument("--checkpoint", required=True, help="shared folder that keeps the position")
+    parser.add_argument("--max-offsets", type=int, help="most messages of a micro-batch")
+    parser.add_argument("--max-files", type=int, help="most files of a micro-batch")
+    parser.add_argument("--min-partitions", type=int, help="least tasks that read a topic")
     parser.add_argument("--drain", action="store_true", help="stop when nothing is left to read")
     args = parser.parse_args(argv)
     if not args.servers and not args.sink:
         parser.error("--sink is needed without --servers")
 
     spark = build_session("enrich")
-    raw = jobs.read_kafka(spark, args.servers, args.source) if args.servers else jobs.read_files(spark, args.source)
+    if args.servers:
+        raw = jobs.read_kafka(spark, args.servers, args.source, min_partitions=args.min_partitions, max_offsets=args.max_offsets)
+    else:
+        raw = jobs.read_files(spark, args.source, max_files=args.max_files)
     routed = events.route(raw, enriched_topic=args.enriched_topic, failed_topic=args.failed_topic)
     if args.servers:
         query = jobs.write_kafka(routed, args.servers, args.checkpoint, args.drain)

@@ -75,8 +75,15 @@ def route(raw: DataFrame, enrichments: Sequence[Enrichment] = (enrich_user_agent
         "value")
 
 
-def dedup(events: DataFrame, key: str = "id", event_time: str = "ts", delay: str = "10 minutes") -> DataFrame:
-    """One event per key. On a stream the keys are kept until ``delay`` after their event time has passed."""
+def dedup(events: DataFrame, key: str = "id", event_time: str = "ts", delay: str | None = None) -> DataFrame:
+    """One event per key; events without a key all stay.
+
+    On a stream the keys are kept until ``delay`` after their event time has passed. That is for the caller to choose: an
+    event that comes later still can no longer be compared and is left out. ``jobs.late_rows`` counts those.
+    """
+    keyed, rest = events.where(F.col(key).isNotNull()), events.where(F.col(key).isNull())
     if not events.isStreaming:
-        return events.dropDuplicates([key])
-    return events.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+        return keyed.dropDuplicates([key]).unionByName(rest)
+    if delay is None:
+        raise ValueError("a stream needs a delay")
+    return keyed.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key]).unionByName(rest)

@@ -23,19 +23,26 @@ def kafka_source_options(servers: str, topic: str, min_partitions: int | None =
     return options
 
 
-def read_kafka(spark: SparkSession, servers: str, topic: str, **limits: int) -> DataFrame:
+def read_kafka(spark: SparkSession, servers: str, topic: str, **limits: int | None) -> DataFrame:
     """Needs the Kafka connector on the class path."""
     options = kafka_source_options(servers, topic, **limits)
     return spark.readStream.format("kafka").options(**options).load()
 
 
-def read_files(spark: SparkSession, path: str, fmt: str = "parquet",
-               schema: StructType | None = None, **options: str) -> DataFrame:
-    """Files as a stream: a folder, or a single file within one."""
+def _is_file(spark: SparkSession, path: str) -> bool:
+    """One status call to the file system; nothing is listed."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(where).isFile()
+
+
+def read_files(spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None,
+               max_files: int | None = None, **options: str) -> DataFrame:
+    """Files as a stream: a folder, or a single file within one. ``max_files`` bounds a micro-batch."""
     schema = schema or spark.read.format(fmt).load(path).schema
     stream = spark.readStream.format(fmt).schema(schema).options(**options)
-    files = spark.read.format(fmt).schema(schema).load(path).inputFiles()
-    if any(f.rstrip("/").endswith(path.rstrip("/")) for f in files):
+    if max_files:
+        stream = stream.option("maxFilesPerTrigger", max_files)
+    if _is_file(spark, path):
         folder, _, name = path.rstrip("/").rpartition("/")
         return stream.option("pathGlobFilter", name).load(folder)
     return stream.load(path)
@@ -68,6 +75,11 @@ def write_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
     return _start(df.writeStream.format(fmt).option("path", path), checkpoint, stop_on_empty)
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the micro-batches still on record left out because they came after the watermark."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+
+
 def _start(writer, checkpoint: str, stop_on_empty: bool) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if stop_on_empty else writer).start()

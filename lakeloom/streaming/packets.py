@@ -9,41 +9,42 @@ from lakeloom.functions.json_fields import parse
 from lakeloom.functions.ports import app_protocol
 
 
-def _layer(depth: int) -> Column:
-    at = "$" + ".payload" * depth
+def _layer(doc: Column, depth: Column) -> Column:
     def read(key: str, dtype: str) -> Column:
-        return F.try_variant_get("doc", f"{at}.{key}", dtype)
+        return F.try_variant_get(doc, f"$.{key}", dtype)
 
     kind = read("layer_type", "string")
-    tcp = kind == "TCP"
     fields = F.map_filter(
-        F.try_variant_get("doc", at, "map<string,variant>"), lambda k, _: ~k.isin("payload", "layer_type"))
-    return F.when(kind.isNotNull(), F.struct(
-        F.lit(depth).alias("depth"),
+        F.try_variant_get(doc, "$", "map<string,variant>"), lambda k, _: ~k.isin("payload", "layer_type"))
+    return F.struct(
+        depth.alias("depth"),
         kind.alias("layer_type"),
-        F.when(tcp, app_protocol(read("sport", "int"), read("dport", "int"))).alias("protocol"),
-        F.to_json(fields).alias("fields")))
+        F.when(kind == "TCP", app_protocol(read("sport", "int"), read("dport", "int"))).alias("protocol"),
+        F.to_json(fields).alias("fields"))
 
 
-def flatten_packets(packets: DataFrame, max_depth: int = 5) -> DataFrame:
+def flatten_packets(packets: DataFrame) -> DataFrame:
     """``packet_received_at`` and the array ``layers``, outermost first, for JSON text in ``value``.
 
-    TCP layers get ``protocol`` from their ports. ``deeper`` holds the JSON of whatever lies below
-    ``max_depth`` levels, NULL in most cases, so that nothing is lost.
+    A packet has as many layers as it nests payloads with a ``layer_type``: each step opens the payload of the layer before, and
+    no packet takes more steps than the word occurs in its text. TCP layers get ``protocol`` from their ports.
     """
-    docs = packets.withColumn("doc", parse("value"))
-    layers = F.array_compact(F.array(*[_layer(d) for d in range(max_depth)]))
-    below = F.try_variant_get("doc", "$" + ".payload" * max_depth, "variant")
+    most = F.regexp_count(F.col("value"), F.lit('"layer_type"'))
+    steps = F.when(most > 1, F.sequence(F.lit(2), most)).otherwise(F.array().cast("array<int>"))
+    opened = F.aggregate(steps, F.array("doc"), lambda chain, _: F.when(
+        F.try_variant_get(F.element_at(chain, -1), "$.payload.layer_type", "string").isNull(), chain).otherwise(
+            F.concat(chain, F.array(F.try_variant_get(F.element_at(chain, -1), "$.payload", "variant")))))
+    docs = packets.withColumn("doc", parse("value")).withColumn("chain", opened)
+    layers = F.filter(F.transform("chain", _layer), lambda x: x["layer_type"].isNotNull())
     return docs.select(
         *packets.columns,
         F.try_variant_get("doc", "$.packet_received_at", "timestamp").alias("packet_received_at"),
-        layers.alias("layers"),
-        F.to_json(below).alias("deeper")).drop("value")
+        layers.alias("layers")).drop("value")
 
 
-def packet_layers(packets: DataFrame, max_depth: int = 5) -> DataFrame:
+def packet_layers(packets: DataFrame) -> DataFrame:
     """One row per packet and layer."""
-    flat = flatten_packets(packets, max_depth)
+    flat = flatten_packets(packets)
     others = [c for c in flat.columns if c != "layers"]
     # The plain form would evaluate the whole array a second time, to filter out empty ones early.
     rows = flat.select(*others, F.inline_outer("layers"))

@@ -68,16 +68,25 @@ def test_packets(spark):
     packet = {"layer_type": "Ether", "dst": "ff", "packet_received_at": "2024-01-02 03:04:05", "payload": {
         "layer_type": "IP", "payload": {"layer_type": "TCP", "sport": 80, "dport": 5, "payload": {
             "layer_type": "Raw", "load": "x"}}}}
-    df = spark.createDataFrame([(json.dumps(packet),), ("broken",)], "value string")
-    flat = packets.flatten_packets(df, max_depth=3).collect()
-    assert [x.layer_type for x in flat[0].layers] == ["Ether", "IP", "TCP"]
-    assert [x.protocol for x in flat[0].layers] == [None, None, "HTTP"]
+    df = spark.createDataFrame([(json.dumps(packet),), ("broken",), (None,)], "value string")
+    flat = packets.flatten_packets(df).collect()
+    assert [x.layer_type for x in flat[0].layers] == ["Ether", "IP", "TCP", "Raw"]
+    assert [x.protocol for x in flat[0].layers] == [None, None, "HTTP", None]
     assert str(flat[0].packet_received_at) == "2024-01-02 03:04:05"
-    assert json.loads(flat[0].deeper) == {"layer_type": "Raw", "load": "x"}
-    assert flat[1].layers == []
+    assert json.loads(flat[0].layers[3].fields) == {"load": "x"}
+    assert not flat[1].layers and not flat[2].layers
     assert packets.packet_layers(df).count() == 4
 
 
+def test_packets_of_any_depth(spark):
+    packet = {"layer_type": "TCP", "sport": 443, "dport": 1}
+    for i in range(11, -1, -1):
+        packet = {"layer_type": f"L{i}", "payload": packet}
+    df = spark.createDataFrame([(json.dumps(packet),)], "value string")
+    got = packets.packet_layers(df).orderBy("depth").collect()
+    assert [(r.depth, r.layer_type, r.protocol) for r in got] == [(i, f"L{i}", None) for i in range(12)] + [(12, "TCP", "HTTPS")]
+
+
 def test_promotions(spark, rows):
     raw = spark.createDataFrame(
         [('{"store_id": 1, "item_id": 2, "date": "2024-01-01", "price": 10.0, "discount": 0.25}',)], "value string")
@@ -117,6 +126,10 @@ def test_dedup_in_stream_and_batch(spark, tmp_path, rows):
                         FROM VALUES (1), (2), (1), (3), (2) AS t(id)""")
     data.write.parquet(source)
     assert rows(events.dedup(data).select("id")) == [(1,), (2,), (3,)]
+    none = data.limit(2).withColumn("id", F.lit(None).cast("int"))
+    assert rows(events.dedup(data.unionByName(none)).select("id")) == [(1,), (2,), (3,), (None,), (None,)]
+    with pytest.raises(ValueError):
+        events.dedup(jobs.read_files(spark, source))
     stream = events.dedup(jobs.read_files(spark, source), "id", "ts", "1 hour")
     jobs.write_files(stream, str(tmp_path / "out"), str(tmp_path / "cp"), stop_on_empty=True).awaitTermination()
     assert rows(spark.read.parquet(str(tmp_path / "out")).select("id")) == [(1,), (2,), (3,)]

@@ -29,8 +29,8 @@ def test_parameters_can_be_overridden_for_one_fit(training):
 def test_forest_learns_a_rule_and_accepts_unseen_categories(spark):
     data = spark.range(400).select(
         (F.col("id") % 2).cast("float").alias("y"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("c"),
-        F.when(F.col("id") == 7, "rare").otherwise("usual").alias("d"), (F.col("id") % 5).cast("float").alias("x"))
-    model, scored = learning.fit_forest(data, "y", ["c", "d"], ["x"])
+        F.when(F.col("id") == 7, "rare").otherwise("usual").alias("d"), (F.col("id") % 5).cast("float").alias("x"), F.col("id").alias("key"))
+    model, scored = learning.fit_forest(data, "y", "key", ["c", "d"], ["x"])
     assert learning.accuracy(scored, "y") == 1.0
     unseen = spark.createDataFrame([(0.0, "zzz", "new", 1.0)], "y double, c string, d string, x double")
     assert model.transform(unseen).count() == 1
@@ -47,6 +47,7 @@ def test_linear_regression_at_two_strengths(spark):
     assert learning.rmse(shrunk.transform(data)) > 1
 
 
-def test_vector_function_in_sql(spark):
-    learning.register_vector_function(spark)
-    assert spark.sql("SELECT one_element_vec(2.5D) AS v").first().v == Vectors.dense(2.5)
+def test_vector_expression(spark):
+    df = spark.range(1).select(learning.as_vector(F.lit(2.5), F.lit(3)).alias("v"))
+    assert df.first().v == Vectors.dense(2.5, 3)
+    assert "Python" not in df._jdf.queryExecution().executedPlan().toString()

@@ -170,7 +170,7 @@ def test_quoted_csv_table_is_all_text(spark, tmp_path):
 
 def test_avro_ddl_names_schema():
     ddl = catalog.avro_table_ddl("t", '{"type": "record", "name": "t", "fields": []}')
-    assert ddl.startswith("CREATE TABLE t ROW FORMAT SERDE") and '"name": "t"' in ddl
+    assert ddl.startswith("CREATE TABLE t STORED AS AVRO") and '"name": "t"' in ddl
 
 
 def test_views(spark):

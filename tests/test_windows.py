@@ -1,4 +1,4 @@
-"""Ranks over split hot groups against the plain window functions."""
+"""Ranks over groups in pieces against the plain window functions."""
 
 import random
 
@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakeloom.operators.windows import ranked, top_k_per
+from lakeloom.operators.windows import _by_range, ranked, top_k_per
 
 
 @pytest.fixture(scope="module")
@@ -21,32 +21,42 @@ def skewed(spark):
     return spark.createDataFrame(data, "k string, v int, id int, x double").repartition(5)
 
 
-@pytest.mark.parametrize("hot_rows, chunks", [(10_000, 8), (500, 8), (500, 3), (50, 64)])
-def test_ranks_of_split_groups(skewed, rows, hot_rows, chunks):
-    got = ranked(skewed, ["k"], "v", ["id"], row_number="rn", rank="rk", dense_rank="dr", lag=("x", 2, "lg"),
-                 hot_rows=hot_rows, chunks=chunks)
-    w, by_value = Window.partitionBy("k").orderBy("v", "id"), Window.partitionBy("k").orderBy("v")
-    want = skewed.select(
-        "*", F.row_number().over(w).alias("rn"), F.rank().over(by_value).alias("rk"),
-        F.dense_rank().over(by_value).alias("dr"), F.lag("x", 2).over(w).alias("lg"))
-    assert got.columns == want.columns
-    assert rows(got) == rows(want)
+@pytest.mark.parametrize("ranges", [1, 4, 40])
+def test_ranks_of_groups_in_pieces(spark, skewed, rows, ranges):
+    spark.conf.set("spark.sql.shuffle.partitions", ranges)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = ranked(skewed, ["k"], "v", ["id"], row_number="rn", rank="rk", dense_rank="dr", lag=("x", 2, "lg"))
+        w, by_value = Window.partitionBy("k").orderBy("v", "id"), Window.partitionBy("k").orderBy("v")
+        want = skewed.select(
+            "*", F.row_number().over(w).alias("rn"), F.rank().over(by_value).alias("rk"),
+            F.dense_rank().over(by_value).alias("dr"), F.lag("x", 2).over(w).alias("lg"))
+        assert got.columns == want.columns
+        assert rows(got) == rows(want)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
-def test_lag_longer_than_a_chunk(skewed, rows):
-    got = ranked(skewed, ["k"], "v", ["id"], lag=("x", 90, "lg"), hot_rows=100, chunks=64)
-    want = skewed.withColumn("lg", F.lag("x", 90).over(Window.partitionBy("k").orderBy("v", "id")))
-    assert rows(got) == rows(want)
-
-
-def test_hot_group_is_spread(skewed):
-    plan = ranked(skewed, ["k"], "v", ["id"], row_number="rn", hot_rows=500, chunks=8)
-    from lakeloom.operators.windows import _cut_hot_groups
-
-    sizes = _cut_hot_groups(skewed, ["k"], "v", 500, 8).where("_hot").groupBy("_chunk").count().collect()
-    assert len(sizes) >= 7
-    assert max(r["count"] for r in sizes) < 500
-    assert plan.count() == 3000
+def test_one_key_and_one_value_for_half_of_the_rows(spark, rows):
+    """Equal rows lie in several ranges; ranks and lags agree, and no range holds much more than its share."""
+    data = spark.range(4000).selectExpr(
+        "if(id % 2 = 0, 'hot', cast(id % 50 as string)) AS k", "if(id % 2 = 0, 1, cast(id % 7 as int)) AS v", "id")
+    spark.conf.set("spark.sql.shuffle.partitions", 20)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in _by_range(data, ["k"], "v", []).groupBy("_range").count().collect()]
+        assert len(sizes) >= 18 and max(sizes) < 2.5 * 4000 / 20
+        got = ranked(data, ["k"], "v", ["id"], rank="rk", dense_rank="dr", lag=("id", 300, "lg"))
+        w, by_value = Window.partitionBy("k").orderBy("v", "id"), Window.partitionBy("k").orderBy("v")
+        want = data.select("*", F.rank().over(by_value).alias("rk"), F.dense_rank().over(by_value).alias("dr"),
+                           F.lag("id", 300).over(w).alias("lg"))
+        assert rows(got) == rows(want)
+        plan = got._jdf.queryExecution().toString()
+        assert "BROADCAST)" not in plan and "broadcast)" not in plan.lower().split("== analyzed")[0]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_top_k(skewed, rows):

@@ -54,14 +54,15 @@ def test_long_line_is_cut_into_blocks(lines):
     assert got == py_pairs([text])
 
 
-@pytest.mark.parametrize("max_entries", [100, 3])
-def test_stripes_hold_the_pairs(lines, max_entries):
+@pytest.mark.parametrize("parts", [1, 3, 64])
+def test_stripes_hold_the_pairs(lines, parts):
     texts = random_lines(40, 20, 99)
     pairs = {(r.first, r.second): r.n for r in w.cooccur_pairs(lines(*texts)).collect()}
-    stripes = w.cooccur_stripes(lines(*texts), max_entries).collect()
+    stripes = w.cooccur_stripes(lines(*texts), parts).collect()
     assert {(r.word, other): n for r in stripes for other, n in r.stripe.items()} == pairs
     assert sum(len(r.stripe) for r in stripes) == len(pairs)
-    assert (max(r.part for r in stripes) > 0) == (max_entries == 3)
+    assert len({(r.word, r.part) for r in stripes}) == len(stripes)
+    assert max(r.part for r in stripes) < parts
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
