@@ -70,7 +70,60 @@ QUERIES = {
     "op10_near_dup": op10,
 }
 
+# 1000 * a / b and the like give doubles in DuckDB as in Spark.
+_RULES = ", ".join(f"({sql}) AS r_{name}" for name, sql in quality_rules.RULES.items())
+_GRID = ", ".join(f"('{name}', {c})" for name in quality_rules.RULES for c in quality_rules.CUTOFFS[name])
+_LIMIT = quality_rules.ALPHA / len(quality_rules.RULES)
+_TESTS = sum(map(len, quality_rules.CUTOFFS.values()))
+_VALUE = "CASE rule " + " ".join(f"WHEN '{name}' THEN r_{name}" for name in quality_rules.RULES) + " END"
+_HIT = " OR ".join(
+    f"coalesce(r_{name} >= (SELECT max(cutoff) FROM best b WHERE b.rule = '{name}' AND b.lang IS NOT DISTINCT FROM c.lang), false)"
+    for name in quality_rules.RULES)
+_SHA_PART = "CAST('0x' || substr(sha1(t), 5 * i + 1, 5) AS BIGINT)"
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(({_SHA_PART} >> {k}) & 31 AS BIGINT) + 1, 1)" for k in (15, 10, 5, 0))
+
 ORACLES: dict[str, str] = {
+    "op4_quality_rules": f"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+        s AS (SELECT rid, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM d),
+        w AS (SELECT rid, unnest(words) AS x, generate_subscripts(words, 1) AS pos FROM s),
+        g AS (SELECT rid, pos, x, lead(x) OVER o AS y, lead(x, 2) OVER o AS z FROM w WINDOW o AS (PARTITION BY rid ORDER BY pos)),
+        h AS (SELECT rid, pos, count(*) OVER (PARTITION BY rid, x, y, z) AS n FROM g WHERE z IS NOT NULL),
+        repeats AS (SELECT rid, count(DISTINCT pos + o) AS n FROM h, (VALUES (0), (1), (2)) AS v(o) WHERE h.n > 1 GROUP BY 1),
+        lines AS (SELECT rid, count(*) - count(DISTINCT l) AS n FROM (SELECT rid, unnest(string_split(t, chr(10))) AS l FROM d)
+                  WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]') GROUP BY 1),
+        n AS (SELECT rid, doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
+                CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+                CAST(length(regexp_replace(t, '[^{quality_rules.SYMBOLS}]+', '', 'g')) AS BIGINT) AS n_symbols,
+                CAST(length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS BIGINT) AS n_capitals,
+                CAST(coalesce(lines.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words
+              FROM d JOIN s USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN repeats USING (rid)),
+        c AS (SELECT *, {_RULES}, n_words < {quality_rules.MIN_WORDS}
+                OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM n),
+        l AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+        held AS (SELECT c.*, good FROM c JOIN l USING (doc_id) WHERE NOT base_failed),
+        size AS (SELECT lang, count(*) FILTER (good) AS n_good, count(*) OVER () AS strata FROM held GROUP BY 1),
+        test AS (SELECT lang, rule, cutoff, count(*) FILTER (good AND {_VALUE} >= cutoff) AS lost,
+                   count(*) FILTER (NOT good AND {_VALUE} >= cutoff) AS found
+                 FROM held, (VALUES {_GRID}) AS v(rule, cutoff) GROUP BY ALL),
+        sound AS (SELECT test.lang, rule, cutoff, found - lost AS gain FROM test JOIN size ON size.lang IS NOT DISTINCT FROM test.lang
+                  WHERE found > lost AND lost <= {_LIMIT!r} * n_good
+                    AND list_sum(list_transform(range(0, lost + 1), lambda i: exp(lgamma(n_good + 1) - lgamma(i + 1)
+                          - lgamma(n_good - i + 1) + i * ln({_LIMIT!r}) + (n_good - i) * ln(1 - {_LIMIT!r}))))
+                        <= {quality_rules.DELTA!r} / (strata * {_TESTS})),
+        best AS (SELECT lang, rule, arg_max(cutoff, gain * 100000 + cutoff) AS cutoff FROM sound GROUP BY 1, 2)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND NOT ({_HIT}) AS kept
+        FROM c""",
+    "op5_warc": f"""
+        WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY t) AS first FROM p)
+        SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(0, 8), lambda i: {_BASE32}), '') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to, true AS complete
+        FROM f""",
     "op6_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                                             'abcdefghijklmnopqrstuvwxyz') AS t FROM documents)
