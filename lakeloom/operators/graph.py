@@ -45,9 +45,10 @@ def stored(edges: DataFrame) -> DataFrame:
 
 
 def common_neighbors(edges: DataFrame) -> DataFrame:
-    """For every connected pair, one row per neighbour both list: ``a, b, neighbor``, with ``a <= b``.
+    """For every connected pair, one row per neighbour both list: ``a, b, neighbor, list_of``, with ``a <= b``.
 
-    Where only one end lists the other, its whole list counts. A pair with nothing in common keeps one
+    Where only one end lists the other, its whole list counts: such a pair is one row that names it in ``list_of``, and
+    ``with_whole_lists`` writes the list out, n times for a node that lists n others. A pair with nothing in common keeps one
     row with a NULL neighbour. For a pair that lists each other only the shorter of the two lists is
     read and looked up in the other one, so a hub costs no more than its neighbours' lists.
     """
@@ -55,8 +56,6 @@ def common_neighbors(edges: DataFrame) -> DataFrame:
     pairs = edges.select(
         F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "src",
     ).groupBy("a", "b").agg(F.min("src").alias("lister"), F.count("*").alias("n_listers"))
-    one_sided = pairs.where(F.col("n_listers") == 1).select("a", "b", F.col("lister").alias("near"))
-
     mutual = pairs.where(F.col("n_listers") == 2).select("a", "b")
     sized = mutual.join(degree.select(F.col("src").alias("a"), F.col("deg").alias("deg_a")), "a").join(
         degree.select(F.col("src").alias("b"), F.col("deg").alias("deg_b")), "b")
@@ -69,8 +68,17 @@ def common_neighbors(edges: DataFrame) -> DataFrame:
     lists = edges.select(F.col("src").alias("near"), F.col("dst").alias("neighbor"))
     shared = probes.join(lists, "near").join(
         edges.select(F.col("src").alias("far"), F.col("dst").alias("neighbor")), ["far", "neighbor"], "left_semi")
-    found = shared.select("a", "b", "neighbor").unionByName(one_sided.join(lists, "near").select("a", "b", "neighbor"))
-    return pairs.select("a", "b").join(found, ["a", "b"], "left")
+    list_of = F.when(F.col("n_listers") == 1, F.col("lister")).alias("list_of")
+    return pairs.select("a", "b", list_of).join(shared.select("a", "b", "neighbor"), ["a", "b"], "left").select(
+        "a", "b", "neighbor", "list_of")
+
+
+def with_whole_lists(common: DataFrame, edges: DataFrame) -> DataFrame:
+    """``a, b, neighbor`` of ``common_neighbors`` with the lists of one-sided pairs written out."""
+    lists = edges.select(F.col("src").alias("list_of"), F.col("dst").alias("neighbor"))
+    whole = common.where(F.col("list_of").isNotNull()).drop("neighbor").join(lists, "list_of")
+    return common.where(F.col("list_of").isNull()).select("a", "b", "neighbor").unionByName(
+        whole.select("a", "b", "neighbor"))
 
 
 def shortest_paths(nodes: DataFrame, edges: DataFrame, rounds: int = 4) -> DataFrame:

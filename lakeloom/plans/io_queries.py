@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.operators import partitions
 from lakeloom.session import workspace
 from lakeloom.sources import catalog, readers, writers
 from lakeloom.sources.tables import Tables
@@ -134,7 +135,38 @@ def _partitioned_table(s, d, fmt: str) -> DataFrame:
     return s.table(f"{db}.orders_part")
 
 
+def io_json_multiline(s, d) -> DataFrame:
+    """Nations nested in their regions: one JSON document over many lines per region, read back and flattened."""
+    t = Tables(s, d)
+    nested = t["region"].join(t["nation"], F.col("r_regionkey") == F.col("n_regionkey")).groupBy("r_regionkey", "r_name").agg(
+        F.sort_array(F.collect_list(F.struct("n_nationkey", "n_name"))).alias("nations"))
+    document = F.to_json(F.struct("r_name", "nations"), {"pretty": "true"})
+    path = workspace(s, "nested")
+    nested.select(document.alias("value"), F.col("r_regionkey").alias("part")).write.partitionBy("part").text(path)
+    back = readers.read_json(s, f"{path}/*", multiline=True)
+    return back.select("r_name", F.inline("nations")).select("r_name", F.col("n_nationkey").cast("int"), "n_name")
+
+
+def kept_frame(s, d) -> DataFrame:
+    """A persisted choice of order lines, read by two actions."""
+    lines = Tables(s, d)["lineitem"].where("l_discount >= 0.05")
+    with partitions.kept(lines.select("l_returnflag", "l_quantity")) as df:
+        total = df.count()
+        flags = df.select("l_returnflag").distinct().count()
+    return lines.groupBy("l_returnflag").agg(F.count("*").alias("n")).select(
+        "l_returnflag", "n", F.lit(total).alias("n_all"), F.lit(flags).alias("n_flags"))
+
+
+def partition_count(s, d) -> DataFrame:
+    """Rows that lie in the three partitions which six are merged into."""
+    merged = Tables(s, d)["orders"].select("o_orderkey").repartition(6).coalesce(3)
+    return partitions.partition_sizes(merged).agg(F.count("*").alias("n_partitions"), F.sum("n").alias("n_rows"))
+
+
 QUERIES = {
+    "io_json_multiline": io_json_multiline,
+    "kept_frame": kept_frame,
+    "partition_count": partition_count,
     "io_parquet": io_parquet,
     "io_parquet_part": io_parquet_part,
     "io_csv": io_csv,
@@ -158,6 +190,12 @@ _ALL = _ORDERS.format("")
 _YEARS = _ORDERS.format(", strftime(o_orderdate, '%Y') AS reg_year")
 
 ORACLES = {
+    "io_json_multiline": """SELECT r_name, CAST(n_nationkey AS INTEGER) AS n_nationkey, n_name
+  FROM region JOIN nation ON r_regionkey = n_regionkey""",
+    "kept_frame": """WITH l AS (SELECT * FROM lineitem WHERE l_discount >= 0.05)
+SELECT l_returnflag, count(*) AS n, (SELECT count(*) FROM l) AS n_all,
+  (SELECT count(DISTINCT l_returnflag) FROM l) AS n_flags FROM l GROUP BY 1""",
+    "partition_count": "SELECT CAST(3 AS BIGINT) AS n_partitions, count(*) AS n_rows FROM orders",
     "io_parquet": _ALL,
     "io_parquet_part": f"{_YEARS} WHERE year(o_orderdate) = 1998",
     "io_csv": _ALL,

@@ -106,7 +106,7 @@ QUERIES = {
     "script_word_lengths": script_word_lengths,
     "cooccur_pairs": lambda s, d: words.partners_per_word(words.cooccur_pairs(document_lines(s, d))),
     "cooccur_stripes": stripe_sizes,
-    "common_neighbors": lambda s, d: graph.common_neighbors(referrals(s, d)),
+    "common_neighbors": lambda s, d: graph.common_neighbors(referrals(s, d)).drop("list_of"),
     "shortest_path": referral_paths,
 }
 

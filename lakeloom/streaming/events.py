@@ -17,6 +17,7 @@ from lakeloom.functions import json_fields, user_agent
 ENRICHED_TOPIC = "enriched"
 FAILED_TOPIC = "enriched.failed"
 
+REFUSED = "refused"
 Enrichment = Callable[[DataFrame], DataFrame]
 
 
@@ -56,22 +57,33 @@ def enrich_user_agent(events: DataFrame, column: str = "user_agent") -> DataFram
 
 
 def enrich(events: DataFrame, enrichments: Sequence[Enrichment] = (enrich_user_agent,)) -> DataFrame:
-    """Apply enrichments one after the other; the columns they add become keys of the JSON value."""
-    full = reduce(DataFrame.transform, enrichments, events)
-    added = {c: F.col(c) for c in full.columns if c not in events.columns}
-    valid = F.col("id").isNotNull()
+    """Apply enrichments one after the other; the columns they add become keys of the JSON value.
+
+    An enrichment refuses an event by the boolean column ``REFUSED``: the event stays as it came, and ``route`` sends it
+    to the failed topic.
+    """
+    def step(df: DataFrame, enrichment: Enrichment) -> DataFrame:
+        before = df.withColumnRenamed(REFUSED, "_before") if REFUSED in df.columns else df.withColumn("_before", F.lit(False))
+        after = enrichment(before)
+        own = F.col(REFUSED) if REFUSED in after.columns else F.lit(False)
+        return after.withColumn(REFUSED, F.col("_before") | F.coalesce(own, F.lit(False))).drop("_before")
+
+    full = reduce(step, enrichments, events.withColumn(REFUSED, F.lit(False)))
+    added = {c: F.col(c) for c in full.columns if c not in [*events.columns, REFUSED]}
+    valid = F.col("id").isNotNull() & ~F.col(REFUSED)
     return full.withColumn(
         "value", F.when(valid, json_fields.merge_keys(F.when(valid, F.col("doc")), added)).otherwise(F.col("value")))
 
 
 def route(raw: DataFrame, enrichments: Sequence[Enrichment] = (enrich_user_agent,),
           enriched_topic: str = ENRICHED_TOPIC, failed_topic: str = FAILED_TOPIC) -> DataFrame:
-    """``topic, key, value``: valid events enriched and keyed by id, all others as they came, without key."""
+    """``topic, key, value``: valid events enriched and keyed by id, all others, and those that an enrichment refused, as they
+    came, without key."""
     events = enrich(validate(parse_events(raw)), enrichments)
-    valid = F.col("id").isNotNull()
+    valid = F.col("id").isNotNull() & ~F.col(REFUSED)
     return events.select(
         F.when(valid, enriched_topic).otherwise(failed_topic).alias("topic"),
-        F.col("id").alias("key"),
+        F.when(valid, F.col("id")).alias("key"),
         "value")
 
 

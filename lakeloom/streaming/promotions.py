@@ -1,4 +1,4 @@
-"""Promotion events joined to sales by store and item."""
+"""Promotion events joined to sales by store, item and date."""
 
 from __future__ import annotations
 
@@ -16,9 +16,10 @@ def parse_promotions(raw: DataFrame) -> DataFrame:
 def promo_join(promotions: DataFrame, sales: DataFrame) -> DataFrame:
     """Each promotion with the sales of its item in its store, NULL where there were none.
 
-    ``sales`` has one row per ``store_number`` and ``item_number``. For a stream pass a table that is
-    already written: every micro-batch reads it again.
+    ``sales`` has one row per ``store_number``, ``item_number`` and, if it has that column, ``date``. For a stream pass a
+    table that is already written: every micro-batch reads it again.
     """
     keys = promotions.withColumnsRenamed({"store_id": "store_number", "item_id": "item_number"})
-    joined = keys.join(sales, ["store_number", "item_number"], "left")
+    on = ["store_number", "item_number", "date"]
+    joined = keys.join(sales, on if "date" in sales.columns else on[:2], "left")
     return joined.withColumn("promo_price", F.col("price") * (1 - F.col("discount")))

@@ -87,10 +87,44 @@ def test_packets_of_any_depth(spark):
     assert [(r.depth, r.layer_type, r.protocol) for r in got] == [(i, f"L{i}", None) for i in range(12)] + [(12, "TCP", "HTTPS")]
 
 
+def test_an_enrichment_refuses_events(spark):
+    def refuse_odd(df):
+        odd = F.col("id").cast("int") % 2 == 1
+        return df.withColumn("parity", F.when(~odd, "even")).withColumn(events.REFUSED, odd)
+
+    values = ['{"id": "1", "x": 5}', '{"id": "2", "x": 6}', '{"id": "4"}', '{"x": 1}']
+    raw = spark.createDataFrame([(v,) for v in values], "value string")
+    for chain in ((refuse_odd, events.enrich_user_agent), (events.enrich_user_agent, refuse_odd)):
+        got = events.route(raw, chain).collect()
+        failed = {r.value for r in got if r.topic == events.FAILED_TOPIC}
+        assert failed == {values[0], values[3]} and all(r.key is None for r in got if r.value in failed)
+        good = {r.key: json.loads(r.value) for r in got if r.topic == events.ENRICHED_TOPIC}
+        assert set(good) == {"2", "4"} and all(x["parity"] == "even" and "refused" not in x for x in good.values())
+
+
+def test_bounded_batches_with_a_restart(spark, tmp_path, rows):
+    source, out, progress = (str(tmp_path / x) for x in ("in", "out", "progress"))
+    data = spark.range(40).selectExpr("concat('{\"id\": \"', id, '\"}') AS value").repartition(4)
+    data.write.parquet(source)
+
+    def run():
+        query = jobs.write_topics(events.route(jobs.read_files(spark, source, max_files=1)), out, progress, stop_on_empty=True)
+        query.awaitTermination()
+        return len([p for p in query.recentProgress if p["numInputRows"]])
+
+    assert run() == 4
+    data.limit(7).write.mode("append").parquet(source)
+    run()
+    assert spark.read.parquet(out).count() == 47
+
+
 def test_promotions(spark, rows):
     raw = spark.createDataFrame(
         [('{"store_id": 1, "item_id": 2, "date": "2024-01-01", "price": 10.0, "discount": 0.25}',)], "value string")
     sales = spark.createDataFrame([(1, 2, 99.0)], "store_number bigint, item_number bigint, revenue double")
+    by_day = sales.withColumn("date", F.lit("2024-01-01").cast("date")).unionByName(
+        sales.withColumn("date", F.lit("2024-01-02").cast("date")).withColumn("revenue", F.lit(1.0)))
+    assert rows(promotions.promo_join(promotions.parse_promotions(raw), by_day).select("revenue")) == [(99.0,)]
     row = promotions.promo_join(promotions.parse_promotions(raw), sales).first()
     assert (row.revenue, row.promo_price) == (99.0, 7.5)
 

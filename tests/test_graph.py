@@ -37,7 +37,10 @@ def test_common_neighbors_of_lists(lines):
 
 
 def test_one_sided_edge_gives_the_whole_list(lines):
-    found = neighbor_sets(graph.common_neighbors(graph.parse_neighbor_lists(lines("A:B,C", "C:A"))))
+    edges = graph.parse_neighbor_lists(lines("A:B,C", "C:A"))
+    common = graph.common_neighbors(edges)
+    assert {(r.a, r.b, r.list_of) for r in common.collect()} == {("A", "B", "A"), ("A", "C", None)}
+    found = neighbor_sets(graph.with_whole_lists(common, edges))
     assert found == {("A", "B"): {"B", "C"}, ("A", "C"): set()}
 
 
@@ -48,7 +51,7 @@ def test_common_neighbors_at_random(spark, seed):
     names = [f"n{i}" for i in range(30)]
     lists = {n: {m for m in names if m != n and (m == "n0" or n == "n0" or rnd.random() < 0.2)} for n in names}
     edges = spark.createDataFrame([(a, b) for a, bs in lists.items() for b in bs], "src string, dst string")
-    assert neighbor_sets(graph.common_neighbors(edges)) == py_common(lists)
+    assert neighbor_sets(graph.with_whole_lists(graph.common_neighbors(edges), edges)) == py_common(lists)
 
 
 ADJACENCY = ["k1 _ 0 k2 k3", "k2 _ -1 k4", "k3 _ -1 k4 k5", "k4 _ -1 k6", "k5 _ -1 k6", "k6 _ -1 k1 k7", "k7 _ -1",
