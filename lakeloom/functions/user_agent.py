@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 # Fixed values. (family, marks, pattern whose group 1 is the version); the first rule that holds wins.
 # Of each group of marks, separated by "|", one must occur in the user agent.
 BROWSERS = [
-    ("Googlebot", ["Googlebot"], r"Googlebot/([0-9.]+)"),
-    ("bingbot", ["bingbot"], r"bingbot/([0-9.]+)"),
+    ("HeadlessChrome", ["HeadlessChrome/"], r"HeadlessChrome/([0-9.]+)"),
+    ("Opera Mini", ["Opera Mini/"], r"Opera Mini/([0-9.]+)"),
     ("Edge Mobile", ["EdgA/|EdgiOS/"], r"Edg(?:A|iOS)/([0-9.]+)"),
     ("Edge", ["Edg/|Edge/"], r"Edge?/([0-9.]+)"),
     ("Opera Mobile", ["OPR/", "Mobile"], r"OPR/([0-9.]+)"),
@@ -25,6 +25,7 @@ BROWSERS = [
     ("Firefox Mobile", ["Firefox/", "Mobile;|Tablet;"], r"Firefox/([0-9.]+)"),
     ("Firefox", ["Firefox/"], r"Firefox/([0-9.]+)"),
     ("Chrome Mobile iOS", ["CriOS/"], r"CriOS/([0-9.]+)"),
+    ("Chrome Mobile WebView", ["Chrome/", "; wv)"], r"Chrome/([0-9.]+)"),
     ("Chrome Mobile", ["Chrome/", "Android", "Mobile"], r"Chrome/([0-9.]+)"),
     ("Chrome", ["Chrome/"], r"Chrome/([0-9.]+)"),
     ("Mobile Safari", ["Safari/", "iPhone|iPad|iPod"], r"Version/([0-9.]+)"),
@@ -41,10 +42,11 @@ SYSTEMS = [
     ("Linux", ["Linux"], r"Linux ([0-9.]+)"),
 ]
 WINDOWS_RELEASES = {"10.0": "10", "6.3": "8.1", "6.2": "8", "6.1": "7", "6.0": "Vista", "5.1": "XP"}
-BOTS = "Googlebot|bingbot"
+# Crawlers by rule: a name that ends so (group 1), and its version (group 2). The first name counts.
+CRAWLER = r"([A-Za-z][A-Za-z-]*(?:[Bb]ot|[Cc]rawler|[Ss]pider|[Ss]lurp))(?![A-Za-z])(?:/([0-9.]+))?"
 TOUCH_SYSTEMS = ["iOS", "Android"]
 MOBILE_BROWSERS = ["Chrome Mobile", "Chrome Mobile iOS", "Mobile Safari", "Firefox Mobile", "Firefox iOS",
-                   "Edge Mobile", "Opera Mobile"]
+                   "Edge Mobile", "Opera Mobile", "Opera Mini", "Chrome Mobile WebView"]
 ANDROID_MODEL = r"Android [0-9.]+; (?:[a-z]{2}[-_][A-Za-z]{2}; )?([^;)]+?)(?: Build/[^;)]*)?[;)]"
 
 FIELDS = [
@@ -78,20 +80,22 @@ def _version(ua: Column, family: Column, rules: list[tuple[str, list[str], str]]
 
 
 def browser_family(ua: Column) -> Column:
-    return _family(ua, BROWSERS)
+    return F.when(ua.rlike(CRAWLER), F.regexp_extract(ua, CRAWLER, 1)).otherwise(_family(ua, BROWSERS))
 
 
 def os_family(ua: Column) -> Column:
-    return F.when(_any_mark(ua, BOTS), "Other").otherwise(_family(ua, SYSTEMS))
+    return F.when(ua.rlike(CRAWLER), "Other").otherwise(_family(ua, SYSTEMS))
 
 
 def android_model(ua: Column) -> Column:
-    return F.when(ua.contains("Android"), F.regexp_extract(ua, ANDROID_MODEL, 1)).otherwise("")
+    """Empty for the stand-in "K", which browsers send in place of a model, and for the mark of a web view."""
+    model = F.when(ua.contains("Android"), F.regexp_extract(ua, ANDROID_MODEL, 1)).otherwise("")
+    return F.when(model.isin("K", "wv"), "").otherwise(model)
 
 
 def device_family(ua: Column, model: Column) -> Column:
     return (
-        F.when(_any_mark(ua, BOTS), "Spider")
+        F.when(ua.rlike(CRAWLER), "Spider")
         .when(ua.contains("iPhone"), "iPhone")
         .when(ua.contains("iPad"), "iPad")
         .when(ua.contains("iPod"), "iPod")
@@ -102,7 +106,8 @@ def device_family(ua: Column, model: Column) -> Column:
 
 
 def browser_version(ua: Column, browser: Column) -> Column:
-    return _version(ua, browser, BROWSERS)
+    crawler = F.array_join(F.slice(F.split(F.regexp_extract(ua, CRAWLER, 2), r"\."), 1, 3), ".")
+    return F.when(ua.rlike(CRAWLER), crawler).otherwise(_version(ua, browser, BROWSERS))
 
 
 def system_number(ua: Column, system: Column) -> Column:
@@ -117,7 +122,7 @@ def os_version(system: Column, number: Column) -> Column:
 
 def device_fields(ua: Column, browser: Column, system: Column, device: Column) -> dict[str, Column]:
     apple = device.isin("iPhone", "iPad", "iPod", "Mac")
-    tablet = (device == "iPad") | ((system == "Android") & ~ua.contains("Mobile"))
+    tablet = (device == "iPad") | ((system == "Android") & ~ua.contains("Mobile") & (browser != "Opera Mini"))
     named = ~apple & ~device.isin("Spider", "Other")
     return {
         "device_brand": (

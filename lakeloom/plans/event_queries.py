@@ -42,6 +42,15 @@ AGENTS = [
      ("Firefox", "121.0", "Ubuntu", "", "Other", None, None, False, False, True, False, False)),
     ("Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)",
      ("Googlebot", "2.1", "Other", "", "Spider", "Spider", "Desktop", False, False, False, True, False)),
+    ("Mozilla/5.0 (compatible; YandexBot/3.0; +http://yandex.com/bots)",
+     ("YandexBot", "3.0", "Other", "", "Spider", "Spider", "Desktop", False, False, False, True, False)),
+    ("Opera/9.80 (Android; Opera Mini/36.2.2254/119.132; U; id) Presto/2.12.423 Version/12.16",
+     ("Opera Mini", "36.2.2254", "Android", "", "Other", None, None, True, False, False, False, True)),
+    ("Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) HeadlessChrome/118.0.5993.70 Safari/537.36",
+     ("HeadlessChrome", "118.0.5993", "Linux", "", "Other", None, None, False, False, True, False, False)),
+    ("Mozilla/5.0 (Linux; Android 10; K; wv) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 "
+     "Chrome/126.0.6478.71 Mobile Safari/537.36",
+     ("Chrome Mobile WebView", "126.0.6478", "Android", "10", "Other", None, None, True, False, False, False, True)),
     ("unheard-of agent",
      ("Other", "", "Other", "", "Other", None, None, False, False, False, False, False)),
 ]
