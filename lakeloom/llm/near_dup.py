@@ -3,13 +3,13 @@
 Texts with equal words are one node. Nodes that agree in all components of a band share a bucket. Each bucket first links its
 members to one of them, so a group of copies gives as many pairs as it has members; candidates are checked by the exact
 similarity of the two texts. Only buckets whose members then still belong to different components are compared
-further, member by member on the sketches and across components only. No bucket is capped.
+further, across components only: sketches choose the pairs, the most alike first, and the same exact check links them. That
+happens inside the task that holds the bucket; only links that join two components leave it. No bucket is capped.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -27,7 +27,8 @@ WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 4       # two texts of similarity 0.8 miss each other in all bands 3 times in a million
 LIKELY = 0.64             # sketches of a pair at 0.8 agree in less than this once in 10,000 pairs
-BLOCK = 2048              # members that one task compares at a time
+BLOCK = 1024              # members that one task compares at a time
+MOST_BLOCKS = 16          # larger buckets are cut by a second band
 BATCH_WORDS = 200_000     # words that are sketched together
 
 
@@ -63,10 +64,10 @@ def sketched(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
 
 def banded(nodes: DataFrame) -> DataFrame:
-    """(key, bucket): one row per band."""
+    """(key, band, bucket): one row per band."""
     buckets = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(
         i, F.substring(F.col("sig"), i * (4 * ROWS) + 1, F.lit(4 * ROWS))))
-    return nodes.filter("sig IS NOT NULL").select("key", F.explode(buckets).alias("bucket"))
+    return nodes.filter("sig IS NOT NULL").select("key", F.posexplode(buckets).alias("band", "bucket"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
@@ -92,48 +93,81 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int = WORDS, similar: fl
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
-def across(pdf: pd.DataFrame, likely: float = LIKELY) -> pd.DataFrame:
-    """Pairs of one block whose sketches agree and whose components differ, without those of the center."""
-    pdf = pdf[pdf["key"] != pdf["center"]].drop_duplicates("key")
+def linked(pdf: pd.DataFrame, words: int, similar: float, likely: float = LIKELY) -> pd.DataFrame:
+    """Links (a, b) that join components of one block.
+
+    A pair is looked at in one block only: that of the first band it shares, or of the first two where that bucket was cut finer
+    (``finer`` is the second band there, else -1). Pairs of components that a link has joined meanwhile are left out: they
+    would join nothing.
+    """
+    pdf = pdf[pdf["key"] != pdf["center"]].drop_duplicates("key").reset_index(drop=True)
+    if len(pdf) < 2:
+        return pd.DataFrame({"a": [], "b": []}, dtype=object)
     sig = np.frombuffer(b"".join(pdf["sig"]), "<u4").reshape(len(pdf), -1)
-    comp = pd.factorize(pdf["comp"])[0]
-    keys, out = pdf["key"].to_numpy(), []
+    comp, keys, pairs = pd.factorize(pdf["comp"])[0], pdf["key"].to_numpy(), []
+    bands = np.array([int(b) for b in (pdf["band"].iloc[0], pdf["finer"].iloc[0]) if b >= 0])
     for i in range(len(pdf) - 1):
         rest = np.flatnonzero(comp[i + 1:] != comp[i]) + i + 1
-        for j in rest[(sig[rest] == sig[i]).mean(axis=1) >= likely]:
-            out.append((min(keys[i], keys[j]), max(keys[i], keys[j])))
+        same = sig[rest] == sig[i]
+        alike = same.mean(axis=1)
+        on = alike >= likely
+        rest, same, alike = rest[on], same[on], alike[on]
+        shared = same.reshape(len(rest), BANDS, ROWS).all(axis=2)
+        # The block's bands are shared, and no other one before the last of them.
+        on = shared[:, bands].all(axis=1) & (shared[:, :bands[-1] + 1].sum(axis=1) == len(bands))
+        pairs += [(x, i, j) for x, j in zip(alike[on].tolist(), rest[on].tolist())]
+    root = list(range(int(comp.max()) + 1))
+    memo, bags, out = shingles.WordHashes(), {}, []
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    def bag(i: int):
+        if i not in bags:
+            bags[i] = shingles.weighted(pdf["b"].iat[i].lower().split(), memo, words)
+        return bags[i]
+
+    for _, i, j in sorted(pairs, key=lambda p: (-p[0], p[1], p[2])):
+        a, b = find(comp[i]), find(comp[j])
+        if a != b and shingles.similarity(bag(i), bag(j)) >= similar:
+            root[a] = b
+            out.append((keys[i], keys[j]))
     return pd.DataFrame(out, columns=["a", "b"])
 
 
-def open_buckets(members: DataFrame) -> DataFrame:
-    """(bucket, n) of buckets with several components and a pair that does not touch the center."""
+def open_buckets(members: DataFrame, least: int = 3) -> DataFrame:
+    """(bucket, n) of buckets with several components and ``least`` members: whole ones need a pair besides the center."""
     return members.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter(
-            "n >= 3 AND lo != hi").select("bucket", "n")
+            f"n >= {least} AND lo != hi").select("bucket", "n")
 
 
-def rest_pairs(members: DataFrame, nodes: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Candidates across components within a bucket. ``members``: (bucket, key, center, comp), stored.
+def rest_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: int = WORDS, similar: float = SIMILAR,
+               block: int = BLOCK, most: int = MOST_BLOCKS) -> DataFrame:
+    """Links across components within a bucket. ``members``: (bucket, band, key, center, comp), stored.
 
-    A bucket above ``block`` members is cut by a second band first: pairs above the threshold share a further band in all
-    but one of 10,000 cases at 0.8, and far less above. What is still larger is compared block against block.
+    A bucket above ``block`` members is compared block against block, each member once per block. Above ``most`` blocks that
+    would cost more than cutting it by a second band first, which a member does for each further band it shares: pairs
+    above the threshold share one in all but one of 10,000 cases at 0.8, and far less above.
     """
-    opened = open_buckets(members)
-    kept = store(members.join(opened, "bucket"), "open")
-    large = kept.filter(F.col("n") > block).drop("n")
-    other = kept.select("key", F.col("bucket").alias("second"))
-    finer = large.join(other, "key").filter("bucket != second").select(
-        F.xxhash64(F.least("bucket", "second"), F.greatest("bucket", "second")).alias("bucket"), "key", "center", "comp")
-    finer = store(finer.distinct(), "finer")
-    parts = kept.filter(F.col("n") <= block).unionByName(finer.join(open_buckets(finer), "bucket"))
+    kept = store(members.join(open_buckets(members), "bucket"), "open")
+    large = kept.filter(F.col("n") > block * most).drop("n")
+    other = kept.select("key", F.col("bucket").alias("second"), F.col("band").alias("finer"))
+    finer = store(large.join(other, "key").filter("band < finer").select(
+        F.xxhash64("bucket", "second").alias("bucket"), "band", "finer", "key", "center", "comp"), "finer")
+    parts = kept.filter(F.col("n") <= block * most).withColumn("finer", F.lit(-1)).unionByName(
+        finer.join(open_buckets(finer, 2), "bucket"))
     n_blocks = F.ceil(F.col("n") / block).cast("int")
     mine = F.pmod(F.xxhash64("key", F.lit(7)), n_blocks).cast("int")
     spread = parts.withColumn("_n", n_blocks).withColumn("_i", mine).withColumn(
         "_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
-    spread = spread.select("bucket", F.least("_i", "_j").alias("_i"), F.greatest("_i", "_j").alias("_j"), "key", "center", "comp")
-    with_sig = spread.join(nodes.select("key", "sig"), "key")
-    return with_sig.groupBy("bucket", "_i", "_j").applyInPandas(
-        lambda pdf: across(pdf), "a binary, b binary").distinct()
+    spread = spread.select("bucket", "band", "finer", F.least("_i", "_j").alias("_i"), F.greatest("_i", "_j").alias("_j"),
+                           "key", "center", "comp")
+    full = spread.join(nodes.select("key", "sig"), "key").join(texts, "key")
+    return full.groupBy("bucket", "_i", "_j").applyInPandas(
+        lambda pdf: linked(pdf, words, similar), "a binary, b binary")
 
 
 def classes(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
@@ -151,12 +185,11 @@ def classes(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> Da
     texts = store(body.join(wanted, F.col("_id").eqNullSafe(F.col("_d")) & (F.col("_x") == F.col("_h"))).select(
         "key", "b").dropDuplicates(["key"]), "texts")
     star = members.filter("key != center").select(F.col("center").alias("a"), F.col("key").alias("b")).distinct()
-    check = partial(verified, texts=texts, words=words, similar=similar)
-    links = store(check(star), "links")
+    links = store(verified(star, texts, words, similar), "links")
     first = components(links)
     comp = members.join(first, F.col("key") == F.col("node"), "left").select(
-        "bucket", "key", "center", F.coalesce("label", "key").alias("comp"))
-    more = store(check(rest_pairs(store(comp, "members"), nodes)), "links")
+        "bucket", "band", "key", "center", F.coalesce("label", "key").alias("comp"))
+    more = store(rest_links(store(comp, "members"), nodes, texts, words, similar), "links")
     label = first if more.isEmpty() else components(links.unionByName(more))
     return rows.groupBy("doc_id", "h", "key").agg(F.count("*").alias("copies")).join(
         label, F.col("key") == F.col("node"), "left").select(

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -98,6 +99,11 @@ def test_quality_rule_counts(docs, labels):
     assert have == want
 
 
+def test_quality_rules_run_no_python(docs, labels):
+    for df in (quality_rules.quality_rules(docs, labels), quality_rules.keep_good(docs, labels)):
+        assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
 @pytest.mark.parametrize("k, n, p", [(0, 10, 0.1), (3, 50, 0.05), (20, 4000, 0.01), (7, 7, 0.3)])
 def test_binomial_tail(spark, k, n, p):
     got = spark.range(1).select(quality_rules.log_binomial_tail(F.lit(k).cast("long"), F.lit(n).cast("long"), F.lit(p))).first()[0]
@@ -243,13 +249,18 @@ def test_near_dup(docs):
     check_near(docs)
 
 
-@pytest.mark.parametrize("block", [1024, 8])
-def test_near_dup_of_a_large_group(spark, monkeypatch, block):
-    """With a block of 8 every bucket of the group is cut by a second band and compared block against block."""
-    monkeypatch.setattr(near_dup.rest_links, "__defaults__", (5, 0.8, block))
+@pytest.mark.parametrize("block, most", [(1024, 16), (8, 16), (8, 1)])
+def test_near_dup_of_a_large_group(spark, monkeypatch, block, most):
+    """With a block of 8 the group's buckets are compared block against block, or first cut by a second band."""
+    monkeypatch.setattr(near_dup.rest_links, "__defaults__", (5, 0.8, block, most))
     assert len(check_near(frame(spark, chain(80) + made_texts()[:12]))) > 1
 
 
+def test_a_block_with_its_center_alone():
+    row = {"key": b"k", "center": b"k", "comp": b"k", "band": 0, "finer": -1, "sig": bytes(4 * 96), "b": b"text"}
+    assert near_dup.linked(pd.DataFrame([row]), 5, 0.8).empty
+
+
 def test_near_stage(docs, none):
     kept = near_dup.keep_one(docs)
     assert kept.columns == docs.columns
