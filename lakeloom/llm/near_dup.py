@@ -200,7 +200,8 @@ def decided(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> Da
     """(doc_id, h, copies, class_id, stays, class_size). The smallest doc_id of a class stays, a null id only if there is no other."""
     rows = store(classes(docs, words, similar), "classes")
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "h")
-    heads = rows.groupBy("class_key").agg(F.min(order).alias("head"), F.sum("copies").alias("class_size"))
+    # Stored, so that Spark sees two plain sides and can split the rows of a class that holds a third of the table.
+    heads = store(rows.groupBy("class_key").agg(F.min(order).alias("head"), F.sum("copies").alias("class_size")), "heads")
     return rows.join(heads, "class_key").select(
         "doc_id", "h", "copies", F.col("head.doc_id").alias("class_id"), "class_size",
         (F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("h") == F.col("head.h"))).alias("stays"))
