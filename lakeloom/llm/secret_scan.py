@@ -1,16 +1,19 @@
 """Finds secrets: three fixed patterns, and strings that look random to character Markov models.
 
-Two first-order character models are trained on labelled samples: random strings (hexadecimal, base-32, base-64, letters and digits of
-a seeded generator) and ordinary identifiers (the long words of the table's own documents outside the patterns' matches). A candidate
-is a run of key characters that no pattern claimed; it is a secret if its log-likelihood ratio per character is above a threshold
-that a held-out part of the ordinary sample almost never reaches.
+Two first-order character models are compared: of random strings (hexadecimal, base-32, base-64, letters and digits of a seeded
+generator) and of ordinary words (the long words of all documents outside the patterns' matches). Keys hardly ever occur in two
+different texts, so a word of one text alone does not count as ordinary; the others count once per document. A candidate is a run
+of key characters that no pattern claimed; it is a secret if its log-likelihood ratio per character is above a threshold that
+ordinary words almost never reach, each scored by a model that has not seen it, and that nearly all random strings pass.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -20,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.helpers import text_or_empty
+from lakeloom.llm.helpers import store, text_or_empty
 
 # The base patterns and their least lengths.
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -32,10 +35,12 @@ KINDS = ("assign", "access", "hex", "random")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
-SAMPLE_ROWS = 20_000     # documents that give ordinary identifiers; the only bound, and on training alone
 SAMPLE_STRINGS = 20_000  # random strings
 SMOOTHING = 0.5
-FALSE_RATE = 0.0005      # of held-out ordinary identifiers above the threshold
+FALSE_RATE = 0.0005      # of ordinary words above the threshold
+MISS_RATE = 0.01         # of fresh random strings below it, at most
+FOLDS = 5                # parts of the ordinary words, each scored by a model of the others
+BIN = 1 / 1024           # width of the scores' histogram
 SEED = 23
 CODE = np.full(128, -1, dtype=np.int64)
 CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
@@ -77,13 +82,24 @@ def random_strings(n: int, seed: int) -> list[str]:
     return ["".join(rng.choices(kinds[i % len(kinds)], k=rng.randint(16, 64))) for i in range(n)]
 
 
+def threshold(ratio: np.ndarray, ordinary: dict[int, int], seed: int) -> float:
+    """What ``FALSE_RATE`` of the ordinary words reach (``ordinary``: words by bin of their score), but ``MISS_RATE`` of random strings fail."""
+    left, top = FALSE_RATE * sum(ordinary.values()), 0.0
+    for k in sorted(ordinary, reverse=True):
+        left -= ordinary[k]
+        if left < 0:
+            top = (k + 1) * BIN
+            break
+    fresh = Model(ratio, 0.0)
+    low = float(np.quantile([fresh.score(x) for x in random_strings(SAMPLE_STRINGS // 4, seed + 1)], MISS_RATE))
+    return min(max(0.0, top) + 1e-9, low)
+
+
 def trained(ordinary: list[str], held_out: list[str], seed: int = SEED) -> Model:
     """The two models and their threshold. Without ordinary strings every character is as likely, and only certain keys pass."""
     ratio = transitions(count_pairs(random_strings(SAMPLE_STRINGS, seed))) - transitions(count_pairs(ordinary))
     model = Model(ratio, 0.0)
-    scores = sorted(map(model.score, held_out), reverse=True)
-    top = scores[int(len(scores) * FALSE_RATE)] if scores else 0.0
-    return Model(ratio, max(0.0, top) + 1e-9)
+    return Model(ratio, threshold(ratio, Counter(math.floor(model.score(x) / BIN) for x in held_out), seed))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -124,30 +140,84 @@ def written(spans: Iterable[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{z}" for a, k, z in spans)
 
 
-def fit(docs: DataFrame, rows: int = SAMPLE_ROWS, seed: int = SEED) -> Model:
-    """A model from at most ``rows`` documents (those with the smallest hash in each part); the counts come back, no texts.
-
-    Every fifth sampled document is held out for the threshold.
-    """
-    text = text_or_empty()
-    n = docs.count()
-    share = min(1.0, rows / max(n, 1))
-    picked = docs.select(text.alias("t")).filter(F.pmod(F.xxhash64(F.lit(seed), "t"), F.lit(1_000_000)) < int(share * 1_000_000))
+def ordinary_words(docs: DataFrame, seed: int = SEED) -> DataFrame:
+    """(word, n, fold): long words of at least two different texts, with the number of their documents."""
     word = re.compile(r"[A-Za-z0-9+/_=-]{8,}")
+    schema = "word string, n long, lo long, hi long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found: dict[str, None] = {}
-            for x in b.column(0):
+            found: dict[str, tuple[int, int, int]] = {}
+            for h, x in zip(b.column(0).to_pylist(), b.column(1)):
                 t = x.as_py()
                 base = base_spans(t)
-                found.update((t[a:z], None) for a, z in outside(word, t, base))
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string())], ["word"])
+                for w in {t[a:z] for a, z in outside(word, t, base)}:
+                    n, lo, hi = found.get(w, (0, h, h))
+                    found[w] = (n + 1, min(lo, h), max(hi, h))
+            counts = zip(*found.values()) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.string()), *(pa.array(c, pa.int64()) for c in counts)], ["word", "n", "lo", "hi"])
+
+    text = text_or_empty()
+    words = docs.select(F.xxhash64(text).alias("h"), text.alias("t")).mapInArrow(run, schema)
+    return words.groupBy("word").agg(F.sum("n").alias("n"), F.min("lo").alias("lo"), F.max("hi").alias("hi")).filter(
+        "lo != hi").select("word", "n", F.pmod(F.xxhash64(F.lit(seed), "word"), F.lit(FOLDS)).cast("int").alias("fold"))
+
+
+def pairs_in(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, lengths, last, next): where the words of a batch start in the codes of all their characters, and its character pairs."""
+    words = b.column(0).to_pylist()
+    lengths = np.array([len(w) for w in words])
+    starts = np.cumsum(lengths) - lengths
+    at = CODE[np.frombuffer("".join(words).encode("ascii"), dtype=np.uint8)]
+    last = np.r_[START, at[:-1]]
+    last[starts] = START
+    return starts, lengths, last, at
 
-    words = picked.mapInArrow(run, "word string").distinct()
-    kept = words.orderBy(F.xxhash64(F.lit(seed), "word"), "word").limit(SAMPLE_STRINGS * 2)  # a bounded sample is the feature
-    strings = [r[0] for r in kept.collect()]
-    return trained([s for i, s in enumerate(strings) if i % 5], strings[::5], seed)
+
+def fold_pairs(words: DataFrame) -> np.ndarray:
+    """Character pairs of all words by fold, added up in the tasks."""
+    shape = (FOLDS, START + 1, START)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(math.prod(shape), dtype=np.int64)
+        for b in batches:
+            if b.num_rows:
+                _, lengths, last, at = pairs_in(b)
+                n, fold = (np.repeat(b.column(i).to_numpy(), lengths) for i in (1, 2))
+                np.add.at(counts, np.ravel_multi_index((fold, last, at), shape), n)
+        pair = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(counts[pair])], ["pair", "n"])
+
+    out = np.zeros(math.prod(shape))
+    for pair, n in words.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n")).collect():
+        out[pair] = n
+    return out.reshape(shape)
+
+
+def score_counts(words: DataFrame, ratios: np.ndarray) -> dict[int, int]:
+    """Words, by documents, per bin of their score under the ratios of their fold."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: Counter = Counter()
+        for b in batches:
+            if b.num_rows:
+                starts, lengths, last, at = pairs_in(b)
+                fold = np.repeat(b.column(2).to_numpy(), lengths)
+                score = np.add.reduceat(ratios[fold, last, at], starts) / lengths
+                for k, n in zip(np.floor(score / BIN).astype(int).tolist(), b.column(1).to_pylist()):
+                    found[k] += n
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], ["bin", "n"])
+
+    return {k: n for k, n in words.mapInArrow(run, "bin long, n long").groupBy("bin").agg(F.sum("n")).collect()}
+
+
+def fit(docs: DataFrame, seed: int = SEED) -> Model:
+    """A model of all documents. What comes back is sums per character pair and per score, no texts."""
+    words = store(ordinary_words(docs, seed), "words")
+    keys, ordinary = transitions(count_pairs(random_strings(SAMPLE_STRINGS, seed))), fold_pairs(words)
+    ratios = np.stack([keys - transitions(ordinary.sum(axis=0) - part) for part in ordinary])
+    ratio = keys - transitions(ordinary.sum(axis=0))
+    return Model(ratio, threshold(ratio, score_counts(words, ratios), seed))
 
 
 def secret_scan(docs: DataFrame, model: Model | None = None) -> DataFrame:

@@ -455,6 +455,33 @@ def test_markov_models_tell_keys_from_identifiers():
     assert "random:0:24" in secret_scan.written(secret_scan.spans_of("x9Kq3vT7bLm2Zr8WcN5pHd4F and", model))
 
 
+def test_keys_of_the_corpus_do_not_raise_the_threshold(spark):
+    """One key in every third document, and copies of one that holds another key: all of them are found, the words are not."""
+    rng = random.Random(9)
+    syllables = "tion er in re the con pre ment al is or en st ate ly".split()
+    words = ["_".join("".join(rng.choices(syllables, k=3)) for _ in range(3)) for _ in range(300)]
+    keys = ["".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=32)) for _ in range(1001)]
+    texts = [" ".join(rng.choices(words, k=5)) + (f" {keys[i // 3]}" if i % 3 == 0 else "") for i in range(3000)]
+    got = secret_scan.secret_scan(frame(spark, texts + [keys[1000]] * 500)).select("doc_id", "n_random").collect()
+    want = {i: int(i % 3 == 0) for i in range(3000)} | dict.fromkeys(range(3000, 3500), 1)
+    assert sum(abs(r["n_random"] - want[r["doc_id"]]) for r in got) <= 15
+
+
+def test_character_pairs_of_all_words(docs, none):
+    words = secret_scan.ordinary_words(docs)
+    want, texts = Counter(), defaultdict(set)
+    for _, t in pairs_of(docs):
+        t = t or ""
+        for w in {t[a:z] for a, z in secret_scan.outside(re.compile("[A-Za-z0-9+/_=-]{8,}"), t, plain_spans(t))}:
+            want[w] += 1
+            texts[w].add(t)
+    want = {w: n for w, n in want.items() if len(texts[w]) > 1}
+    assert {r["word"]: r["n"] for r in words.collect()} == want
+    plain = sum((n * secret_scan.count_pairs([w]) for w, n in want.items()), secret_scan.count_pairs([]))
+    assert (secret_scan.fold_pairs(words).sum(axis=0) == plain).all()
+    assert secret_scan.fold_pairs(secret_scan.ordinary_words(none)).sum() == 0
+
+
 # archives
 
 def page_rows():
