@@ -171,7 +171,9 @@ def rest_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: in
 
 
 def classes(docs: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
-    """(doc_id, h, copies, class_key) per distinct (doc_id, text)."""
+    """(doc_id, h, copies, class_key) per distinct (doc_id, text). Bands and sketches are laid out for ``SIMILAR`` and above."""
+    if similar < SIMILAR:
+        raise ValueError(f"pairs below a similarity of {SIMILAR} would be missed")
     rows = store(sketched(docs, words), "sketches")
     nodes = store(rows.groupBy("key").agg(
         F.min(F.struct("doc_id", "h")).alias("of"), F.first("sig").alias("sig")), "nodes")

@@ -261,6 +261,12 @@ def test_a_block_with_its_center_alone():
     assert near_dup.linked(pd.DataFrame([row]), 5, 0.8).empty
 
 
+@pytest.mark.parametrize("run", [near_dup.classes, near_dup.near_dup, near_dup.keep_one])
+def test_similarities_that_the_bands_do_not_serve(none, run):
+    with pytest.raises(ValueError):
+        run(none, similar=0.6)
+
+
 def test_near_stage(docs, none):
     kept = near_dup.keep_one(docs)
     assert kept.columns == docs.columns
