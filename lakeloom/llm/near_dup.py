@@ -26,10 +26,11 @@ from lakeloom.llm.helpers import packed, store, text_or_empty, unpacked
 WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 4       # two texts of similarity 0.8 miss each other in all bands 3 times in a million
-LIKELY = 0.64             # sketches of a pair at 0.8 agree in less than this once in 10,000 pairs
+LIKELY = 57 / 96          # sketches of a pair at 0.8 agree in less than this less often than such a pair misses in all bands
 BLOCK = 1024              # members that one task compares at a time
-MOST_BLOCKS = 16          # larger buckets are cut by a second band
+MOST_BLOCKS = 16          # in larger buckets pairs that share a second band meet in that
 BATCH_WORDS = 200_000     # words that are sketched together
+ALONE = -2                # instead of a second band: pairs that share none
 
 
 def sketched(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -97,7 +98,7 @@ def linked(pdf: pd.DataFrame, words: int, similar: float, likely: float = LIKELY
     """Links (a, b) that join components of one block.
 
     A pair is looked at in one block only: that of the first band it shares, or of the first two where that bucket was cut finer
-    (``finer`` is the second band there, else -1). Pairs of components that a link has joined meanwhile are left out: they
+    (``finer`` is the second band there, ``ALONE`` for pairs that share no other band, else -1). Pairs of components that a link has joined meanwhile are left out: they
     would join nothing.
     """
     pdf = pdf[pdf["key"] != pdf["center"]].drop_duplicates("key").reset_index(drop=True)
@@ -106,6 +107,7 @@ def linked(pdf: pd.DataFrame, words: int, similar: float, likely: float = LIKELY
     sig = np.frombuffer(b"".join(pdf["sig"]), "<u4").reshape(len(pdf), -1)
     comp, keys, pairs = pd.factorize(pdf["comp"])[0], pdf["key"].to_numpy(), []
     bands = np.array([int(b) for b in (pdf["band"].iloc[0], pdf["finer"].iloc[0]) if b >= 0])
+    upto = BANDS if pdf["finer"].iloc[0] == ALONE else bands[-1] + 1
     for i in range(len(pdf) - 1):
         rest = np.flatnonzero(comp[i + 1:] != comp[i]) + i + 1
         same = sig[rest] == sig[i]
@@ -113,8 +115,8 @@ def linked(pdf: pd.DataFrame, words: int, similar: float, likely: float = LIKELY
         on = alike >= likely
         rest, same, alike = rest[on], same[on], alike[on]
         shared = same.reshape(len(rest), BANDS, ROWS).all(axis=2)
-        # The block's bands are shared, and no other one before the last of them.
-        on = shared[:, bands].all(axis=1) & (shared[:, :bands[-1] + 1].sum(axis=1) == len(bands))
+        # The block's bands are shared, and no other one before the last of them, or no other one at all.
+        on = shared[:, bands].all(axis=1) & (shared[:, :upto].sum(axis=1) == len(bands))
         pairs += [(x, i, j) for x, j in zip(alike[on].tolist(), rest[on].tolist())]
     root = list(range(int(comp.max()) + 1))
     memo, bags, out = shingles.WordHashes(), {}, []
@@ -148,17 +150,17 @@ def rest_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: in
                block: int = BLOCK, most: int = MOST_BLOCKS) -> DataFrame:
     """Links across components within a bucket. ``members``: (bucket, band, key, center, comp), stored.
 
-    A bucket above ``block`` members is compared block against block, each member once per block. Above ``most`` blocks that
-    would cost more than cutting it by a second band first, which a member does for each further band it shares: pairs
-    above the threshold share one in all but one of 10,000 cases at 0.8, and far less above.
+    A bucket above ``block`` members is compared block against block, each member once per block. Above ``most`` blocks, pairs that
+    share further bands meet within the second one, among fewer members; the blocks against blocks are left with the pairs that
+    share this band alone. All pairs of a bucket are looked at, whatever its size.
     """
     kept = store(members.join(open_buckets(members), "bucket"), "open")
     large = kept.filter(F.col("n") > block * most).drop("n")
     other = kept.select("key", F.col("bucket").alias("second"), F.col("band").alias("finer"))
     finer = store(large.join(other, "key").filter("band < finer").select(
         F.xxhash64("bucket", "second").alias("bucket"), "band", "finer", "key", "center", "comp"), "finer")
-    parts = kept.filter(F.col("n") <= block * most).withColumn("finer", F.lit(-1)).unionByName(
-        finer.join(open_buckets(finer, 2), "bucket"))
+    whole = F.when(F.col("n") <= block * most, -1).otherwise(ALONE)
+    parts = kept.withColumn("finer", whole).unionByName(finer.join(open_buckets(finer, 2), "bucket"))
     n_blocks = F.ceil(F.col("n") / block).cast("int")
     mine = F.pmod(F.xxhash64("key", F.lit(7)), n_blocks).cast("int")
     spread = parts.withColumn("_n", n_blocks).withColumn("_i", mine).withColumn(

@@ -267,6 +267,36 @@ def test_similarities_that_the_bands_do_not_serve(none, run):
         run(none, similar=0.6)
 
 
+def sketches_alike(n, same):
+    """Sketches that share band 0 and no other, and agree in ``same`` components."""
+    sig = np.tile(np.arange(96, dtype="<u4"), (n, 1))
+    own = [4 * b + k for k in range(4) for b in range(1, 24)][:96 - same]
+    sig[:, own] = 1000 + np.arange(n)[:, None] * 96 + np.arange(len(own))
+    return [x.tobytes() for x in sig]
+
+
+def test_pairs_of_a_large_bucket_that_share_one_band(spark):
+    keys = [bytes([i]) for i in range(20)]
+    members = spark.createDataFrame([(1, 0, k, keys[0], k) for k in keys], "bucket long, band int, key binary, center binary, comp binary")
+    nodes = spark.createDataFrame(list(zip(keys, sketches_alike(20, 73))), "key binary, sig binary")
+    texts = spark.createDataFrame([(k, b"one two three four five six") for k in keys], "key binary, b binary")
+    links = near_dup.rest_links(members, nodes, texts, 5, 0.8, 8, 1).collect()
+    root = {k: k for k in keys}
+    for r in links:
+        a, b = root[bytes(r["a"])], root[bytes(r["b"])]
+        root = {k: a if x == b else x for k, x in root.items()}
+    assert len({root[k] for k in keys[1:]}) == 1
+
+
+@pytest.mark.parametrize("same, found", [(73, 1), (57, 1), (40, 0)])
+def test_sketches_that_hardly_agree(same, found):
+    rows = [{"key": bytes([i]), "center": b"k", "comp": bytes([i]), "band": 0, "finer": -1, "sig": x, "b": b"one two three four five six"}
+            for i, x in enumerate(sketches_alike(2, same))]
+    assert len(near_dup.linked(pd.DataFrame(rows), 5, 0.8)) == found
+    below = sum(math.comb(96, i) * 0.8**i * 0.2**(96 - i) for i in range(round(96 * near_dup.LIKELY)))
+    assert below < (1 - 0.8**near_dup.ROWS)**near_dup.BANDS
+
+
 def test_near_stage(docs, none):
     kept = near_dup.keep_one(docs)
     assert kept.columns == docs.columns
