@@ -1,8 +1,8 @@
 """Mixes sources to target weights by fitting subset sums of document lengths.
 
 Each source gets whole repeats of all its documents, as many as its target holds, and for the rest of its budget a number of documents
-of each exact length: first the same share of every length, then a bounded knapsack over the lengths for
-what is left. Which documents of a length are taken follows from a seeded hash, so reruns agree.
+of each exact length: first the same share of every length, rounded up or down so that the sums along the lengths hold, then a bounded
+knapsack over the lengths for what is left. Which documents of a length are taken follows from a seeded hash, so reruns agree.
 
 Only (source, length) counts reach Python. The chosen documents of a length are those up to a hash threshold, so
 rows meet their plan by (source, length) and no text moves.
@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,6 +88,27 @@ def subset_sum(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
     return take
 
 
+def shares(sizes: np.ndarray, counts: np.ndarray, part: int, total: int, seed: int = SEED) -> np.ndarray:
+    """``counts * part / total``, each rounded down or up: systematic rounding along the lengths from a seeded start.
+
+    The words taken differ from ``part`` by at most the largest size; what is above is handed back.
+    """
+    start = xxhash.xxh64_intdigest(np.stack([sizes, counts]).astype("<i8").tobytes(), seed) % total
+    order = np.argsort(sizes, kind="stable")
+    more, done = np.zeros(len(sizes), dtype=np.int64), start
+    for i in order:
+        more[i] = (done % total + int(counts[i]) * part) // total
+        done = done % total + int(counts[i]) * part
+    over = int((more * sizes).sum()) - part
+    while over > 0:
+        held = order[more[order] > 0]
+        enough = held[sizes[held] >= over]
+        i = enough[0] if len(enough) else held[-1]
+        more[i] -= 1
+        over -= int(sizes[i])
+    return more
+
+
 def fit(sizes: np.ndarray, counts: np.ndarray, target: float) -> tuple[int, np.ndarray]:
     """(whole repeats, documents of each size to take once more) for one source."""
     total = int((sizes * counts).sum())
@@ -95,7 +117,7 @@ def fit(sizes: np.ndarray, counts: np.ndarray, target: float) -> tuple[int, np.n
         return 0, more
     whole = int((target + 1e-6) // total)
     budget = max(0, round(target - whole * total))
-    more = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
+    more = shares(sizes, counts, budget - min(budget // 8, KNAPSACK // 2), total)
     rest = budget - int((more * sizes).sum())
     for i in np.argsort(-sizes, kind="stable"):
         if rest <= KNAPSACK or not sizes[i]:

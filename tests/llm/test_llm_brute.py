@@ -354,6 +354,14 @@ def test_fit_comes_as_near_as_possible():
         assert (take <= counts).all() and (take * sizes).sum() == max(x for x in reach if x <= budget)
 
 
+def test_lengths_of_one_document_each_share_alike():
+    sizes = np.arange(1000, 3000)
+    whole, more = mixing.fit(sizes, np.ones(2000, dtype=np.int64), sizes.sum() / 2)
+    assert whole == 0 and more.max() == 1 and (more * sizes).sum() == sizes.sum() // 2
+    for part in np.split(more, 10):
+        assert 80 <= part.sum() <= 120
+
+
 def test_mix_repeated_rows(spark, none):
     df = frame(spark, ["one two three four"] * 30 + ["a b"] * 9, [1] * 30 + [2] * 9).withColumn("source", F.lit("s"))
     assert sum(r["taken"] for r in mixing.mix(df).collect()) in (206, 207)
