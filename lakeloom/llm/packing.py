@@ -23,7 +23,7 @@ from lakeloom.llm.helpers import store, text_or_empty
 from lakeloom.llm.tokens import Encoder
 
 LENGTH = 2048
-DOCUMENTS = 1024
+DOCUMENTS = 2048         # as many as tokens: one-token pieces fill a sequence
 COST = LENGTH * LENGTH   # one full piece
 WEIGHTS = (1.0, 0.001, 0.001)  # tokens decide, the others break ties
 ROUND = 16384            # shorter pieces packed together

@@ -371,6 +371,10 @@ def test_mix_repeated_rows(spark, none):
 
 # tokens and packing
 
+def test_one_token_pieces_fill_a_sequence():
+    assert packing.best_fit(np.ones(4096, dtype=np.int64))[2] == 2
+
+
 @pytest.fixture(scope="module")
 def library():
     return Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
