@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,14 +28,14 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, BLANKS), lambda w: w != "")
 
 
-def store(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once below the cluster's shared folder and read back.
+def store(df: DataFrame, label: str, *by: str) -> DataFrame:
+    """``df`` written once below the cluster's shared folder, in a folder per value of ``by``, and read back.
 
     Later steps read the files: they do not repeat the work above, a lost executor costs no more than
     its own tasks, and the planner knows the size.
     """
     path = workspace(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -45,3 +46,13 @@ def packed(df: DataFrame) -> Column:
 
 def unpacked(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"{name}.`{c}`").alias(c) for c in columns])
+
+
+def pieces(text: bytes, separator: re.Pattern, size: int = 1 << 20) -> Iterator[bytes]:
+    """``text`` in parts of about ``size`` bytes, cut where a separator begins: no match between separators is divided."""
+    start = 0
+    while start < len(text):
+        found = separator.search(text, start + size) if start + size < len(text) else None
+        stop = found.start() if found else len(text)
+        yield text[start:stop]
+        start = stop

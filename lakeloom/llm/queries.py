@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakeloom.llm import exact_dedup, mixing, near_dup, packing, quality_model, quality_rules, secret_scan, sharding, tokens, warc
+from lakeloom.llm import exact_dedup, importance, lexical_search, line_dedup, mixing, near_dup, packing, quality_model, quality_rules, secret_scan, sharding, tokens, warc
 from lakeloom.sources.tables import Tables
 
 
@@ -56,6 +56,21 @@ def op1(spark, folder):
     return quality_model.scored(t["documents"], quality_model.fit(t["documents"], ratings, grades=3))
 
 
+def op11(spark, folder):
+    return line_dedup.line_dedup(Tables(spark, folder)["documents"]).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12(spark, folder):
+    t = Tables(spark, folder)
+    return lexical_search.search(t["benchmark"], t["documents"])
+
+
+def op13(spark, folder):
+    t = Tables(spark, folder)
+    return importance.resample(t["documents"], t["benchmark"])
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_quality_model": op1,
@@ -68,6 +83,9 @@ QUERIES = {
     "op8_token_counts": op8,
     "op9_packing": op9,
     "op10_near_dup": op10,
+    "op11_line_dedup": op11,
+    "op12_lexical_search": op12,
+    "op13_importance": op13,
 }
 
 # 1000 * a / b and the like give doubles in DuckDB as in Spark.
@@ -83,6 +101,10 @@ _SHA_PART = "CAST('0x' || substr(sha1(t), 5 * i + 1, 5) AS BIGINT)"
 _BASE32 = " || ".join(
     f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(({_SHA_PART} >> {k}) & 31 AS BIGINT) + 1, 1)" for k in (15, 10, 5, 0))
 
+_UPPER, _LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ'", "'abcdefghijklmnopqrstuvwxyz'"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+_FEATURE = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
 ORACLES: dict[str, str] = {
     "op4_quality_rules": f"""
         WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
@@ -130,4 +152,56 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
         FROM d WINDOW g AS (PARTITION BY t)""",
+    "op11_line_dedup": f"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (SELECT rid, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS pos FROM d),
+        k AS (SELECT *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+        held AS (SELECT key, max(doc_id) AS keep FROM k WHERE length(key) >= {line_dedup.LENGTH}
+                 GROUP BY 1 HAVING count(DISTINCT doc_id) >= {line_dedup.LEAST}),
+        m AS (SELECT k.*, held.key IS NOT NULL AND k.doc_id <> keep AS lost FROM k LEFT JOIN held USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT lost), '')) AS kept_sha256
+        FROM m GROUP BY rid, doc_id""",
+    "op12_lexical_search": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '{_TERM}') AS words
+                   FROM documents),
+        stat AS (SELECT count(*) FILTER (len(words) > 0) AS docs, sum(len(words))::BIGINT AS terms FROM d),
+        t AS (SELECT doc_id, unnest(words) AS term, len(words) AS n FROM d),
+        tf AS (SELECT doc_id, term, any_value(n) AS n, count(*) AS tf FROM t GROUP BY 1, 2),
+        q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '{_TERM}')) AS term
+              FROM benchmark),
+        w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+              FROM tf, stat WHERE term IN (SELECT term FROM q) GROUP BY 1),
+        s AS (SELECT item_id, doc_id, CAST(sum(w.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms)))) AS BIGINT)
+                AS score FROM q JOIN tf USING (term) JOIN w USING (term), stat GROUP BY 1, 2),
+        r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+        SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= {lexical_search.BEST}""",
+    "op13_importance": f"""
+        WITH RECURSIVE table_of AS (SELECT list(c ORDER BY i) AS crc FROM (
+          SELECT i, list_reduce(list_concat([i], range(0, 8)), lambda c, k: CASE WHEN c & 1 = 1
+                   THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(0, 256) AS r(i))),
+        d AS (SELECT row_number() OVER () AS rid, doc_id,
+                regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '{_FEATURE}') AS words FROM documents),
+        b AS (SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), {_UPPER}, {_LOWER}), '{_FEATURE}')) AS word FROM benchmark),
+        f AS (SELECT rid, unnest(words) AS word FROM d),
+        word AS (SELECT DISTINCT word FROM (SELECT word FROM f UNION ALL SELECT word FROM b)),
+        code AS (SELECT word, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(range(0, strlen(word)),
+                   lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT))),
+                   lambda c, x: xor(c >> 8, crc[(xor(c, x) & 255) + 1])), 4294967295) % {importance.BUCKETS} AS bucket FROM word, table_of),
+        s AS (SELECT bucket, count(*) AS n FROM f JOIN code USING (word) GROUP BY 1),
+        t AS (SELECT bucket, count(*) AS n FROM b JOIN code USING (word) GROUP BY 1),
+        total AS (SELECT (SELECT coalesce(sum(n), 0) FROM s)::BIGINT AS s, (SELECT coalesce(sum(n), 0) FROM t)::BIGINT AS t),
+        gain AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (total.s + {importance.BUCKETS})
+                   / ((s.n + 1)::DOUBLE * (total.t + {importance.BUCKETS})))) AS BIGINT) AS gain
+                 FROM s LEFT JOIN t USING (bucket), total),
+        w AS (SELECT rid, sum(gain)::BIGINT AS weight FROM f JOIN code USING (word) JOIN gain USING (bucket) GROUP BY 1),
+        scored AS (SELECT doc_id, len(words)::BIGINT AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+                 + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('{importance.SEED}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+                   / 4294967296))) AS BIGINT) AS score FROM d LEFT JOIN w USING (rid)),
+        drawn AS (SELECT *, n_features >= {importance.LEAST_WORDS} AS fit, count(*) FILTER (n_features >= {importance.LEAST_WORDS}) OVER ()
+                   AS fits, row_number() OVER (PARTITION BY n_features >= {importance.LEAST_WORDS} ORDER BY score DESC, doc_id) AS place
+                  FROM scored)
+        SELECT doc_id, n_features, weight, score,
+               CASE WHEN fit AND place <= {importance.PERCENT} * fits // 100 THEN place END AS rank FROM drawn""",
 }
