@@ -95,6 +95,52 @@ def script_word_lengths(s, d) -> DataFrame:
     return scripts.reduce_groups(pairs, "length", add_up, schema)
 
 
+def script_order_gaps(s, d) -> DataFrame:
+    """Days between consecutive orders of a customer, by a user reducer that carries the last date along.
+
+    ``streak`` counts the orders in a row, up to this one, that came within 120 days of the one before.
+    """
+    def gaps(key, parts):
+        last, streak = None, 0
+        for customer, order, date in scripts.rows_of(parts):
+            days = None if last is None else (date - last).days
+            streak = streak + 1 if days is not None and days <= 120 else 0
+            last = date
+            yield customer, order, days, streak
+
+    orders = Tables(s, d)["orders"].select("o_custkey", "o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
+    return scripts.reduce_sorted(orders, ["o_custkey"], gaps, "customer bigint, order bigint, days int, streak int",
+                                 order=["date", "o_orderkey"])
+
+
+def script_reduce_join(s, d) -> DataFrame:
+    """Customers per nation and segment by a reducer over mixed lines, in which the line of the nation comes before its customers.
+
+    Every fourth nation has no line of its own.
+    """
+    def count_people(key, parts):
+        name, segment, n = None, None, 0
+        for nation, kind, value in scripts.rows_of(parts):
+            if kind == "1":
+                name = value
+                continue
+            if n and value != segment:
+                yield name or f"{nation} - unknown", segment, n
+                n = 0
+            segment, n = value, n + 1
+        if n:
+            yield name or f"{key[0]} - unknown", segment, n
+
+    t = Tables(s, d)
+    nations = t["nation"].where("n_nationkey % 4 <> 0").select(
+        F.concat_ws("|", "n_nationkey", F.lit("1"), "n_name").alias("value"))
+    people = t["customer"].select(F.concat_ws("|", "c_nationkey", F.lit("2"), "c_mktsegment").alias("value"))
+    fields = F.split("value", "[|]")
+    lines = nations.unionByName(people).select(
+        F.get(fields, 0).alias("nation"), F.get(fields, 1).alias("kind"), F.get(fields, 2).alias("name"))
+    return scripts.reduce_sorted(lines, ["nation"], count_people, "nation string, segment string, n bigint", order=["kind", "name"])
+
+
 QUERIES = {
     "last_token_filter": lambda s, d: columns.last_token_above(unit_lines(s, d), 30),
     "count_by_field": lambda s, d: aggregates.count_by_field(sale_lines(s, d)),
@@ -104,6 +150,8 @@ QUERIES = {
     "variance_parts": variance_of_quantity,
     "word_count": lambda s, d: words.word_count(document_lines(s, d)),
     "script_word_lengths": script_word_lengths,
+    "script_order_gaps": script_order_gaps,
+    "script_reduce_join": script_reduce_join,
     "cooccur_pairs": lambda s, d: words.partners_per_word(words.cooccur_pairs(document_lines(s, d))),
     "cooccur_stripes": stripe_sizes,
     "common_neighbors": lambda s, d: graph.common_neighbors(referrals(s, d)).drop("list_of"),
@@ -156,6 +204,15 @@ ORACLES = {
     "script_word_lengths": """SELECT least(length(word), 30) AS length, count(*) AS n FROM (
   SELECT unnest(string_split(line, ' ')) AS word FROM (
     SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) WHERE word <> '' GROUP BY 1""",
+    "script_order_gaps": """WITH o AS (SELECT o_custkey AS customer, o_orderkey AS "order", CAST(o_orderdate AS DATE) AS date
+  FROM orders), g AS (SELECT *, CAST(date - lag(date) OVER c AS INTEGER) AS days FROM o
+  WINDOW c AS (PARTITION BY customer ORDER BY date, "order")),
+r AS (SELECT *, count(*) FILTER (days IS NULL OR days > 120) OVER (PARTITION BY customer ORDER BY date, "order"
+  ROWS UNBOUNDED PRECEDING) AS run FROM g)
+SELECT customer, "order", days, CAST(count(*) OVER (PARTITION BY customer, run ORDER BY date, "order" ROWS UNBOUNDED PRECEDING) - 1
+  AS INTEGER) AS streak FROM r""",
+    "script_reduce_join": """SELECT coalesce(n_name, c_nationkey || ' - unknown') AS nation, c_mktsegment AS segment, count(*) AS n
+  FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey % 4 <> 0) ON c_nationkey = n_nationkey GROUP BY 1, 2""",
     "cooccur_pairs": f"""{_PAIRS} SELECT first AS word, count(*) AS n_partners, CAST(sum(n) AS BIGINT) AS n_pairs,
   max(n) AS top_count, CAST(sum(n * (length(second) + 31 * ascii(second) + 1009 * ascii(right(second, 1)))) AS BIGINT)
   AS bound FROM pairs GROUP BY 1""",
