@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.functions import json_fields
+from lakeloom.functions.numbers import exact_sum
 from lakeloom.functions.user_agent import FIELDS
-from lakeloom.plans.star import sales_totals
+from lakeloom.plans.star import sales_rows, sales_totals
 from lakeloom.session import workspace
 from lakeloom.sources.tables import Tables
 from lakeloom.sources.writers import write_mart_batch, write_mart_files
-from lakeloom.streaming import events, jobs, packets, promotions
+from lakeloom.streaming import dedup, events, jobs, packets, promotions
 
 # User agents, and what each one is (in the order of ``user_agent.FIELDS``).
 AGENTS = [
@@ -100,28 +101,63 @@ def _event_stream(s, d) -> DataFrame:
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def refuse_high(df: DataFrame) -> DataFrame:
+    """An enrichment that refuses events whose ``k`` is out of its range."""
+    return df.withColumn(events.REFUSED, json_fields.read_key("doc", "k", "int") >= 95)
+
+
+def deliver(rows: DataFrame, folder: str, files: int) -> None:
+    """Append ``rows`` to a landing folder, in ``files`` files or more."""
+    most = max(1, rows.count() // files)
+    rows.write.mode("append").option("maxRecordsPerFile", most).parquet(folder)
+
+
 def stream_enrich(s, d) -> DataFrame:
-    """Route the message stream to its two topics; count and sample what arrived in each."""
-    home = workspace(s, "enrich")
-    jobs.write_topics(
-        events.route(messages(_event_stream(s, d))), f"{home}/topics", f"{home}/progress",
-        stop_on_empty=True).awaitTermination()
+    """Route the message stream to its two topics; count and sample what arrived in each.
+
+    The messages arrive in two deliveries of many files. Each run of the job takes up where the one before stopped, reads a bounded
+    number of files per batch and stops when it has seen all. One enrichment refuses events.
+    """
+    home, raw = workspace(s, "enrich"), messages(Tables(s, d)["events"])
+    early = F.dayofmonth("ts") <= 15
+    for delivery in (raw.where(early), raw.where(~early)):
+        deliver(delivery, f"{home}/arrived", files=6)
+        jobs.write_topics(
+            events.route(jobs.read_files(s, f"{home}/arrived", max_files=4), [events.enrich_user_agent, refuse_high]),
+            f"{home}/topics", f"{home}/progress", stop_on_empty=True).awaitTermination()
     back = s.read.parquet(f"{home}/topics").withColumn("topic", F.col("topic").cast("string"))
     kept = enriched_fields(back, ["event_type", "user_id", "browser_family"])
     return kept.unionByName(_failed(back).select(F.col("value").alias("event_type")), allowMissingColumns=True)
 
 
+def sent_events(source: DataFrame) -> DataFrame:
+    """(part, id, ts, event_type): the events as they arrive, an eighth part of a month (or what is left of it) after the other.
+
+    An event is sent one to three times at once; every fifth comes again with the next part. Of the first two days' events some
+    come again with the last part, and some come only then.
+    """
+    number, day = F.col("event_id"), F.dayofmonth("ts")
+    part = F.floor((day - 1) / 8).cast("int")
+    first = F.when((day <= 2) & (number % 50 == 9), 3).otherwise(part)
+    times = (number % 3 + 1).cast("int")
+    again = F.when((number % 5 == 0) & (part < 3), F.array(part + 1)).otherwise(F.array().cast("array<int>"))
+    long_after = F.when((day <= 2) & (number % 10 == 3), F.array(F.lit(3))).otherwise(F.array().cast("array<int>"))
+    return source.select(
+        F.explode(F.concat(F.array_repeat(first, times), again, long_after)).alias("part"),
+        F.when(number % 97 != 0, number).alias("id"), F.col("ts").cast("timestamp").alias("ts"), "event_type")
+
+
 def stream_dedup(s, d) -> DataFrame:
-    """Every event sent one to three times comes out once; one without id, as often as it was sent. The table
-    spans a month, and files may be read in any order: ids are kept for that long."""
-    home = workspace(s, "dedup")
-    sent = _event_stream(s, d).select(
-        F.when(F.col("event_id") % 97 != 0, F.col("event_id")).alias("id"), "ts", "event_type",
-        F.explode(F.sequence(F.lit(0), F.col("event_id") % 3)).alias("copy")).drop("copy")
-    jobs.write_files(
-        events.dedup(sent, "id", "ts", "31 days"), f"{home}/events", f"{home}/progress",
-        stop_on_empty=True).awaitTermination()
-    return s.read.parquet(f"{home}/events").select("id", "event_type")
+    """Every event comes out once, one without id as often as it was sent, and events that come too late to tell on an output
+    of their own. The job is restarted before the last part arrives."""
+    home, sent = workspace(s, "dedup"), sent_events(Tables(s, d)["events"])
+    with dedup.keyed_state(s):
+        for parts in ((0, 1, 2), (3,)):
+            for part in parts:
+                sent.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{home}/arrived")
+            told = dedup.first_and_late(jobs.read_files(s, f"{home}/arrived", max_files=1), "id", "ts", "9 days")
+            jobs.write_files(told, f"{home}/events", f"{home}/progress", stop_on_empty=True, by=[dedup.OUTCOME]).awaitTermination()
+    return s.read.parquet(f"{home}/events").select("id", "event_type", F.col(dedup.OUTCOME).cast("string"))
 
 
 def promotion_messages(source: DataFrame) -> DataFrame:
@@ -146,6 +182,49 @@ def stream_promo(s, d) -> DataFrame:
     return s.read.parquet(f"{home}/mart").drop("batch_id")
 
 
+def announced(s, d) -> DataFrame:
+    """Promotion JSON: the first line of each order is announced up to nine days before it is sold."""
+    t = Tables(s, d)
+    lines = t["lineitem"].where("l_linenumber = 1").join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"))
+    fields = F.struct(
+        F.col("o_custkey").alias("store_id"), F.col("l_partkey").alias("item_id"),
+        F.date_sub(F.to_date("o_orderdate"), (F.col("o_orderkey") % 10).cast("int")).alias("date"),
+        F.col("l_extendedprice").alias("price"), F.col("l_discount").alias("discount"))
+    return lines.select(F.to_json(fields).alias("value"))
+
+
+def stream_promo_in_time(s, d) -> DataFrame:
+    """A stream of promotions joined to a stream of sales in the week after, into a mart keyed by micro-batch.
+
+    Both arrive in three periods, with a restart in between. The last one ends with a row of either kind far in the future, so that
+    promotions still waiting for sales are given out.
+    """
+    home = workspace(s, "promo_in_time")
+    sold = sales_rows(Tables(s, d), ["store_number", "item_number", "sale_date", "sale_dollars", "bottles_sold"])
+    sales = sold.groupBy("store_number", "item_number", "sale_date").agg(
+        exact_sum(sold, "sale_dollars").cast("double").alias("revenue"), F.sum("bottles_sold").alias("bottles"))
+    write_mart_files(sales, f"{home}/sales")
+    write_mart_files(promotions.parse_promotions(announced(s, d)), f"{home}/promotions")
+    sales, promos = s.read.parquet(f"{home}/sales"), s.read.parquet(f"{home}/promotions")
+    lo, span = promos.select(F.min("date"), F.date_diff(F.max("date"), F.min("date")) + 1).first()
+    nobody, end = F.lit(-1).cast("bigint"), F.date_add(F.lit(lo), 10_000)
+    # Keys are set: rows that cannot join are left out before they move the watermark.
+    last = {
+        "sales": s.range(1).select(nobody.alias("store_number"), nobody.alias("item_number"), end.alias("sale_date")),
+        "promotions": s.range(1).select(nobody.alias("store_id"), nobody.alias("item_id"), F.date_add(end, 30).alias("date"))}
+    for period in range(3):
+        for name, rows, day in (("sales", sales, "sale_date"), ("promotions", promos, "date")):
+            part = F.least(F.floor(F.date_diff(F.col(day), F.lit(lo)) * 3 / span), F.lit(2))
+            arrived = rows.where(part == period)
+            if period == 2:
+                arrived = arrived.unionByName(last[name], allowMissingColumns=True)
+            arrived.write.mode("append").parquet(f"{home}/arrived/{name}")
+        joined = promotions.promo_join_in_time(
+            jobs.read_files(s, f"{home}/arrived/promotions"), jobs.read_files(s, f"{home}/arrived/sales"))
+        jobs.write_batches(joined, write_mart_batch(f"{home}/mart"), f"{home}/progress", stop_on_empty=True).awaitTermination()
+    return s.read.parquet(f"{home}/mart").drop("batch_id")
+
+
 def captured_packets(s, d) -> DataFrame:
     """Nested packet JSON of the events table: Ethernet, IP, TCP or UDP, and for some a raw body.
 
@@ -184,6 +263,7 @@ QUERIES = {
     "stream_enrich": stream_enrich,
     "stream_dedup": stream_dedup,
     "stream_promo": stream_promo,
+    "stream_promo_in_time": stream_promo_in_time,
 }
 
 
@@ -197,6 +277,8 @@ _VALID = f"event_id % 100 NOT IN (7, 17, 47, 57, 27, 37)"
 _AGENT_FIELDS = "(VALUES " + ", ".join(
     "(" + ", ".join(_literal(x) for x in (i, *fields)) + ")"
     for i, fields in enumerate([*(f for _, f in AGENTS), NO_AGENT])) + f") AS a(agent, {', '.join(FIELDS)})"
+_AGENT_TEXTS = "(VALUES " + ", ".join(
+    f"({i}, {_literal(ua)})" for i, ua in enumerate([*(ua for ua, _ in AGENTS), None])) + ") AS t(agent, ua)"
 _AGENT_NO = f"CASE WHEN event_id % 100 = 67 THEN {len(AGENTS)} ELSE event_id % {len(AGENTS)} END"
 _FAILED_SQL = """CASE event_id % 100 WHEN 7 THEN '{"kind": "anonymous"}' WHEN 17 THEN '{"id": "' || event_id || '", '
   WHEN 47 THEN '[' || event_id || ']' ELSE '{"id": null}' END"""
@@ -223,12 +305,30 @@ UNION ALL SELECT event_id, 2 + deeper, CASE event_type WHEN 'error' THEN 'UDP' E
        WHEN sport IN (80, 8091, 8092) OR dport IN (80, 8091, 8092) THEN 'HTTP'
        WHEN sport = 443 OR dport = 443 THEN 'HTTPS' ELSE 'OTHER' END, received_at, dport FROM t
 UNION ALL SELECT event_id, 3 + deeper, 'Raw', NULL, received_at, NULL FROM t WHERE event_type = 'view'""",
-    "stream_enrich": f"""SELECT CAST(event_id AS VARCHAR) AS id, event_type, user_id, browser_family FROM events
-  JOIN {_AGENT_FIELDS} ON a.agent = {_AGENT_NO} WHERE {_VALID}
+    "stream_enrich": f"""WITH e AS (SELECT *, CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS INTEGER) AS k FROM events
+  JOIN {_AGENT_FIELDS} ON a.agent = {_AGENT_NO} JOIN {_AGENT_TEXTS} ON t.agent = a.agent WHERE {_VALID})
+SELECT CAST(event_id AS VARCHAR) AS id, event_type, user_id, browser_family FROM e WHERE k < 95
+UNION ALL SELECT NULL, '{{"id":"' || event_id || '","event_type":"' || event_type || '","user_id":' || user_id || ',"k":' || k
+  || CASE WHEN ua IS NULL THEN '}}' ELSE ',"user_agent":"' || ua || '"}}' END, NULL, NULL FROM e WHERE k >= 95
 UNION ALL SELECT NULL, {_FAILED_SQL}, NULL, NULL FROM events WHERE event_id % 100 IN {_FAILED_FORMS}""",
-    "stream_dedup": """SELECT event_id AS id, event_type FROM events WHERE event_id % 97 <> 0
-  UNION ALL SELECT NULL, event_type FROM (SELECT event_type, unnest(range(0, event_id % 3 + 1)) AS copy FROM events
-    WHERE event_id % 97 = 0)""",
+    "stream_dedup": """WITH e AS (SELECT *, day(ts) AS d, CAST(floor((day(ts) - 1) / 8.0) AS INTEGER) AS part FROM events),
+s AS (SELECT *, event_id % 3 + 1 AS times, d <= 2 AND event_id % 50 = 9 AS only_late, d <= 2 AND event_id % 10 = 3 AS again_late,
+  event_id % 5 = 0 AND part < 3 AS again FROM e)
+SELECT event_id AS id, event_type, 'first' AS outcome FROM s WHERE event_id % 97 <> 0 AND NOT only_late
+UNION ALL SELECT event_id, event_type, 'late' FROM (SELECT *, unnest(range(0, CASE WHEN only_late THEN times ELSE 1 END)) FROM s
+  WHERE event_id % 97 <> 0 AND (only_late OR again_late))
+UNION ALL SELECT NULL, event_type, 'first' FROM (SELECT *, unnest(range(0, times + CASE WHEN again THEN 1 ELSE 0 END
+  + CASE WHEN again_late THEN 1 ELSE 0 END)) FROM s WHERE event_id % 97 = 0)""",
+    "stream_promo_in_time": """WITH sales AS (SELECT o_custkey AS store_number, l_partkey AS item_number, CAST(o_orderdate AS DATE) AS sale_date,
+  CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS revenue,
+  CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bottles
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3),
+promos AS (SELECT o_custkey AS store_number, l_partkey AS item_number, l_extendedprice AS price, l_discount AS discount,
+  CAST(o_orderdate AS DATE) - CAST(o_orderkey % 10 AS INTEGER) AS date
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1)
+SELECT p.store_number, p.item_number, date, price, discount, sale_date, revenue, bottles, price * (1 - discount) AS promo_price
+FROM promos p LEFT JOIN sales s ON s.store_number = p.store_number AND s.item_number = p.item_number
+  AND sale_date >= date AND sale_date < date + 7""",
     "stream_promo": """WITH totals AS (SELECT o_custkey AS store_number, l_partkey AS item_number,
   CAST(sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4))) AS DOUBLE) AS revenue,
   CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS bottles

@@ -91,7 +91,7 @@ def dedup(events: DataFrame, key: str = "id", event_time: str = "ts", delay: str
     """One event per key; events without a key all stay.
 
     On a stream the keys are kept until ``delay`` after their event time has passed. That is for the caller to choose: an
-    event that comes later still can no longer be compared and is left out. ``jobs.late_rows`` counts those.
+    event that comes later still can no longer be compared and is left out. ``dedup.first_and_late`` hands those on instead.
     """
     keyed, rest = events.where(F.col(key).isNotNull()), events.where(F.col(key).isNull())
     if not events.isStreaming:

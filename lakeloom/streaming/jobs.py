@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
@@ -70,14 +70,11 @@ def write_batches(df: DataFrame, write: Callable[[DataFrame, int], None], checkp
     return _start(df.writeStream.foreachBatch(write), checkpoint, stop_on_empty)
 
 
-def write_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet",
-                stop_on_empty: bool = False) -> StreamingQuery:
-    return _start(df.writeStream.format(fmt).option("path", path), checkpoint, stop_on_empty)
-
-
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that the micro-batches still on record left out because they came after the watermark."""
-    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+def write_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", stop_on_empty: bool = False,
+                by: Sequence[str] = ()) -> StreamingQuery:
+    """Append to one folder, or to one per value of ``by``, each row exactly once."""
+    writer = df.writeStream.format(fmt).option("path", path)
+    return _start(writer.partitionBy(*by) if by else writer, checkpoint, stop_on_empty)
 
 
 def _start(writer, checkpoint: str, stop_on_empty: bool) -> StreamingQuery:
