@@ -1,139 +1,114 @@
-"""Browser, system and device of a user-agent string as column expressions.
+"""Browser, system and device of a user-agent string by a collection of rules, as column expressions.
 
-An ordered rule table covers the common browsers, systems and devices; what no rule matches is
-``Other`` with an empty version, which is also what a missing user agent gives.
+A rule is a row of a table: for a ``field`` (browser, system, device) a ``pattern`` with two groups, the mark it goes by and the version,
+what else must occur (``also``), and what it says: ``family``, ``version`` where it does not stand in the text, ``brand`` and ``model``. An
+empty family is the mark itself, and ``$1`` stands for the mark. The first rule that holds counts; what no rule matches is ``Other``
+with an empty version, and so is a missing user agent.
+
+All rules of a field become the branches of one regular expression, which replaces the text by its groups. Only the groups of the
+branch that matched are not empty, so where they stand names the rule.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import csv
+import re
+from collections.abc import Iterable
+from dataclasses import dataclass, fields
+from functools import cache
+from importlib import resources
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values. (family, marks, pattern whose group 1 is the version); the first rule that holds wins.
-# Of each group of marks, separated by "|", one must occur in the user agent.
-BROWSERS = [
-    ("HeadlessChrome", ["HeadlessChrome/"], r"HeadlessChrome/([0-9.]+)"),
-    ("Opera Mini", ["Opera Mini/"], r"Opera Mini/([0-9.]+)"),
-    ("Edge Mobile", ["EdgA/|EdgiOS/"], r"Edg(?:A|iOS)/([0-9.]+)"),
-    ("Edge", ["Edg/|Edge/"], r"Edge?/([0-9.]+)"),
-    ("Opera Mobile", ["OPR/", "Mobile"], r"OPR/([0-9.]+)"),
-    ("Opera", ["OPR/"], r"OPR/([0-9.]+)"),
-    ("Samsung Internet", ["SamsungBrowser/"], r"SamsungBrowser/([0-9.]+)"),
-    ("Firefox iOS", ["FxiOS/"], r"FxiOS/([0-9.]+)"),
-    ("Firefox Mobile", ["Firefox/", "Mobile;|Tablet;"], r"Firefox/([0-9.]+)"),
-    ("Firefox", ["Firefox/"], r"Firefox/([0-9.]+)"),
-    ("Chrome Mobile iOS", ["CriOS/"], r"CriOS/([0-9.]+)"),
-    ("Chrome Mobile WebView", ["Chrome/", "; wv)"], r"Chrome/([0-9.]+)"),
-    ("Chrome Mobile", ["Chrome/", "Android", "Mobile"], r"Chrome/([0-9.]+)"),
-    ("Chrome", ["Chrome/"], r"Chrome/([0-9.]+)"),
-    ("Mobile Safari", ["Safari/", "iPhone|iPad|iPod"], r"Version/([0-9.]+)"),
-    ("Safari", ["Safari/", "Version/"], r"Version/([0-9.]+)"),
-    ("IE", ["MSIE|Trident/"], r"(?:MSIE |rv:)([0-9.]+)"),
-]
-SYSTEMS = [
-    ("Windows", ["Windows NT"], r"Windows NT ([0-9.]+)"),
-    ("iOS", ["iPhone|iPad|iPod"], r"OS ([0-9_]+) like Mac OS X"),
-    ("Mac OS X", ["Mac OS X"], r"Mac OS X ([0-9_.]+)"),
-    ("Android", ["Android"], r"Android ([0-9.]+)"),
-    ("Chrome OS", ["CrOS"], r"CrOS \w+ ([0-9.]+)"),
-    ("Ubuntu", ["Ubuntu"], r"Ubuntu/([0-9.]+)"),
-    ("Linux", ["Linux"], r"Linux ([0-9.]+)"),
-]
-WINDOWS_RELEASES = {"10.0": "10", "6.3": "8.1", "6.2": "8", "6.1": "7", "6.0": "Vista", "5.1": "XP"}
-# Crawlers by rule: a name that ends so (group 1), and its version (group 2). The first name counts.
-CRAWLER = r"([A-Za-z][A-Za-z-]*(?:[Bb]ot|[Cc]rawler|[Ss]pider|[Ss]lurp))(?![A-Za-z])(?:/([0-9.]+))?"
-TOUCH_SYSTEMS = ["iOS", "Android"]
-MOBILE_BROWSERS = ["Chrome Mobile", "Chrome Mobile iOS", "Mobile Safari", "Firefox Mobile", "Firefox iOS",
-                   "Edge Mobile", "Opera Mobile", "Opera Mini", "Chrome Mobile WebView"]
-ANDROID_MODEL = r"Android [0-9.]+; (?:[a-z]{2}[-_][A-Za-z]{2}; )?([^;)]+?)(?: Build/[^;)]*)?[;)]"
-
 FIELDS = [
     "browser_family", "browser_version", "os_family", "os_version", "device_family", "device_brand",
     "device_model", "device_is_mobile", "device_is_tablet", "device_is_pc", "device_is_bot",
     "device_is_touch_capable",
 ]
-
-
-def _first_match(cases: list[tuple[Column, Column]], otherwise: Column) -> Column:
-    """``when`` chain that takes the first case that holds."""
-    head, *rest = cases
-    return reduce(lambda chain, c: chain.when(*c), rest, F.when(*head)).otherwise(otherwise)
-
-
-def _any_mark(ua: Column, marks: str) -> Column:
-    return reduce(lambda a, b: a | b, [ua.contains(m) for m in marks.split("|")])
-
-
-def _family(ua: Column, rules: list[tuple[str, list[str], str]]) -> Column:
-    return _first_match(
-        [(reduce(lambda a, b: a & b, [_any_mark(ua, m) for m in marks]), F.lit(family))
-         for family, marks, _ in rules], F.lit("Other"))
-
-
-def _version(ua: Column, family: Column, rules: list[tuple[str, list[str], str]]) -> Column:
-    """Up to three numbers joined by dots, or an empty string."""
-    found = _first_match(
-        [(family == name, F.regexp_extract(ua, pattern, 1)) for name, _, pattern in rules], F.lit(""))
-    return F.array_join(F.slice(F.split(F.regexp_replace(found, "_", "."), r"\."), 1, 3), ".")
-
-
-def browser_family(ua: Column) -> Column:
-    return F.when(ua.rlike(CRAWLER), F.regexp_extract(ua, CRAWLER, 1)).otherwise(_family(ua, BROWSERS))
-
-
-def os_family(ua: Column) -> Column:
-    return F.when(ua.rlike(CRAWLER), "Other").otherwise(_family(ua, SYSTEMS))
-
-
-def android_model(ua: Column) -> Column:
-    """Empty for the stand-in "K", which browsers send in place of a model, and for the mark of a web view."""
-    model = F.when(ua.contains("Android"), F.regexp_extract(ua, ANDROID_MODEL, 1)).otherwise("")
-    return F.when(model.isin("K", "wv"), "").otherwise(model)
-
-
-def device_family(ua: Column, model: Column) -> Column:
-    return (
-        F.when(ua.rlike(CRAWLER), "Spider")
-        .when(ua.contains("iPhone"), "iPhone")
-        .when(ua.contains("iPad"), "iPad")
-        .when(ua.contains("iPod"), "iPod")
-        .when(ua.contains("Macintosh"), "Mac")
-        .when(model.startswith("SM-"), F.concat(F.lit("Samsung "), model))
-        .when(model != "", model)
-        .otherwise("Other"))
-
-
-def browser_version(ua: Column, browser: Column) -> Column:
-    crawler = F.array_join(F.slice(F.split(F.regexp_extract(ua, CRAWLER, 2), r"\."), 1, 3), ".")
-    return F.when(ua.rlike(CRAWLER), crawler).otherwise(_version(ua, browser, BROWSERS))
-
-
-def system_number(ua: Column, system: Column) -> Column:
-    return _version(ua, system, SYSTEMS)
-
-
-def os_version(system: Column, number: Column) -> Column:
-    """The number, or the release name that goes with it on Windows."""
-    releases = F.create_map(*[F.lit(x) for pair in WINDOWS_RELEASES.items() for x in pair])
-    return F.when(system == "Windows", F.coalesce(releases[number], number)).otherwise(number)
-
-
-def device_fields(ua: Column, browser: Column, system: Column, device: Column) -> dict[str, Column]:
-    apple = device.isin("iPhone", "iPad", "iPod", "Mac")
-    tablet = (device == "iPad") | ((system == "Android") & ~ua.contains("Mobile") & (browser != "Opera Mini"))
-    named = ~apple & ~device.isin("Spider", "Other")
+MOST_RULES = 5000  # of a table that the driver reads
+MARK = "\x01"
+
+# Families that decide what kind of device it is.
+MOBILE_BROWSERS = [
+    "Chrome Mobile", "Chrome Mobile iOS", "Chrome Mobile WebView", "Edge Mobile", "Firefox Mobile", "Firefox iOS", "IE Mobile",
+    "Mobile Safari", "Mobile Safari UI/WKWebView", "Opera Mini", "Opera Mobile", "QQ Browser Mobile"]
+MOBILE_SYSTEMS = ["Android", "BlackBerry OS", "KaiOS", "Symbian OS", "Windows Phone"]
+TOUCH_SYSTEMS = ["Android", "BlackBerry OS", "Windows Phone", "iOS"]
+TABLETS = ["iPad", "Kindle"]
+APPLE_MOBILE = ["iPhone", "iPod"]
+
+
+@dataclass(frozen=True)
+class Rule:
+    field: str
+    pattern: str
+    also: str = ""
+    family: str = ""
+    version: str = ""
+    brand: str = ""
+    model: str = ""
+
+    def __post_init__(self):
+        if re.compile(self.pattern).groups != 2 or re.compile(self.also).groups:
+            raise ValueError(f"a pattern has two groups, what else must occur has none: {self}")
+
+    def branch(self) -> str:
+        return (f"(?=.*(?:{self.also}))" if self.also else "") + f"(?=.*?{self.pattern})"
+
+
+class AgentRules:
+    """Rules by field, in order."""
+
+    def __init__(self, rules: Iterable[Rule]):
+        self.by_field: dict[str, list[Rule]] = {}
+        for rule in rules:
+            self.by_field.setdefault(rule.field, []).append(rule)
+
+    @classmethod
+    def of_table(cls, table: DataFrame, order: str) -> AgentRules:
+        """Rules from a table with the columns of ``Rule``, missing values being empty, in the order of a column."""
+        names = [f.name for f in fields(Rule)]
+        rows = table.orderBy(order).select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in names]).limit(MOST_RULES + 1).collect()
+        if len(rows) > MOST_RULES:
+            raise ValueError(f"more than {MOST_RULES} rules")
+        return cls(Rule(**row.asDict()) for row in rows)
+
+    def matched(self, ua: Column, field: str) -> Column:
+        """Text that ``found`` reads: two marks for every rule before the one that holds, then its groups."""
+        rules = self.by_field.get(field, [])
+        groups = "".join(f"${i + 1}{MARK}" for i in range(2 * len(rules)))
+        branches = "".join(f"{r.branch()}|" for r in rules)
+        return F.regexp_replace(F.translate(ua, MARK, " "), f"(?s)^(?:{branches}).*$", groups)
+
+    def found(self, matched: Column, field: str) -> dict[str, Column]:
+        """family, version, brand and model (NULL if there is none) for the result of ``matched``."""
+        rules, body = self.by_field.get(field, []), F.btrim(matched, F.lit(MARK))
+        mark, number = F.split_part(body, F.lit(MARK), F.lit(1)), F.split_part(body, F.lit(MARK), F.lit(2))
+        at = F.when(body != "", ((F.length(matched) - F.length(F.ltrim(matched, F.lit(MARK)))) / 2).cast("int"))
+
+        def said(name: str, default: str | None = None) -> Column:
+            texts = F.array(*[F.lit(getattr(r, name) or default) for r in rules]) if rules else F.array().cast("array<string>")
+            return F.replace(F.get(texts, at), F.lit("$1"), mark)
+
+        numbers = F.array_join(F.slice(F.split(F.translate(number, "_", "."), r"\."), 1, 3), ".")
+        return {
+            "family": F.coalesce(said("family", "$1"), F.lit("Other")), "version": F.coalesce(said("version"), numbers),
+            "brand": said("brand"), "model": said("model")}
+
+
+@cache
+def packaged_rules() -> AgentRules:
+    """The rules that come with the package."""
+    text = resources.files("lakeloom.functions").joinpath("agent_rules.csv").read_text()
+    return AgentRules(Rule(**row) for row in csv.DictReader(text.splitlines()))
+
+
+def device_kind(ua: Column, browser: Column, system: Column, device: Column) -> dict[str, Column]:
+    """The five flags. An Android device is a tablet unless it says that it is mobile."""
+    tablet = device.isin(TABLETS) | ((system == "Android") & ~ua.contains("Mobile") & (browser != "Opera Mini"))
     return {
-        "device_brand": (
-            F.when(apple, "Apple").when(device == "Spider", "Spider")
-            .when(device.startswith("Samsung "), "Samsung").when(device.startswith("Pixel"), "Google")
-            .when(named, "Generic_Android")),
-        "device_model": (
-            F.when(device == "Spider", "Desktop").when(apple, device)
-            .when(named, F.regexp_replace(device, "^Samsung ", ""))),
-        "device_is_mobile": ~tablet & (
-            device.isin("iPhone", "iPod") | (system == "Android") | browser.isin(MOBILE_BROWSERS)),
+        "device_is_mobile": ~tablet & (device.isin(APPLE_MOBILE) | system.isin(MOBILE_SYSTEMS) | browser.isin(MOBILE_BROWSERS)),
         "device_is_tablet": tablet,
         "device_is_pc": ua.contains("Windows NT") | (system == "Mac OS X") & ~ua.contains("Silk")
         | (system == "Chrome OS") | (ua.contains("Linux") & ua.contains("X11")),

@@ -8,55 +8,13 @@ from pyspark.sql import functions as F
 from lakeloom.functions import json_fields
 from lakeloom.functions.numbers import exact_sum
 from lakeloom.functions.user_agent import FIELDS
+from lakeloom.plans.agents import AGENTS, NO_AGENT
 from lakeloom.plans.star import sales_rows, sales_totals
 from lakeloom.session import workspace
 from lakeloom.sources.tables import Tables
 from lakeloom.sources.writers import write_mart_batch, write_mart_files
 from lakeloom.streaming import dedup, events, jobs, packets, promotions
 
-# User agents, and what each one is (in the order of ``user_agent.FIELDS``).
-AGENTS = [
-    ("Mozilla/5.0 (Macintosh; Intel Mac OS X 10_14_6) AppleWebKit/605.1.15 (KHTML, like Gecko) "
-     "Version/15.6.2 Safari/605.1.15",
-     ("Safari", "15.6.2", "Mac OS X", "10.14.6", "Mac", "Apple", "Mac", False, False, True, False, False)),
-    ("Mozilla/5.0 (Windows NT 10.0; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) "
-     "Chrome/120.0.0.0 Safari/537.36",
-     ("Chrome", "120.0.0", "Windows", "10", "Other", None, None, False, False, True, False, False)),
-    ("Mozilla/5.0 (Windows NT 6.1; Win64; x64) AppleWebKit/537.36 (KHTML, like Gecko) "
-     "Chrome/109.0.5414.120 Safari/537.36 Edg/109.0.1518.78",
-     ("Edge", "109.0.1518", "Windows", "7", "Other", None, None, False, False, True, False, False)),
-    ("Mozilla/5.0 (iPhone; CPU iPhone OS 17_2 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) "
-     "Version/17.2 Mobile/15E148 Safari/604.1",
-     ("Mobile Safari", "17.2", "iOS", "17.2", "iPhone", "Apple", "iPhone", True, False, False, False, True)),
-    ("Mozilla/5.0 (iPad; CPU OS 16_6_1 like Mac OS X) AppleWebKit/605.1.15 (KHTML, like Gecko) "
-     "Version/16.6 Mobile/15E148 Safari/604.1",
-     ("Mobile Safari", "16.6", "iOS", "16.6.1", "iPad", "Apple", "iPad", False, True, False, False, True)),
-    ("Mozilla/5.0 (Linux; Android 14; Pixel 8) AppleWebKit/537.36 (KHTML, like Gecko) "
-     "Chrome/120.0.6099.144 Mobile Safari/537.36",
-     ("Chrome Mobile", "120.0.6099", "Android", "14", "Pixel 8", "Google", "Pixel 8",
-      True, False, False, False, True)),
-    ("Mozilla/5.0 (Linux; Android 13; SM-X700 Build/TP1A) AppleWebKit/537.36 (KHTML, like Gecko) "
-     "Chrome/119.0.0.0 Safari/537.36",
-     ("Chrome", "119.0.0", "Android", "13", "Samsung SM-X700", "Samsung", "SM-X700",
-      False, True, False, False, True)),
-    ("Mozilla/5.0 (X11; Ubuntu; Linux x86_64; rv:121.0) Gecko/20100101 Firefox/121.0",
-     ("Firefox", "121.0", "Ubuntu", "", "Other", None, None, False, False, True, False, False)),
-    ("Mozilla/5.0 (compatible; Googlebot/2.1; +http://www.google.com/bot.html)",
-     ("Googlebot", "2.1", "Other", "", "Spider", "Spider", "Desktop", False, False, False, True, False)),
-    ("Mozilla/5.0 (compatible; YandexBot/3.0; +http://yandex.com/bots)",
-     ("YandexBot", "3.0", "Other", "", "Spider", "Spider", "Desktop", False, False, False, True, False)),
-    ("Opera/9.80 (Android; Opera Mini/36.2.2254/119.132; U; id) Presto/2.12.423 Version/12.16",
-     ("Opera Mini", "36.2.2254", "Android", "", "Other", None, None, True, False, False, False, True)),
-    ("Mozilla/5.0 (X11; Linux x86_64) AppleWebKit/537.36 (KHTML, like Gecko) HeadlessChrome/118.0.5993.70 Safari/537.36",
-     ("HeadlessChrome", "118.0.5993", "Linux", "", "Other", None, None, False, False, True, False, False)),
-    ("Mozilla/5.0 (Linux; Android 10; K; wv) AppleWebKit/537.36 (KHTML, like Gecko) Version/4.0 "
-     "Chrome/126.0.6478.71 Mobile Safari/537.36",
-     ("Chrome Mobile WebView", "126.0.6478", "Android", "10", "Other", None, None, True, False, False, False, True)),
-    ("unheard-of agent",
-     ("Other", "", "Other", "", "Other", None, None, False, False, False, False, False)),
-]
-NO_AGENT = ("Other", "", "Other", "", "Other", None, None, False, False, False, False, False)
-
 EVENT_COLUMNS = ["event_type", "user_id", "k"]
 
 

@@ -34,25 +34,19 @@ def validate(events: DataFrame) -> DataFrame:
     return events.withColumn("id", json_fields.read_key("doc", "id"))
 
 
-def enrich_user_agent(events: DataFrame, column: str = "user_agent") -> DataFrame:
-    """Add the twelve browser, system and device columns of the event's user agent."""
-    ua, model, number = F.col("_ua"), F.col("_model"), F.col("_number")
-    browser, system, device = F.col("browser_family"), F.col("os_family"), F.col("device_family")
+def enrich_user_agent(events: DataFrame, column: str = "user_agent", rules: user_agent.AgentRules | None = None) -> DataFrame:
+    """Add the twelve browser, system and device columns of the event's user agent, by the package's rules unless others are given."""
+    rules, ua = rules or user_agent.packaged_rules(), F.col("_ua")
+    kinds = ("browser", "system", "device")
     # One step per layer of dependent columns, so that each is computed once.
-    families = events.withColumn("_ua", json_fields.read_key("doc", column, default="")).withColumns({
-        "browser_family": user_agent.browser_family(ua),
-        "os_family": user_agent.os_family(ua),
-        "_model": user_agent.android_model(ua),
-    })
-    named = families.withColumns({
-        "device_family": user_agent.device_family(ua, model),
-        "browser_version": user_agent.browser_version(ua, browser),
-        "_number": user_agent.system_number(ua, system),
-    })
-    full = named.withColumns({
-        "os_version": user_agent.os_version(system, number),
-        **user_agent.device_fields(ua, browser, system, device),
-    })
+    matched = events.withColumn("_ua", json_fields.read_key("doc", column, default="")).withColumns(
+        {f"_{k}": rules.matched(ua, k) for k in kinds})
+    found = {k: rules.found(F.col(f"_{k}"), k) for k in kinds}
+    named = matched.withColumns({
+        **{f"browser_{x}": found["browser"][x] for x in ("family", "version")},
+        **{f"os_{x}": found["system"][x] for x in ("family", "version")},
+        **{f"device_{x}": found["device"][x] for x in ("family", "brand", "model")}})
+    full = named.withColumns(user_agent.device_kind(ua, F.col("browser_family"), F.col("os_family"), F.col("device_family")))
     return full.select(*events.columns, *user_agent.FIELDS)
 
 
