@@ -101,9 +101,11 @@ class LineRuns:
             *HASH, (F.coalesce("n", F.lit(0)) + F.coalesce("n2", F.lit(0))).alias("n"), F.greatest("keep", "keep2").alias("keep"))
 
     def repeated(self) -> DataFrame:
-        """(h, g, keep) of the lines found in at least ``least`` documents."""
-        whole = reduce(DataFrame.unionByName, self.runs).groupBy(*HASH).agg(F.sum("n").alias("n"), F.max("keep").alias("keep"))
-        return whole.filter(F.col("n") >= self.least).select(*HASH, "keep")
+        """(h, g, keep) of the lines found in at least ``least`` documents.
+
+        The runs are merged by joins: a union of tables in equal buckets is taken for one that has them too, which it has not.
+        """
+        return reduce(self._merged, self.runs).filter(F.col("n") >= self.least).select(*HASH, "keep")
 
 
 def lost_lines(docs: DataFrame, length: int = LENGTH, least: int = LEAST, batches: int = BATCHES) -> DataFrame:
