@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeloom.functions import sql_functions
 from lakeloom.functions.numbers import MONEY
-from lakeloom.operators import aggregates, columns, joins, windows
+from lakeloom.operators import aggregates, columns, joins, sketches, windows
+from lakeloom.session import workspace
 from lakeloom.sources.readers import split_record_kinds
 from lakeloom.sources.tables import Tables
 
@@ -59,6 +61,53 @@ def sketch_against_count(s, d) -> DataFrame:
         "n_exact", (F.abs(sketch - F.col("n_exact")) <= 4 * 0.05 * F.col("n_exact")).alias("is_close"))
 
 
+def distinct_users(s, d) -> DataFrame:
+    """Distinct users per kind of event: sketches of each day are stored and merged to days and to the whole month.
+
+    Each estimate stands beside the exact count. Sketches of 2**17 registers are exact to the last user at this size.
+    """
+    e = Tables(s, d)["events"].select("event_type", F.to_date("ts").alias("day"), "user_id")
+    path = workspace(s, "sketches")
+    sketches.distinct_sketches(e, "user_id", ["event_type", "day"], 17).write.parquet(path)
+    stored, out = s.read.parquet(path), []
+    for keys in (["event_type", "day"], ["day"], ["event_type"]):
+        exact = e.groupBy(*keys).agg(F.count_distinct("user_id").alias("n_exact"))
+        estimates = sketches.estimated(sketches.merged_sketches(stored, keys))
+        out.append(sketches.beside_exact(estimates, exact, keys).select(
+            *[F.col(k) if k in keys else F.lit(None).alias(k) for k in ("event_type", "day")], "n_exact", "n_sketch", "error"))
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+def bitmap_members(s, d) -> DataFrame:
+    """Which users had each kind of event: bitmaps per day, stored and merged, their members as rows."""
+    e = Tables(s, d)["events"].select("event_type", F.to_date("ts").alias("day"), "user_id")
+    path = workspace(s, "bitmaps")
+    sketches.bitmaps(e, "user_id", "event_type", "day").write.parquet(path)
+    return sketches.members(sketches.merged_bitmaps(s.read.parquet(path), "event_type"), "event_type")
+
+
+def bitmap_sizes(s, d) -> DataFrame:
+    """Number of distinct orders in which a supplier has lines, from bitmaps of the order numbers."""
+    return sketches.set_sizes(sketches.bitmaps(Tables(s, d)["lineitem"], "l_orderkey", "l_suppkey"), "l_suppkey")
+
+
+def sets_as_rows(s, d) -> DataFrame:
+    """The set of suppliers of each part as one row per member."""
+    return sketches.distinct_rows(Tables(s, d)["lineitem"], "l_suppkey", "l_partkey")
+
+
+def sql_functions_used(s, d) -> DataFrame:
+    """Revenue per year and state of the line, with its change, by SQL text that calls registered functions."""
+    sql_functions.register(s)
+    t = Tables(s, d)
+    t["lineitem"].createOrReplaceTempView("called_lines")
+    t["orders"].createOrReplaceTempView("called_orders")
+    return s.sql("""WITH r AS (SELECT clean_label(concat(' ', nullif(l_returnflag, 'R'), ' ')) AS label, year(o_orderdate) AS year,
+        cast(sum(cast(l_extendedprice AS decimal(18,4))) AS double) AS revenue, max(as_features(l_quantity, l_discount)[0]) AS top
+      FROM called_lines JOIN called_orders ON l_orderkey = o_orderkey GROUP BY 1, 2)
+    SELECT label, year, revenue, top, percent_change(revenue, lag(revenue) OVER (PARTITION BY label ORDER BY year)) AS change FROM r""")
+
+
 def drop_lit(s, d) -> DataFrame:
     wide = columns.with_literals(Tables(s, d)["customer"], market="retail", note="dropped again")
     return wide.drop("note", "c_acctbal")
@@ -148,6 +197,11 @@ QUERIES = {
     "group_sum_avg": lambda s, d: aggregates.sums_and_means(
         Tables(s, d)["lineitem"], ["l_returnflag"], ["l_extendedprice", "l_quantity"], exact=MONEY),
     "approx_distinct": sketch_against_count,
+    "distinct_users": distinct_users,
+    "bitmap_members": bitmap_members,
+    "bitmap_sizes": bitmap_sizes,
+    "sets_as_rows": sets_as_rows,
+    "sql_functions": sql_functions_used,
     "collect_set": collect_set,
     "first_by": lambda s, d: aggregates.first_by(
         Tables(s, d)["orders"], ["o_custkey"], "o_totalprice", ["o_orderdate", "o_orderkey"]),
@@ -201,6 +255,17 @@ ORACLES = {
         f"{_SUM.format(c)} AS sum_{c}, {_SUM.format(c)} / count({c}) AS avg_{c}"
         for c in ("l_extendedprice", "l_quantity")) + " FROM lineitem GROUP BY 1",
     "approx_distinct": "SELECT count(DISTINCT l_partkey) AS n_exact, true AS is_close FROM lineitem",
+    "distinct_users": """WITH e AS (SELECT event_type, CAST(ts AS DATE) AS day, user_id FROM events),
+g AS (SELECT event_type, day, count(DISTINCT user_id) AS n FROM e GROUP BY GROUPING SETS ((event_type, day), (day), (event_type)))
+SELECT event_type, day, n AS n_exact, n AS n_sketch, CAST(0 AS DOUBLE) AS error FROM g""",
+    "bitmap_members": "SELECT DISTINCT event_type, user_id AS value FROM events",
+    "bitmap_sizes": "SELECT l_suppkey, count(DISTINCT l_orderkey) AS n FROM lineitem GROUP BY 1",
+    "sets_as_rows": "SELECT DISTINCT l_partkey, l_suppkey AS value FROM lineitem",
+    "sql_functions": """WITH r AS (SELECT CASE l_returnflag WHEN 'R' THEN 'UNKNOWN' ELSE l_returnflag END AS label,
+  CAST(year(o_orderdate) AS INTEGER) AS year, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,4))) AS DOUBLE) AS revenue, max(l_quantity) AS top
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2), p AS (SELECT *, lag(revenue) OVER (PARTITION BY label ORDER BY year) AS b FROM r)
+SELECT label, year, revenue, CAST(top AS DOUBLE) AS top,
+  CASE WHEN b IS NULL OR b = 0 THEN CAST(0 AS DOUBLE) ELSE (revenue - b) / b * 100 END AS change FROM p""",
     "collect_set": "SELECT string_agg(event_type, ',' ORDER BY event_type) AS event_types FROM "
                    "(SELECT DISTINCT event_type FROM events)",
     "first_by": """SELECT o_custkey, o_totalprice AS first_o_totalprice FROM (

@@ -9,7 +9,7 @@ from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +25,23 @@ def score(model: Transformer, data: DataFrame, *columns: str) -> DataFrame:
     return scored.select(*columns) if columns else scored
 
 
+def logistic_gradient(model: LogisticRegressionModel, data: DataFrame, reg: float) -> DataFrame:
+    """``at, gradient``: the derivative of the fitted loss by each coefficient (of the scaled features) and, as -1, by the intercept.
+
+    At the optimum all are zero. ``data`` has ``features`` and ``label``; the loss is the mean log loss and ``reg`` / 2 times the squared
+    coefficients. Every task adds up its own rows, one sum per coefficient.
+    """
+    weights = model.coefficients.toArray().tolist()
+    scored = model.transform(data).select(
+        (F.element_at(vector_to_array("probability"), 2) - F.col("label")).alias("off"), vector_to_array("features").alias("x"))
+    each = scored.select("off", F.posexplode(F.concat(F.col("x"), F.array(F.lit(1.0)))).alias("at", "x"))
+    sums = each.groupBy("at").agg(F.avg(F.col("off") * F.col("x")).alias("slope"), F.stddev_samp("x").alias("scale"))
+    weight = F.get(F.array(*[F.lit(w) for w in weights]), F.col("at"))
+    inner = F.coalesce(F.try_divide("slope", "scale"), F.lit(0.0)) + reg * weight * F.col("scale")
+    last = F.col("at") == len(weights)
+    return sums.select(F.when(last, -1).otherwise(F.col("at")).alias("at"), F.when(last, F.col("slope")).otherwise(inner).alias("gradient"))
+
+
 def explain(estimator: Estimator) -> str:
     return estimator.explainParams()
 
