@@ -60,16 +60,28 @@ def moving_average(df: DataFrame, order: str, value: str, out: str, n: int = 3)
     return df.withColumn(out, F.avg(value).over(w))
 
 
+GROUP_ROWS = 1 << 20  # a group that one task ranks
+
+
 def ranked(df: DataFrame, part: Sequence[str], order: str, ties: Sequence[str] = (), *,
            row_number: str | None = None, rank: str | None = None, dense_rank: str | None = None,
-           lag: tuple[str, int, str] | None = None) -> DataFrame:
+           lag: tuple[str, int, str] | None = None, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Rank functions over groups of any size, ordered by ``order`` and then ``ties``, ascending.
 
     Each keyword names the output column of one function; ``lag`` is ``(column, n, output)``.
-    The rows are sorted by range on group, order and ties, and stored once with the number of their range. A group is then one or
+    The groups are counted first. Where none has more than ``group_rows`` rows, which a task sorts at a time, the window functions do
+    it. Otherwise the rows are sorted by range on group, order and ties, and stored once with the number of their range. A group is then one or
     more pieces, each within one range; its size, its order values or how often they repeat do not matter, as equal rows
     may lie in different ranges too. Ranks inside a piece need only an offset, which comes from one summary row per piece.
     """
+    largest = df.groupBy(*part).count().agg(F.max("count")).first()[0] or 0
+    if largest <= group_rows:
+        w, by_value = Window.partitionBy(*part).orderBy(order, *ties), Window.partitionBy(*part).orderBy(order)
+        made = {row_number: F.row_number().over(w), rank: F.rank().over(by_value), dense_rank: F.dense_rank().over(by_value)}
+        if lag:
+            made[lag[2]] = F.lag(lag[0], lag[1]).over(w)
+        return df.select(*df.columns, *[c.cast("long").alias(name) if name in (row_number, rank, dense_rank) else c.alias(name)
+                                        for name, c in made.items() if name])
     part, keys = list(part), ["_range", *part]
     rows = _by_range(df, part, order, ties)
     w = Window.partitionBy(*keys).orderBy(order, *ties, "_row_id")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions.text import clean_words, words
@@ -35,8 +35,26 @@ def _weighted_words(bags: DataFrame) -> DataFrame:
         F.transform("tokens", lambda w, i: F.when(w.eqNullSafe(F.get("tokens", i - 1)), -1).otherwise(i)), lambda i: i >= 0)
     times = F.transform(at, lambda i, k: F.struct(
         F.get(tokens, i).alias("w"), (F.coalesce(F.get(at, k + 1), F.size(tokens)) - i).cast("long").alias("n")))
-    return bags.select("copies", "tokens", starts.alias("starts")).select(
-        "copies", F.size("starts").alias("n_words"), times.alias("bag"))
+    return bags.select("copies", "tokens", starts.alias("starts")).select("copies", times.alias("bag"))
+
+
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    path = workspace(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def dictionary(words: DataFrame) -> DataFrame:
+    """``word, number``: whole numbers from 0 without gaps, one for each distinct word of ``words`` (column ``word``).
+
+    The words are stored once with their task and their place in it; a task's numbers start after those of the tasks before it.
+    """
+    place = F.monotonically_increasing_id()  # the task in the upper bits, the row in the lower 33
+    placed = _stored(words.select("word").distinct().withColumn("place", place), "dictionary").select(
+        "word", F.shiftright("place", 33).alias("task"), F.col("place").bitwiseAND(F.lit((1 << 33) - 1)).alias("row"))
+    sizes = placed.groupBy("task").agg(F.count("*").alias("n"))
+    first = sizes.select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("first"))  # a row per task
+    return placed.join(first, "task").select("word", (F.col("first") + F.col("row")).alias("number"))
 
 
 def _block_pairs(blocks: DataFrame, block: int) -> DataFrame:
@@ -46,18 +64,26 @@ def _block_pairs(blocks: DataFrame, block: int) -> DataFrame:
     return left.select("copies", "x", F.explode(later).alias("y"))
 
 
-def cooccur_pairs(lines: DataFrame, block: int = 256, task_blocks: int = 256) -> DataFrame:
-    """How often each ordered pair of different words shares a line: ``first, second, n``.
+def _numbered_bags(bags: DataFrame, numbers: DataFrame) -> DataFrame:
+    """``copies, n_words, bag``: every line's words as (number, times in the line), sorted by number."""
+    rows = bags.select("line", "copies", F.inline("bag"))
+    return rows.join(numbers, F.col("w") == F.col("word")).groupBy("line").agg(
+        F.any_value("copies").alias("copies"), F.count("*").cast("int").alias("n_words"),
+        F.sort_array(F.collect_list(F.struct(F.col("number").cast("int").alias("w"), "n"))).alias("bag"))
 
-    A pair counts (times of first) x (times of second) in each line. Both orders of a pair have the
-    same count, so only sorted pairs are added up. The bags are stored; a line of up to ``block`` words gives its pairs
-    where it lies. A longer one is cut into blocks, each pair of blocks a row of its own, and these rows are spread over as
-    many tasks as their number asks for, ``task_blocks`` to a task.
+
+def pair_counts(lines: DataFrame, block: int = 256, task_blocks: int = 256) -> tuple[DataFrame, DataFrame]:
+    """``pair, n`` and the dictionary: how often two words share a line, as the numbers of both in one long, the smaller one above.
+
+    A pair counts (times of first) x (times of second) in each line. The bags are stored, once as words and once as numbers; a line of up
+    to ``block`` words gives its pairs where it lies. A longer one is cut into blocks, each pair of blocks a row of its own, and
+    these rows are spread over as many tasks as their number asks for, ``task_blocks`` to a task.
     """
-    spark = lines.sparkSession
-    path = workspace(spark, "bags")
-    _weighted_words(line_bags(lines)).write.parquet(path)
-    weighted = spark.read.parquet(path)
+    bags = _stored(_weighted_words(line_bags(lines)).withColumn("line", F.monotonically_increasing_id()), "bags")
+    numbers = _stored(dictionary(bags.select(F.explode("bag.w").alias("word"))), "numbers")
+    if numbers.count() >= 1 << 31:
+        raise ValueError("more words than two of them fit one long")
+    weighted = _stored(_numbered_bags(bags, numbers), "numbered")
     short = weighted.where(F.col("n_words") <= block).select(
         "copies", F.lit(True).alias("same"), F.col("bag").alias("a"), F.col("bag").alias("b"))
 
@@ -72,12 +98,24 @@ def cooccur_pairs(lines: DataFrame, block: int = 256, task_blocks: int = 256) ->
         F.slice("bag", F.col("i") * block + 1, block).alias("a"),
         F.slice("bag", F.col("j") * block + 1, block).alias("b")).repartition(int(n_tasks), F.xxhash64("a", "b"))
     pairs = _block_pairs(short, block).unionByName(_block_pairs(blocks, block))
-    counts = pairs.groupBy(F.col("x.w").alias("lo"), F.col("y.w").alias("hi")).agg(
-        F.sum(F.col("x.n") * F.col("y.n") * F.col("copies")).alias("n"))
+    pair = F.shiftleft(F.col("x.w").cast("long"), 32).bitwiseOR(F.col("y.w").cast("long"))
+    return pairs.select(pair.alias("pair"), (F.col("x.n") * F.col("y.n") * F.col("copies")).alias("n")).groupBy("pair").agg(
+        F.sum("n").alias("n")), numbers
+
+
+def cooccur_pairs(lines: DataFrame, block: int = 256, task_blocks: int = 256) -> DataFrame:
+    """How often each ordered pair of different words shares a line: ``first, second, n``.
+
+    Both orders of a pair have the same count, so only one is added up, over the words' numbers; the words join it at the end.
+    """
+    counts, numbers = pair_counts(lines, block, task_blocks)
+    split = counts.select(
+        F.shiftright("pair", 32).alias("_lo"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).alias("_hi"), "n")
+    lo, hi = (numbers.select(F.col("number").alias(at), F.col("word").alias(name)) for at, name in (("_lo", "lo"), ("_hi", "hi")))
     orders = F.array(
         F.struct(F.col("lo").alias("first"), F.col("hi").alias("second"), "n"),
         F.struct(F.col("hi").alias("first"), F.col("lo").alias("second"), "n"))
-    return counts.select(F.inline(orders))
+    return split.join(lo, "_lo").join(hi, "_hi").select(F.inline(orders))
 
 
 def cooccur_stripes(lines: DataFrame, parts: int = 64) -> DataFrame:

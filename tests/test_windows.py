@@ -21,12 +21,21 @@ def skewed(spark):
     return spark.createDataFrame(data, "k string, v int, id int, x double").repartition(5)
 
 
+def test_small_groups_give_the_same(skewed, rows):
+    """By the window functions where no group is large, by pieces where one is: the same rows and types."""
+    names = dict(row_number="rn", rank="rk", dense_rank="dr", lag=("x", 2, "lg"))
+    whole, pieces = (ranked(skewed, ["k"], "v", ["id"], **names, group_rows=n) for n in (1 << 20, 100))
+    assert "_range" not in whole._jdf.queryExecution().toString() and "_range" in pieces._jdf.queryExecution().toString()
+    assert whole.dtypes == pieces.dtypes and rows(whole) == rows(pieces)
+    assert rows(ranked(skewed, ["k"], "v", ["id"], rank="rk")) == rows(ranked(skewed, ["k"], "v", ["id"], rank="rk", group_rows=0))
+
+
 @pytest.mark.parametrize("ranges", [1, 4, 40])
 def test_ranks_of_groups_in_pieces(spark, skewed, rows, ranges):
     spark.conf.set("spark.sql.shuffle.partitions", ranges)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        got = ranked(skewed, ["k"], "v", ["id"], row_number="rn", rank="rk", dense_rank="dr", lag=("x", 2, "lg"))
+        got = ranked(skewed, ["k"], "v", ["id"], row_number="rn", rank="rk", dense_rank="dr", lag=("x", 2, "lg"), group_rows=0)
         w, by_value = Window.partitionBy("k").orderBy("v", "id"), Window.partitionBy("k").orderBy("v")
         want = skewed.select(
             "*", F.row_number().over(w).alias("rn"), F.rank().over(by_value).alias("rk"),
@@ -47,7 +56,7 @@ def test_one_key_and_one_value_for_half_of_the_rows(spark, rows):
     try:
         sizes = [r["count"] for r in _by_range(data, ["k"], "v", []).groupBy("_range").count().collect()]
         assert len(sizes) >= 18 and max(sizes) < 2.5 * 4000 / 20
-        got = ranked(data, ["k"], "v", ["id"], rank="rk", dense_rank="dr", lag=("id", 300, "lg"))
+        got = ranked(data, ["k"], "v", ["id"], rank="rk", dense_rank="dr", lag=("id", 300, "lg"), group_rows=0)
         w, by_value = Window.partitionBy("k").orderBy("v", "id"), Window.partitionBy("k").orderBy("v")
         want = data.select("*", F.rank().over(by_value).alias("rk"), F.dense_rank().over(by_value).alias("dr"),
                            F.lag("id", 300).over(w).alias("lg"))
