@@ -1,10 +1,11 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
-Every rule is a number per document, higher being worse, and a fixed list of cutoffs. A cutoff may
-be used in a stratum only if the exact binomial bound on the labelled good documents shows that it
-rejects at most ``alpha / rules`` of them; the bounds of all strata, rules and cutoffs hold together
-with probability ``1 - delta`` (Bonferroni). Among the certified cutoffs of a rule the one that
-removes most bad documents per good one lost is taken, and none if it would lose more than it finds.
+Every rule is a number per document, higher being worse, and a fixed list of cutoffs. The labelled documents of a stratum are dealt into two
+halves by a hash of their id. The first half picks a cutoff per rule, the one that finds most bad documents more than it loses
+good ones, and puts the rules in order of that gain. The second half, which had no part in the choice, certifies them: the best
+rule alone, the best two together and so on are tested in this fixed sequence, as long as the exact binomial bound shows that
+together they reject at most ``alpha`` of the good documents. Testing ends at the first failure, so that a sequence needs no
+correction for its length; over the strata the bounds hold together with probability ``1 - delta`` (Bonferroni).
 Only DataFrame expressions are used.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.helpers import packed, store, text_or_empty, unpacked, words_of
@@ -38,8 +39,9 @@ CUTOFFS: dict[str, Sequence[int]] = {
     "repeats": (50, 100, 150, 200, 250, 300, 400, 450),
     "long_words": (700, 800, 900, 1000, 1200, 1500, 2000, 3000),
 }
-ALPHA = 0.05
+ALPHA = 0.05        # good documents of a stratum that all its cutoffs together may reject
 DELTA = 0.05
+PICK_SHARE = 0.025  # good documents of the first half that a cutoff may lose to be picked
 
 
 def measured(docs: DataFrame, keep: Mapping[str, Column], text: Column | None = None) -> DataFrame:
@@ -110,20 +112,18 @@ def log_binomial_tail(k: Column, n: Column, p: Column) -> Column:
     return F.aggregate(steps, F.struct(first.alias("term"), first.alias("total")), add, lambda a: a["total"])
 
 
-def certified_cutoffs(holdout: DataFrame, rules: Mapping[str, str] = RULES,
-                      cutoffs: Mapping[str, Sequence[int]] = CUTOFFS,
-                      alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """(stratum, one nullable cutoff per rule) from ``holdout`` (stratum, good, and the counts).
+def picked_cutoffs(holdout: DataFrame, rules: Mapping[str, str] = RULES, cutoffs: Mapping[str, Sequence[int]] = CUTOFFS,
+                   share: float = PICK_SHARE) -> DataFrame:
+    """(stratum, and per rule a nullable ``cut_`` and ``place_`` in the order of gains) from ``holdout`` (stratum, good, and the counts).
 
-    A null stratum is a stratum. Rows without a verdict (``good`` null) are left out. Each labelled document is counted
-    once per rule, at the largest cutoff it reaches, and running sums over the cutoffs give the rest, so the work
-    does not grow with the number of cutoffs.
+    Each labelled document is counted once per rule, at the largest cutoff it reaches, and running sums over the cutoffs give the
+    rest, so the work does not grow with the number of cutoffs.
     """
     levels = [F.struct(
         F.lit(name).alias("rule"),
         F.filter(F.array(*[F.lit(c) for c in cutoffs[name]]), lambda c: c <= F.expr(sql)).alias("hit"))
         for name, sql in rules.items()]
-    long = holdout.filter(F.col("good").isNotNull()).select("stratum", "good", F.explode(F.array(*levels)).alias("x"))
+    long = holdout.select("stratum", "good", F.explode(F.array(*levels)).alias("x"))
     totals = long.filter(F.col("x.rule") == next(iter(rules))).groupBy("stratum").agg(
         F.sum(F.col("good").cast("long")).alias("n_good"))
     reached = long.filter(F.size("x.hit") > 0).groupBy(
@@ -131,23 +131,47 @@ def certified_cutoffs(holdout: DataFrame, rules: Mapping[str, str] = RULES,
             F.sum(F.col("good").cast("long")).alias("good"), F.sum((~F.col("good")).cast("long")).alias("bad"))
     grid = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"))
                                for r in rules for c in cutoffs[r]]))
-    n_tests = sum(len(cutoffs[r]) for r in rules)
     strata = totals.select("stratum", "n_good", grid.alias("x")).select("stratum", "n_good", "x.*")
     r = reached.select(F.col("stratum").alias("s"), F.col("rule").alias("r"), "top", "good", "bad")
     counts = strata.join(r, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("rule") == F.col("r"))
                          & (F.col("top") >= F.col("cutoff")), "left").groupBy(
         "stratum", "n_good", "rule", "cutoff").agg(
             F.coalesce(F.sum("good"), F.lit(0)).alias("lost"), F.coalesce(F.sum("bad"), F.lit(0)).alias("found"))
-    n_strata = totals.agg(F.count("*").alias("n_strata"))
-    limit = alpha / len(rules)
-    tested = counts.join(F.broadcast(n_strata)).withColumn(  # one row
-        "allowed", F.log(F.lit(delta) / (F.col("n_strata") * n_tests)))
-    sound = tested.filter((F.col("found") > F.col("lost")) & (F.col("lost") <= limit * F.col("n_good"))).filter(
-        log_binomial_tail(F.col("lost"), F.col("n_good"), F.lit(limit)) <= F.col("allowed"))
-    gain = F.struct((F.col("found") - F.col("lost")).alias("gain"), F.col("cutoff"))
-    best = sound.groupBy("stratum", "rule").agg(F.max(gain)["cutoff"].alias("cutoff"))
-    return best.groupBy("stratum").agg(*[
-        F.max(F.when(F.col("rule") == name, F.col("cutoff"))).alias(f"cut_{name}") for name in rules])
+    sound = counts.filter((F.col("found") > F.col("lost")) & (F.col("lost") <= share * F.col("n_good")))
+    best = sound.groupBy("stratum", "rule").agg(
+        F.max(F.struct((F.col("found") - F.col("lost")).alias("gain"), F.col("cutoff"))).alias("x"))
+    order = Window.partitionBy("stratum").orderBy(F.col("x.gain").desc(), "rule")  # a row per rule
+    placed = best.withColumn("place", F.row_number().over(order))
+    return placed.groupBy("stratum").agg(*[
+        F.max(F.when(F.col("rule") == name, F.col(x))).alias(f"{to}_{name}")
+        for name in rules for x, to in (("x.cutoff", "cut"), ("place", "place"))])
+
+
+def certified_cutoffs(holdout: DataFrame, rules: Mapping[str, str] = RULES,
+                      cutoffs: Mapping[str, Sequence[int]] = CUTOFFS,
+                      alpha: float = ALPHA, delta: float = DELTA, share: float = PICK_SHARE) -> DataFrame:
+    """(stratum, one nullable cutoff per rule) from ``holdout`` (stratum, good, picks, and the counts).
+
+    Rows with ``picks`` choose, the others certify. A null stratum is a stratum. Rows without a verdict (``good`` null) are left
+    out. Without any loss a stratum needs ``log(delta / strata) / log(1 - alpha)`` good documents that certify.
+    """
+    labelled = holdout.filter(F.col("good").isNotNull())
+    picked = picked_cutoffs(labelled.filter("picks"), rules, cutoffs, share).withColumnRenamed("stratum", "_stratum")
+    n_strata = labelled.agg(F.count_distinct("stratum") + F.max(F.col("stratum").isNull().cast("int")))
+    first = F.least(*[F.when(F.expr(f"{sql} >= cut_{name}"), F.col(f"place_{name}")) for name, sql in rules.items()], F.lit(None))
+    tried = labelled.filter("good AND NOT picks").join(picked, F.col("stratum").eqNullSafe(F.col("_stratum"))).withColumn("_first", first)
+    depths = range(1, len(rules) + 1)
+    losses = tried.groupBy("stratum").agg(
+        F.count("*").alias("n_good"), *[F.count_if(F.col("_first") <= j).alias(f"lost_{j}") for j in depths])
+    allowed = losses.join(F.broadcast(n_strata.toDF("n_strata"))).withColumn(  # one row
+        "allowed", F.log(F.lit(delta) / F.col("n_strata")))
+    # A longer sequence loses no less, so the tests that pass are its first ones.
+    passed = [F.when((F.col(f"lost_{j}") <= alpha * F.col("n_good"))
+                     & (log_binomial_tail(F.col(f"lost_{j}"), F.col("n_good"), F.lit(alpha)) <= F.col("allowed")), j) for j in depths]
+    depth = allowed.select("stratum", F.greatest(*passed, F.lit(0)).alias("depth"))
+    both = depth.join(picked, F.col("stratum").eqNullSafe(F.col("_stratum")))
+    return both.select("stratum", *[
+        F.when(F.col(f"place_{name}") <= F.col("depth"), F.col(f"cut_{name}")).alias(f"cut_{name}") for name in rules])
 
 
 def verdict(rules: Mapping[str, str] = RULES) -> Column:
@@ -166,6 +190,11 @@ def one_verdict(labels: DataFrame) -> DataFrame:
         F.col("doc_id").alias("labelled_id")).agg((F.min("quality") == 1).alias("good"))
 
 
+def picks(name: str) -> Column:
+    """Whether a labelled document is of the half that picks cutoffs."""
+    return F.substring(F.md5(F.col(name).cast("string").cast("binary")), 1, 1) < "8"
+
+
 def decide(counts: DataFrame, cutoffs: DataFrame) -> DataFrame:
     """``counts`` (with ``stratum``) and ``base_failed``, ``kept``. ``cutoffs`` is a stored table with one row per stratum;
     Spark knows its size and broadcasts it when it is small."""
@@ -181,7 +210,7 @@ def fit(counts: DataFrame, labels: DataFrame) -> DataFrame:
     that occurs in several rows counts with each.
     """
     holdout = counts.filter(~base_failed()).join(
-        one_verdict(labels), F.col("doc_id") == F.col("labelled_id")).drop("labelled_id")
+        one_verdict(labels), F.col("doc_id") == F.col("labelled_id")).withColumn("picks", picks("doc_id")).drop("labelled_id")
     return store(certified_cutoffs(holdout).coalesce(1), "cutoffs")
 
 

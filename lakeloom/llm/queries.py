@@ -91,11 +91,10 @@ QUERIES = {
 # 1000 * a / b and the like give doubles in DuckDB as in Spark.
 _RULES = ", ".join(f"({sql}) AS r_{name}" for name, sql in quality_rules.RULES.items())
 _GRID = ", ".join(f"('{name}', {c})" for name in quality_rules.RULES for c in quality_rules.CUTOFFS[name])
-_LIMIT = quality_rules.ALPHA / len(quality_rules.RULES)
-_TESTS = sum(map(len, quality_rules.CUTOFFS.values()))
+_ALPHA = quality_rules.ALPHA
 _VALUE = "CASE rule " + " ".join(f"WHEN '{name}' THEN r_{name}" for name in quality_rules.RULES) + " END"
 _HIT = " OR ".join(
-    f"coalesce(r_{name} >= (SELECT max(cutoff) FROM best b WHERE b.rule = '{name}' AND b.lang IS NOT DISTINCT FROM c.lang), false)"
+    f"coalesce(r_{name} >= (SELECT max(cutoff) FROM chosen b WHERE b.rule = '{name}' AND b.lang IS NOT DISTINCT FROM c.lang), false)"
     for name in quality_rules.RULES)
 _SHA_PART = "CAST('0x' || substr(sha1(t), 5 * i + 1, 5) AS BIGINT)"
 _BASE32 = " || ".join(
@@ -123,18 +122,28 @@ ORACLES: dict[str, str] = {
               FROM d JOIN s USING (rid) LEFT JOIN lines USING (rid) LEFT JOIN repeats USING (rid)),
         c AS (SELECT *, {_RULES}, n_words < {quality_rules.MIN_WORDS}
                 OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM n),
-        l AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1),
-        held AS (SELECT c.*, good FROM c JOIN l USING (doc_id) WHERE NOT base_failed),
-        size AS (SELECT lang, count(*) FILTER (good) AS n_good, count(*) OVER () AS strata FROM held GROUP BY 1),
+        l AS (SELECT doc_id, min(quality) = 1 AS good, substr(md5(CAST(doc_id AS VARCHAR)), 1, 1) < '8' AS picks
+              FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+        held AS (SELECT c.*, good, picks FROM c JOIN l USING (doc_id) WHERE NOT base_failed),
+        size AS (SELECT lang, count(*) FILTER (good AND picks) AS n_pick, count(*) FILTER (good AND NOT picks) AS n_good,
+                   count(*) OVER () AS strata FROM held GROUP BY 1),
         test AS (SELECT lang, rule, cutoff, count(*) FILTER (good AND {_VALUE} >= cutoff) AS lost,
                    count(*) FILTER (NOT good AND {_VALUE} >= cutoff) AS found
-                 FROM held, (VALUES {_GRID}) AS v(rule, cutoff) GROUP BY ALL),
-        sound AS (SELECT test.lang, rule, cutoff, found - lost AS gain FROM test JOIN size ON size.lang IS NOT DISTINCT FROM test.lang
-                  WHERE found > lost AND lost <= {_LIMIT!r} * n_good
-                    AND list_sum(list_transform(range(0, lost + 1), lambda i: exp(lgamma(n_good + 1) - lgamma(i + 1)
-                          - lgamma(n_good - i + 1) + i * ln({_LIMIT!r}) + (n_good - i) * ln(1 - {_LIMIT!r}))))
-                        <= {quality_rules.DELTA!r} / (strata * {_TESTS})),
-        best AS (SELECT lang, rule, arg_max(cutoff, gain * 100000 + cutoff) AS cutoff FROM sound GROUP BY 1, 2)
+                 FROM held, (VALUES {_GRID}) AS v(rule, cutoff) WHERE picks GROUP BY ALL),
+        best AS (SELECT test.lang, rule, max(found - lost) AS gain, arg_max(cutoff, (found - lost) * 100000 + cutoff) AS cutoff
+                 FROM test JOIN size ON size.lang IS NOT DISTINCT FROM test.lang
+                 WHERE found > lost AND lost <= {quality_rules.PICK_SHARE!r} * n_pick GROUP BY 1, 2),
+        placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY gain DESC, rule) AS place FROM best),
+        hit AS (SELECT held.rid, held.lang, min(place) AS first FROM held JOIN placed ON placed.lang IS NOT DISTINCT FROM held.lang
+                WHERE good AND NOT picks AND {_VALUE} >= cutoff GROUP BY 1, 2),
+        loss AS (SELECT size.lang, j, any_value(n_good) AS n_good, any_value(strata) AS strata, count(hit.first) AS lost
+                 FROM size CROSS JOIN range(1, {len(quality_rules.RULES) + 1}) AS r(j)
+                 LEFT JOIN hit ON hit.lang IS NOT DISTINCT FROM size.lang AND first <= j GROUP BY 1, 2),
+        deep AS (SELECT lang, max(j) AS depth FROM loss WHERE lost <= {_ALPHA!r} * n_good
+                   AND list_sum(list_transform(range(0, lost + 1), lambda i: exp(lgamma(n_good + 1) - lgamma(i + 1)
+                         - lgamma(n_good - i + 1) + i * ln({_ALPHA!r}) + (n_good - i) * ln(1 - {_ALPHA!r}))))
+                       <= {quality_rules.DELTA!r} / strata GROUP BY 1),
+        chosen AS (SELECT placed.* FROM placed JOIN deep ON deep.lang IS NOT DISTINCT FROM placed.lang WHERE place <= depth)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT base_failed AND NOT ({_HIT}) AS kept
         FROM c""",
