@@ -4,7 +4,8 @@ Two first-order character models are compared: of random strings (hexadecimal, b
 generator) and of ordinary words (the long words of all documents outside the patterns' matches). Keys hardly ever occur in two
 different texts, so a word of one text alone does not count as ordinary; the others count once per document. A candidate is a run
 of key characters that no pattern claimed; it is a secret if its log-likelihood ratio per character is above a threshold that
-ordinary words almost never reach, each scored by a model that has not seen it, and that nearly all random strings pass.
+ordinary words almost never reach, each scored by a model that has not seen it, and that nearly all random strings pass. Strings
+without lower-case letters are compared in lower case, so that words in capitals are read like any other.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import types as T
 from lakeloom.llm.helpers import store, text_or_empty
 
 # The base patterns and their least lengths.
-ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 LONG_HEX = re.compile(r"[0-9a-f]{16,}")  # a run of hexadecimal digits is a match whole or not at all
@@ -47,6 +48,16 @@ CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
 START = len(ALPHABET)
 
 
+def read_as(string: str) -> str:
+    """How the models see a string: one without lower-case letters in lower case."""
+    return string.lower() if string.isupper() else string
+
+
+def codes(strings: Iterable[str]) -> np.ndarray:
+    """Codes of all characters of the strings, one after the other."""
+    return CODE[np.frombuffer("".join(map(read_as, strings)).encode("ascii"), dtype=np.uint8)]
+
+
 @dataclass(frozen=True)
 class Model:
     """Log-likelihood ratios of each character after each other one (row ``START``: the first), and the threshold on their mean."""
@@ -55,7 +66,7 @@ class Model:
     threshold: float
 
     def score(self, string: str) -> float:
-        at = CODE[np.frombuffer(string.encode("ascii"), dtype=np.uint8)]
+        at = codes([string])
         return float(self.ratio[np.r_[START, at[:-1]], at].mean())
 
 
@@ -68,7 +79,7 @@ def transitions(counts: np.ndarray) -> np.ndarray:
 def count_pairs(strings: Iterable[str]) -> np.ndarray:
     counts = np.zeros((START + 1, START))
     for s in strings:
-        at = CODE[np.frombuffer(s.encode("ascii"), dtype=np.uint8)]
+        at = codes([s])
         np.add.at(counts, (np.r_[START, at[:-1]], at), 1)
     return counts
 
@@ -169,7 +180,7 @@ def pairs_in(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     words = b.column(0).to_pylist()
     lengths = np.array([len(w) for w in words])
     starts = np.cumsum(lengths) - lengths
-    at = CODE[np.frombuffer("".join(words).encode("ascii"), dtype=np.uint8)]
+    at = codes(words)
     last = np.r_[START, at[:-1]]
     last[starts] = START
     return starts, lengths, last, at
