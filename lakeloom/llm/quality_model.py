@@ -24,6 +24,7 @@ from lakeloom.llm.helpers import store, text_or_empty
 
 BUCKETS = 1 << 16
 SAMPLE = 20_000      # rated documents used to fit, about; the bound of the training sample
+FIT_TASKS = 8        # that hold the sample; each gives one gradient a step
 RIDGE = 0.5
 STEPS = 40
 CUTOFF = 0.5         # least probability of the top grade
@@ -135,7 +136,7 @@ def rated_features(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, se
         F.min("grade").cast("int").alias("grade"))
     known = store(known, "ratings")
     share = min(1.0, sample / max(known.count(), 1))
-    drawn = known.filter(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_000)) < int(share * 1_000_000)).select(
+    drawn = known.filter(F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1 << 62)) < int(share * (1 << 62))).select(
         F.col("doc_id").alias("_id"), "grade")
     schema = "grade int, buckets array<int>"
 
@@ -146,7 +147,8 @@ def rated_features(docs: DataFrame, ratings: DataFrame, sample: int = SAMPLE, se
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.list_(pa.int32()))], ["grade", "buckets"])
 
     rows = docs.select("doc_id", text_or_empty().alias("t")).join(F.broadcast(drawn), F.col("doc_id") == F.col("_id"))
-    return store(rows.select("grade", "t").mapInArrow(run, schema), "features")
+    # Few files, however many tasks read the documents: a step sends FIT_TASKS gradients to the driver.
+    return store(rows.select("grade", "t").mapInArrow(run, schema).repartition(FIT_TASKS), "features")
 
 
 def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE, ridge: float = RIDGE, steps: int = STEPS) -> Model:
@@ -168,7 +170,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, sample: int = SAMPLE,
                 value, grad = value + one, grad + part
             yield pa.RecordBatch.from_arrays([pa.array([value]), pa.array([grad.tobytes()], pa.binary())], ["value", "grad"])
 
-        # One row per task: its loss and a gradient of the model's size.
+        # One row per task, of which there are about FIT_TASKS: its loss and a gradient of the model's size.
         parts = rated.mapInArrow(run, "value double, grad binary").collect()
         w = params[:BUCKETS]
         grad = sum((np.frombuffer(p["grad"]) for p in parts), np.zeros_like(params))
