@@ -111,14 +111,80 @@ def test_binomial_tail(spark, k, n, p):
     assert math.isclose(got, want, abs_tol=1e-9)
 
 
+COUNT_COLUMNS = ("stratum string, good boolean, picks boolean, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+                 "n_repeat_words long, n_capitals long")
+
+
+def plain_cutoffs(rows):
+    """Per stratum the rules that the second half certifies, chosen and put in order by the first half."""
+    value = {"symbols": lambda c: 1000 * c[2] / c[1] if c[1] else -1, "capitals": lambda c: 1000 * c[5] / c[1] if c[1] else -1,
+             "dup_lines": lambda c: 1000 * c[3] / c[0] if c[0] else -1, "repeats": lambda c: 1000 * c[4] / c[0] if c[0] else -1,
+             "long_words": lambda c: 100 * c[1] / c[0] if c[0] else -1}
+    strata, out = {r[0] for r in rows}, {}
+    for s in strata:
+        half = {p: [(good, c) for st, good, pick, *c in rows if st == s and pick == p and good is not None] for p in (True, False)}
+        n_pick = sum(good for good, _ in half[True])
+        best = []
+        for rule, f in value.items():
+            options = []
+            for cut in quality_rules.CUTOFFS[rule]:
+                hit = [good for good, c in half[True] if f(c) >= cut]
+                lost, found = sum(hit), len(hit) - sum(hit)
+                if found > lost and lost <= 0.025 * n_pick:
+                    options.append((found - lost, cut))
+            if options:
+                best.append((-max(options)[0], rule, max(options)[1]))
+        good = [c for g, c in half[False] if g]
+        for j in range(1, 6):
+            chosen = sorted(best)[:j]
+            lost = sum(any(value[r](c) >= cut for _, r, cut in chosen) for c in good)
+            tail = sum(math.comb(len(good), i) * 0.05**i * 0.95**(len(good) - i) for i in range(lost + 1))
+            if lost > 0.05 * len(good) or tail > 0.05 / len(strata):
+                break
+            out |= {(s, r): cut for _, r, cut in chosen}
+    return out
+
+
+def test_certified_cutoffs_are_those_of_a_plain_version(spark):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(3000):
+        stratum, good = rng.choice(["a"] * 8 + ["b"] * 4 + ["c", None]), rng.random() < 0.8
+        noisy = not good and rng.random() < 0.6
+        rows.append((stratum, None if rng.random() < 0.05 else good, rng.random() < 0.5, rng.choice([200, 200, 200, 0]),
+                     rng.choice([0, rng.randint(600, 1200)]), rng.randint(60, 400) if noisy else rng.randint(0, 12),
+                     rng.randint(0, 30 if noisy and stratum == "b" else 4), rng.randint(0, 12), rng.randint(0, 200 if noisy else 60)))
+    got = {}
+    for r in quality_rules.certified_cutoffs(spark.createDataFrame(rows, COUNT_COLUMNS)).collect():
+        got |= {(r["stratum"], rule): r[f"cut_{rule}"] for rule in quality_rules.RULES if r[f"cut_{rule}"] is not None}
+    assert got == plain_cutoffs(rows) and {"a", "b"} <= {s for s, _ in got}
+
+
+def test_verdicts_where_cutoffs_apply(spark):
+    """Good and bad documents of two languages: the symbols of the bad ones are found, too few labels certify nothing."""
+    rng = random.Random(14)
+    words = ["".join(rng.choices("abcdefghij", k=4)) for _ in range(300)]
+
+    def text(bad):
+        return " ".join(rng.choices(words, k=70) + ["#|#|" * 6] * (12 if bad else 0))
+
+    data = [(i, text(i % 4 == 0), "en" if i < 600 else "xx") for i in range(640)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 4 != 0)) for i in range(0, 640)], "doc_id long, quality int")
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(docs, labels).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert {i for i, r in got.items() if not r["kept"]} == {i for i in range(600) if i % 4 == 0}
+
+
 def test_certified_cutoffs(spark):
-    rows = ([("a", True, 200, 1000, 0, 0, 0, 0)] * 3000 + [("a", False, 200, 1000, 250, 0, 0, 0)] * 40
-            + [("a", True, 200, 1000, 60, 0, 0, 0)] * 2 + [("b", True, 200, 1000, 0, 0, 0, 0)] * 50
-            + [("b", False, 200, 1000, 250, 0, 0, 0)] * 40 + [(None, True, 200, 1000, 0, 0, 0, 0)])
-    holdout = spark.createDataFrame(rows, "stratum string, good boolean, n_words long, word_chars long, n_symbols long, "
-                                          "n_dup_lines long, n_repeat_words long, n_capitals long")
-    got = {r["stratum"]: r["cut_symbols"] for r in quality_rules.certified_cutoffs(holdout).collect()}
-    assert got == {"a": 200}  # cutoffs up to 50 lose good ones; of the equal rest the mildest; b has too few good ones
+    clean, marked = (200, 1000, 0, 0, 0, 0), (200, 1000, 250, 0, 0, 0)
+    rows = [("a", True, half, *clean) for half in (True, False)] * 300 + [("a", False, True, *marked)] * 40
+    rows += [("a", True, half, 200, 1000, 60, 0, 0, 0) for half in (True, False)] * 9  # more than may be lost
+    rows += [("b", True, half, *clean) for half in (True, False)] * 50 + [("b", False, True, *marked)] * 40  # too few to certify
+    rows += [("c", True, True, *clean)] * 300 + [("c", True, False, *marked)] * 300 + [("c", False, True, *marked)] * 40
+    rows += [(None, True, True, *clean), (None, None, False, *clean)]
+    got = {r["stratum"]: r["cut_symbols"] for r in quality_rules.certified_cutoffs(spark.createDataFrame(rows, COUNT_COLUMNS)).collect()}
+    assert {k: v for k, v in got.items() if v} == {"a": 200}  # of equal cutoffs the mildest; the second half of c says no
 
 
 def test_quality_stage_keeps_columns(docs, labels, none):
@@ -460,7 +526,8 @@ def test_shards(docs, none, shards):
 
 def plain_spans(text):
     assign = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
-    assign = assign.replace("(password|passwd|secret|token|api_?key)", "((?i:password|passwd|secret|token|api_?key))")
+    either = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+    assign = assign.replace("password|passwd|secret|token|api_?key", "|".join(map(either, "password passwd secret token api_?key".split())))
     found = [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m[2]) >= 12]
     found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
     found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
@@ -469,7 +536,7 @@ def plain_spans(text):
 
 def test_base_spans():
     rng = random.Random(6)
-    parts = ["password", "PassWd", "token", "api_key", "APIKEY", ":", "=", " ", '"', "'", "abcdef", "0123456789", "AKIA", "ABCDEFGHIJ", "é",
+    parts = ["password", "PassWd", "pa\u017fsword", "to\u212aen", "SECRET", "token", "api_key", "APIKEY", ":", "=", " ", '"', "'", "abcdef", "0123456789", "AKIA", "ABCDEFGHIJ", "é",
              "zz", "-", "\n"]
     for _ in range(3000):
         text = "".join(rng.choices(parts, k=rng.randint(0, 25)))
@@ -503,6 +570,74 @@ def test_markov_models_tell_keys_from_identifiers():
     assert "random:0:24" in secret_scan.written(secret_scan.spans_of("x9Kq3vT7bLm2Zr8WcN5pHd4F and", model))
 
 
+def plain_model(words):
+    """The ratios and the threshold from (word, n, fold), one word after the other."""
+    read = lambda x: x if any(c.islower() for c in x) or not any(c.isupper() for c in x) else x.lower()
+    at = {c: i for i, c in enumerate(secret_scan.ALPHABET)}
+
+    def counts(strings):
+        c = np.zeros((68, 67))
+        for x, n in strings:
+            last = 67
+            for ch in read(x):
+                c[last, at[ch]] += n
+                last = at[ch]
+        return c
+
+    def logs(c):
+        return np.log((c + 0.5) / (c + 0.5).sum(axis=1, keepdims=True))
+
+    def score(ratio, x):
+        x = read(x)
+        return sum(ratio[67 if i == 0 else at[x[i - 1]], at[c]] for i, c in enumerate(x)) / len(x)
+
+    keys = logs(counts((x, 1) for x in secret_scan.random_strings(20_000, 23)))
+    ratio = keys - logs(counts((w, n) for w, n, _ in words))
+    bins = Counter()
+    for fold in range(5):
+        part = keys - logs(counts((w, n) for w, n, f in words if f != fold))
+        for w, n, f in words:
+            if f == fold:
+                bins[math.floor(score(part, w) * 1024)] += n
+    left, top = 0.0005 * sum(bins.values()), 0.0
+    for k in sorted(bins, reverse=True):
+        left -= bins[k]
+        if left < 0:
+            top = (k + 1) / 1024
+            break
+    low = float(np.quantile([score(ratio, x) for x in secret_scan.random_strings(5000, 24)], 0.01))
+    return lambda x: score(ratio, x) > min(max(0.0, top) + 1e-9, low)
+
+
+def test_random_spans_are_those_of_a_plain_model(spark):
+    """Prose in which words are also written in capitals, with keys of all kinds planted: spans, precision and recall."""
+    rng = random.Random(13)
+    syllables = "tion er in re the con pre ment al is or en st ate ly ga nde mi".split()
+    vocabulary = ["".join(rng.choices(syllables, k=rng.randint(1, 7))) for _ in range(600)]
+    keys = secret_scan.random_strings(150, seed=77)
+    texts, planted = [], {}
+    for i in range(450):
+        words = rng.choices(vocabulary, k=40)
+        words = [w.upper() if rng.random() < 0.05 else w.capitalize() if rng.random() < 0.1 else w for w in words]
+        if i % 3 == 0:
+            words[7] = keys[i // 3]
+            planted[i] = keys[i // 3]
+        texts.append(" ".join(words))
+    docs = frame(spark, texts)
+    is_key = plain_model([tuple(r) for r in secret_scan.ordinary_words(docs).select("word", "n", "fold").collect()])
+    right = found = 0
+    for r in secret_scan.secret_scan(docs).collect():
+        text, base = texts[r["doc_id"]], plain_spans(texts[r["doc_id"]])
+        runs = [m.span() for m in re.finditer("[A-Za-z0-9+/_=-]{16,}", text)]
+        free = [(a, z) for a, z in runs if not any(a < e and b < z for b, _, e in base)]
+        want = sorted(base + [(a, 3, z) for a, z in free if is_key(text[a:z])])
+        assert r["spans"] == secret_scan.written(want)
+        spans = [text[a:z] for a, k, z in want if k >= 2]
+        found += len(spans)
+        right += sum(x == planted.get(r["doc_id"]) for x in spans)
+    assert right >= 0.95 * len(planted) and found - right <= 3
+
+
 def test_keys_of_the_corpus_do_not_raise_the_threshold(spark):
     """One key in every third document, and copies of one that holds another key: all of them are found, the words are not."""
     rng = random.Random(9)
@@ -622,6 +757,34 @@ def test_held_out_accuracy(spark):
     assert all(0 <= r["expected_grade"] <= 2 for r, _ in held)
 
 
+def test_scores_are_those_of_a_plain_version(docs, labels):
+    """Sums of weights, tails and the likeliest grade of every text, word by word."""
+    ratings = labels.select("doc_id", F.col("quality").alias("grade"))
+    model = quality_model.fit(docs, ratings.unionByName(labels.select("doc_id", F.lit(2).alias("grade")).filter("doc_id > 40")), grades=3)
+    token = re.compile(r"[^\W\d_]+|[^\w\s]+|\d+")
+    got = Counter((r["doc_id"], round(r["score"], 6), round(r["expected_grade"], 6), round(r["p_top"], 6), r["grade"], r["kept"])
+                  for r in quality_model.scored(docs, model).collect())
+    want = Counter()
+    for i, t in pairs_of(docs):
+        tokens = token.findall(t or "")
+        names = {x.lower() for x in tokens}
+        if tokens:
+            names |= {f"<capitals {sum(x.isupper() for x in tokens) * 10 // len(tokens)}>",
+                      f"<marks {sum(not x.isalnum() for x in tokens) * 10 // len(tokens)}>"}
+        score = sum(model.weights[b] for b in {zlib.crc32(x.encode()) % 65536 for x in names})
+        tails = [1.0, *(1 / (1 + math.exp(h - score)) for h in model.thresholds), 0.0]
+        each = [a - b for a, b in zip(tails, tails[1:])]
+        want[i, round(float(score), 6), round(sum(tails[1:]), 6), round(tails[2], 6), each.index(max(each)), tails[2] >= 0.5] += 1
+    assert got == want
+    assert len({r[4] for r in got}) > 1
+
+
+def test_a_fit_sends_few_gradients(spark, docs, labels):
+    """The sample lies in a fixed number of files, however many tasks read the documents."""
+    rated = quality_model.rated_features(docs.repartition(40), labels.select("doc_id", F.col("quality").alias("grade")))
+    assert len(rated.inputFiles()) <= quality_model.FIT_TASKS
+
+
 def test_quality_model_edges(docs, none, labels):
     ratings = labels.select("doc_id", F.col("quality").alias("grade"))
     model = quality_model.fit(docs, ratings, grades=2)
