@@ -27,7 +27,9 @@ WORDS = 5
 SIMILAR = 0.8
 BANDS, ROWS = 24, 4       # two texts of similarity 0.8 miss each other in all bands 3 times in a million
 LIKELY = 57 / 96          # sketches of a pair at 0.8 agree in less than this less often than such a pair misses in all bands
-BLOCK = 1024              # members that one task compares at a time
+BLOCK = 1024              # members of a block; two blocks are compared at a time
+BLOCK_BYTES = 4 << 20     # of their texts together, a longer text alone
+KEPT_WORDS = 1 << 20      # words whose shingles are kept while pairs are checked
 MOST_BLOCKS = 16          # in larger buckets pairs that share a second band meet in that
 BATCH_WORDS = 200_000     # words that are sketched together
 ALONE = -2                # instead of a second band: pairs that share none
@@ -74,13 +76,16 @@ def banded(nodes: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame, words: int = WORDS, similar: float = SIMILAR) -> DataFrame:
     """The pairs (a, b) whose texts are similar."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, bags = shingles.WordHashes(), {}
+        memo, bags, held = shingles.WordHashes(), {}, 0
 
         def bag(key: bytes, text: pa.Scalar):
+            nonlocal held
             if key not in bags:
-                if len(bags) > 64:
+                if len(bags) > 64 or held > KEPT_WORDS:
                     bags.clear()
+                    held = 0
                 bags[key] = shingles.weighted(text.as_py().lower().split(), memo, words)
+                held += len(bags[key][0])
             return bags[key]
 
         for b in batches:
@@ -105,19 +110,20 @@ def linked(pdf: pd.DataFrame, words: int, similar: float, likely: float = LIKELY
     if len(pdf) < 2:
         return pd.DataFrame({"a": [], "b": []}, dtype=object)
     sig = np.frombuffer(b"".join(pdf["sig"]), "<u4").reshape(len(pdf), -1)
-    comp, keys, pairs = pd.factorize(pdf["comp"])[0], pdf["key"].to_numpy(), []
+    comp, keys = pd.factorize(pdf["comp"])[0], pdf["key"].to_numpy()
+    pairs = [np.zeros((3, 0), dtype=np.int16)]  # components that agree, and the two members
     bands = np.array([int(b) for b in (pdf["band"].iloc[0], pdf["finer"].iloc[0]) if b >= 0])
     upto = BANDS if pdf["finer"].iloc[0] == ALONE else bands[-1] + 1
     for i in range(len(pdf) - 1):
         rest = np.flatnonzero(comp[i + 1:] != comp[i]) + i + 1
         same = sig[rest] == sig[i]
-        alike = same.mean(axis=1)
-        on = alike >= likely
+        alike = same.sum(axis=1)
+        on = alike >= likely * same.shape[1]
         rest, same, alike = rest[on], same[on], alike[on]
         shared = same.reshape(len(rest), BANDS, ROWS).all(axis=2)
         # The block's bands are shared, and no other one before the last of them, or no other one at all.
         on = shared[:, bands].all(axis=1) & (shared[:, :upto].sum(axis=1) == len(bands))
-        pairs += [(x, i, j) for x, j in zip(alike[on].tolist(), rest[on].tolist())]
+        pairs.append(np.array([alike[on], np.full(on.sum(), i), rest[on]], dtype=np.int16))
     root = list(range(int(comp.max()) + 1))
     memo, bags, out = shingles.WordHashes(), {}, []
 
@@ -131,7 +137,9 @@ def linked(pdf: pd.DataFrame, words: int, similar: float, likely: float = LIKELY
             bags[i] = shingles.weighted(pdf["b"].iat[i].lower().split(), memo, words)
         return bags[i]
 
-    for _, i, j in sorted(pairs, key=lambda p: (-p[0], p[1], p[2])):
+    alike, left, right = np.concatenate(pairs, axis=1)
+    for at in np.lexsort((right, left, -alike)):
+        i, j = int(left[at]), int(right[at])
         a, b = find(comp[i]), find(comp[j])
         if a != b and shingles.similarity(bag(i), bag(j)) >= similar:
             root[a] = b
@@ -150,7 +158,7 @@ def rest_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: in
                block: int = BLOCK, most: int = MOST_BLOCKS) -> DataFrame:
     """Links across components within a bucket. ``members``: (bucket, band, key, center, comp), stored.
 
-    A bucket above ``block`` members is compared block against block, each member once per block. Above ``most`` blocks, pairs that
+    A bucket above ``block`` members, or above ``BLOCK_BYTES`` of texts, is compared block against block, each member once per block. Above ``most`` blocks, pairs that
     share further bands meet within the second one, among fewer members; the blocks against blocks are left with the pairs that
     share this band alone. All pairs of a bucket are looked at, whatever its size.
     """
@@ -161,7 +169,9 @@ def rest_links(members: DataFrame, nodes: DataFrame, texts: DataFrame, words: in
         F.xxhash64("bucket", "second").alias("bucket"), "band", "finer", "key", "center", "comp"), "finer")
     whole = F.when(F.col("n") <= block * most, -1).otherwise(ALONE)
     parts = kept.withColumn("finer", whole).unionByName(finer.join(open_buckets(finer, 2), "bucket"))
-    n_blocks = F.ceil(F.col("n") / block).cast("int")
+    sized = parts.join(texts.select("key", F.octet_length("b").alias("size")), "key")
+    parts = sized.join(sized.groupBy("bucket", "finer").agg(F.sum("size").alias("bytes")), ["bucket", "finer"])
+    n_blocks = F.greatest(F.ceil(F.col("n") / block), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     mine = F.pmod(F.xxhash64("key", F.lit(7)), n_blocks).cast("int")
     spread = parts.withColumn("_n", n_blocks).withColumn("_i", mine).withColumn(
         "_j", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))

@@ -27,6 +27,7 @@ DOCUMENTS = 2048         # as many as tokens: one-token pieces fill a sequence
 COST = LENGTH * LENGTH   # one full piece
 WEIGHTS = (1.0, 0.001, 0.001)  # tokens decide, the others break ties
 ROUND = 16384            # shorter pieces packed together
+HELD = 8 * ROUND         # pieces of any length that a task holds
 SEPARATOR = 0
 
 
@@ -109,7 +110,7 @@ def pack(docs: DataFrame, length: int = LENGTH, documents: int = DOCUMENTS, cost
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         used = TaskContext.get().partitionId() << 36  # sequences of a task are numbered from here
         held: list[pa.RecordBatch] = []
-        n = 0
+        n = rows = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
             nonlocal used
@@ -122,9 +123,10 @@ def pack(docs: DataFrame, length: int = LENGTH, documents: int = DOCUMENTS, cost
         for b in batches:
             held.append(b)
             n += int((b.column(3).to_numpy() < longest).sum())
-            if n >= ROUND:
+            rows += b.num_rows
+            if n >= ROUND or rows >= HELD:
                 yield from flush()
-                held, n = [], 0
+                held, n, rows = [], 0, 0
         if held:
             yield from flush()
 

@@ -10,15 +10,24 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-MEMO = 1 << 20
+MEMO_BYTES = 24 << 20  # words and hashes that a task keeps
+MEMO_WORD = 64         # longer words are hashed each time
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 class WordHashes(dict):
-    """64-bit hash of each word met so far."""
+    """64-bit hash of each word met so far, within ``MEMO_BYTES``."""
+
+    held = 0
 
     def __missing__(self, word: bytes) -> int:
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= MEMO_WORD:
+            if self.held > MEMO_BYTES:
+                self.clear()
+                self.held = 0
+            self[word] = value
+            self.held += len(word) + 160
         return value
 
 
@@ -33,8 +42,6 @@ def weighted(words: list[bytes], memo: WordHashes, size: int) -> tuple[np.ndarra
     """Distinct shingles (ascending 64-bit hashes) and their weights."""
     if not words:
         return np.array([], dtype=np.uint64), np.array([])
-    if len(memo) > MEMO:
-        memo.clear()
     h = np.fromiter(map(memo.__getitem__, words), dtype=np.uint64, count=len(words))
     k = min(size, len(h))
     s = np.full(len(h) - k + 1, k, dtype=np.uint64)

@@ -23,7 +23,7 @@ from lakeloom.llm.helpers import text_or_empty
 
 FILE = "byte_bpe_50k.json"
 BATCH_BYTES = 1 << 20   # text that is cut and encoded together
-MEMO_BYTES = 256 << 20  # pieces and ids that a task keeps
+MEMO_BYTES = 64 << 20   # pieces and ids that a task keeps
 MEMO_PIECES = 1 << 20   # pieces and lengths that a task keeps
 
 # White space as the pre-tokenizer sees it: Python's, without the four separators U+001C to U+001F.
@@ -102,16 +102,15 @@ class Encoder:
         return [sum(map(size, pieces)) for pieces in cut]
 
 
-def by_bytes(texts: pa.Array, limit: int = BATCH_BYTES) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts): consecutive rows of at most ``limit`` characters together, or one longer text."""
+def by_bytes(texts: pa.Array, sizes: list[int], limit: int = BATCH_BYTES) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts): consecutive rows of at most ``limit`` bytes together, or one longer text."""
     start, size, held = 0, 0, []
-    for i, x in enumerate(texts):
-        t = x.as_py()
-        if held and size + len(t) > limit:
+    for i, (x, n) in enumerate(zip(texts, sizes)):
+        if held and size + n > limit:
             yield start, held
             start, size, held = i, 0, []
-        held.append(t)
-        size += len(t)
+        held.append(x.as_py())
+        size += n
     if held:
         yield start, held
 
@@ -128,7 +127,7 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 512) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         for b in batches:
-            for start, texts in by_bytes(b.column(2)):
+            for start, texts in by_bytes(b.column(2), b.column(1).to_pylist()):
                 n = pa.array(encoder.lengths(texts), pa.int64())
                 part = b.slice(start, len(texts))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), n], schema.names)

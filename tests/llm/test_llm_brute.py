@@ -322,6 +322,36 @@ def test_near_dup_of_a_large_group(spark, monkeypatch, block, most):
     assert len(check_near(frame(spark, chain(80) + made_texts()[:12]))) > 1
 
 
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    """Blocks of one or two texts give the same classes as one block of all."""
+    monkeypatch.setattr(near_dup, "BLOCK_BYTES", 2000)
+    assert len(check_near(frame(spark, chain(40) + made_texts()[:12]))) > 1
+
+
+def test_memory_of_a_block_of_unlike_copies():
+    """Texts that all look alike to the sketches and are not: a quarter of a million pairs, a few bytes each."""
+    import tracemalloc
+
+    n = 700
+    words = [b"w%d" % i for i in range(60)]
+    rows = [{"key": b"%d" % i, "center": b"c", "comp": b"%d" % i, "band": 0, "finer": -1, "sig": x,
+             "b": b" ".join([*words[i % 7:], b"x%d" % i, *words[:i % 7]])} for i, x in enumerate(sketches_alike(n, 60))]
+    pdf = pd.DataFrame(rows)
+    tracemalloc.start()
+    links = near_dup.linked(pdf, 5, 0.999, likely=0.5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert links.empty and peak < 24 << 20
+
+
+def test_word_memos_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(shingles, "MEMO_BYTES", 5000)
+    memo = shingles.WordHashes()
+    plain = [shingles.xxhash.xxh3_64_intdigest(w) for w in (b"%d" % i for i in range(500))]
+    assert [memo[b"%d" % i] for i in range(500)] == plain and len(memo) < 60
+    assert memo[b"y" * 100] == shingles.xxhash.xxh3_64_intdigest(b"y" * 100) and b"y" * 100 not in memo
+
+
 def test_a_block_with_its_center_alone():
     row = {"key": b"k", "center": b"k", "comp": b"k", "band": 0, "finer": -1, "sig": bytes(4 * 96), "b": b"text"}
     assert near_dup.linked(pd.DataFrame([row]), 5, 0.8).empty
