@@ -15,27 +15,45 @@ from lakeloom.sources.tables import Tables
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and every certified cutoff of their language."""
+    """Documents that pass the base rules and every certified cutoff of their language.
+
+    A missing or empty text has no words and goes. Rows without id, and rows given twice, are judged each by itself; a missing language is
+    one of its own. Without labels the base rules alone decide. Other columns, whatever their names, pass through.
+    """
     return quality_rules.keep_good(docs, Tables(spark, sf_dir)["labels"])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the largest doc_id."""
+    """Of texts that are equal but for the case of A-Z, the one with the largest doc_id.
+
+    A missing text equals an empty one. A row without id stays only where no other has its text; of rows given twice one stays.
+    """
     return exact_dedup.keep_one(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate class the one with the smallest doc_id."""
+    """Of each near-duplicate class the one with the smallest doc_id.
+
+    Texts without words, missing ones too, are one class. A row without id stays only where its class has no other; of rows given
+    twice one stays.
+    """
     return near_dup.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources near their target weights: a document appears as often as the mix takes it."""
+    """Sources near their target weights: a document appears as often as the mix takes it.
+
+    A missing source is one of its own, after all others. Texts without words have size 0 and are not taken. Rows given twice are
+    two documents.
+    """
     return mixing.mixed(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 2048 tokens."""
+    """One row per piece in sequences of at most 2048 tokens.
+
+    A missing or empty text is the single id 0. Rows given twice are packed twice; a missing id is kept as it is.
+    """
     return packing.pack(docs)
 
 
