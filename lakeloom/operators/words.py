@@ -129,12 +129,18 @@ def cooccur_stripes(lines: DataFrame, parts: int = 64) -> DataFrame:
         F.map_from_entries(F.collect_list(F.struct("second", "n"))).alias("stripe"))
 
 
-def partners_per_word(pairs: DataFrame) -> DataFrame:
-    """Per word: distinct partners, all pair counts, the largest one, and a sum that ties counts to partners.
+def partners_per_word(counts: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Per word: distinct partners, all pair counts, the largest one, and a sum that ties counts to partners, from ``pair_counts``.
 
-    ``bound`` adds up every count times a number read off its partner (length, first and last letter).
+    ``bound`` adds up every count times a number read off its partner (length, first and last letter). All sums are taken over
+    numbers; the words come in once for each word.
     """
-    letters = F.length("second") + 31 * F.ascii("second") + 1009 * F.ascii(F.right("second", F.lit(1)))
-    return pairs.groupBy(F.col("first").alias("word")).agg(
+    letters = F.length("word") + 31 * F.ascii("word") + 1009 * F.ascii(F.right("word", F.lit(1)))
+    lo, hi = F.shiftright("pair", 32), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1))
+    both = counts.select(lo.alias("lo"), hi.alias("hi"), "n").select("n", F.inline(F.array(
+        F.struct(F.col("lo").alias("first"), F.col("hi").alias("second")), F.struct(F.col("hi").alias("first"), F.col("lo").alias("second")))))
+    read = both.join(numbers.select(F.col("number").alias("second"), letters.alias("letters")), "second")
+    sums = read.groupBy("first").agg(
         F.count("*").alias("n_partners"), F.sum("n").alias("n_pairs"), F.max("n").alias("top_count"),
-        F.sum(F.col("n") * letters).alias("bound"))
+        F.sum(F.col("n") * F.col("letters")).alias("bound"))
+    return sums.join(numbers, F.col("first") == F.col("number")).select("word", "n_partners", "n_pairs", "top_count", "bound")

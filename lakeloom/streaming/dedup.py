@@ -23,43 +23,61 @@ STATE_STORE = {
 }
 
 
+BUCKETS = 4096  # of keys; a checkpoint keeps its number
+STEPS = 16      # timers in a delay
+
+
 class FirstOfKey(StatefulProcessor):
-    """The first event of a key, for as long as the key is kept; late events of keys that are not kept."""
+    """The first event of a key, for as long as the key is kept; late events of keys that are not kept.
+
+    State is held for a bucket of keys, as a list of keys and event times. A batch reads the lists of its buckets once and appends its new
+    keys to them in one call, since a call per key would cost more than all else. Timers are set at steps of the keeping time; when
+    one fires, the bucket's keys that are over are dropped.
+    """
 
-    def __init__(self, keep_ms: int):
-        self.keep_ms = keep_ms
+    def __init__(self, keep_ms: int, key_type: T.DataType):
+        self.keep_ms, self.step, self.key_type = keep_ms, max(1, keep_ms // STEPS), key_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", T.StructType().add("at", T.LongType()))
+        self.seen = handle.getListState("seen", T.StructType().add("key", self.key_type).add("at", T.LongType()))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        watermark, seen = timerValues.getCurrentWatermarkInMs(), self.seen.exists()
+        watermark, known, new = timerValues.getCurrentWatermarkInMs(), {one for one, _ in self.seen.get()}, []
         for row in rows:
-            if seen:
+            if row.key in known:
                 continue
             if row.at < watermark:
                 yield Row(event=row.event, outcome=LATE)
                 continue
-            seen = True
-            self.seen.update((row.at,))
-            self.handle.registerTimer(row.at + self.keep_ms)
+            known.add(row.key)
+            new.append((row.key, row.at))
             yield Row(event=row.event, outcome=FIRST)
+        if new:
+            self.seen.appendList(new)
+            for timer in {-(-(at + self.keep_ms) // self.step) * self.step for _, at in new}:
+                self.handle.registerTimer(timer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        self.seen.clear()
+        last = expiredTimerInfo.getExpiryTimeInMs() - self.keep_ms
+        kept = [(one, at) for one, at in self.seen.get() if at > last]
+        if kept:
+            self.seen.put(kept)
+        else:
+            self.seen.clear()
         return iter(())
 
     def close(self) -> None:
         pass
 
 
-def first_and_late(events: DataFrame, key: str, event_time: str, delay: str) -> DataFrame:
+def first_and_late(events: DataFrame, key: str, event_time: str, delay: str, buckets: int = BUCKETS) -> DataFrame:
     """The columns of ``events`` and ``outcome``: ``first`` for the first event of each key, ``late`` for events that cannot be compared.
 
-    A key is kept until the watermark, ``delay`` behind the latest event, has passed its first event by another ``delay``;
-    further events of it are left out until then. An event behind the watermark whose key is not kept is late: it may be new or
-    not. Events without key or time have nothing to be compared by and are all first.
+    A key is kept until the watermark, ``delay`` behind the latest event, has passed its first event by another ``delay`` (and up to a
+    sixteenth of it more); further events of it are left out until then. An event behind the watermark whose key is not kept is late: it
+    may be new or not. Events without key or time have nothing to be compared by and are all first. A task holds the keys of one bucket at
+    a time: choose ``buckets`` by the number of keys within two delays. It must not change while a checkpoint is in use.
     """
     if not events.isStreaming:
         raise ValueError("for tables there is events.dedup: nothing is late there")
@@ -69,9 +87,10 @@ def first_and_late(events: DataFrame, key: str, event_time: str, delay: str) ->
     bare = F.col(key).isNull() | F.col(event_time).isNull()
     # The struct hides the event time from the planner, which would otherwise drop late events before the processor sees them.
     told = events.where(~bare).withWatermark(event_time, delay).select(
-        F.col(key).alias("key"), F.unix_millis(event_time).alias("at"), whole)
+        F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket"), F.col(key).alias("key"), F.unix_millis(event_time).alias("at"), whole)
     out = T.StructType().add("event", told.schema["event"].dataType).add(OUTCOME, T.StringType())
-    done = told.groupBy("key").transformWithState(FirstOfKey(keep_ms), out, "append", "eventTime")
+    processor = FirstOfKey(keep_ms, told.schema["key"].dataType)
+    done = told.groupBy("bucket").transformWithState(processor, out, "append", "eventTime")
     rest = events.where(bare).select(whole, F.lit(FIRST).alias(OUTCOME))
     return done.unionByName(rest).select("event.*", OUTCOME)
 
