@@ -23,7 +23,7 @@ from lakeloom.llm.helpers import text_or_empty
 
 FILE = "byte_bpe_50k.json"
 BATCH_BYTES = 1 << 20   # text that is cut and encoded together
-MEMO_BYTES = 128 << 20  # pieces and ids that a task keeps
+MEMO_BYTES = 96 << 20   # pieces and ids that a task keeps
 MEMO_PIECES = 1 << 20   # pieces and lengths that a task keeps
 
 # White space as the pre-tokenizer sees it: Python's, without the four separators U+001C to U+001F.
