@@ -44,11 +44,13 @@ def distinct_rows(df: DataFrame, column: str, *keys: str) -> DataFrame:
 def bitmaps(df: DataFrame, column: str, *keys: str) -> DataFrame:
     """The set of whole numbers of each key as rows ``keys, bucket, bitmap`` of 4 KB, one for every 32,768 numbers in a row.
 
-    A set has as many rows as it spans buckets. Missing and negative values are left out.
+    A set has as many rows as it spans buckets. Missing and negative values are left out. Numbers are shuffled and sorted as short rows,
+    each once for its key; a bitmap is made where its numbers lie together, so that none but finished ones exist, one at a time.
     """
     value = F.col(column).cast("long")
-    return df.where(value >= 0).groupBy(*keys, F.bitmap_bucket_number(value).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("bitmap"))
+    places = df.where(value >= 0).select(
+        *keys, F.bitmap_bucket_number(value).alias("bucket"), F.bitmap_bit_position(value).alias("_place")).distinct()
+    return places.repartition(*keys, "bucket").groupBy(*keys, "bucket").agg(F.bitmap_construct_agg("_place").alias("bitmap"))
 
 
 def merged_bitmaps(sets: DataFrame, *keys: str) -> DataFrame:

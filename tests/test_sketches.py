@@ -95,3 +95,12 @@ def test_a_gradient_tells_a_fit_from_none(spark):
     assert steepest(0.0, maxIter=100, tol=1e-10) < 1e-5
     assert steepest(0.05, maxIter=0) > 0.05  # the best constant predictor
     assert steepest(0.05, maxIter=2) > 1e-4
+
+
+def test_no_bitmap_is_shuffled_or_sorted(spark):
+    """Bitmaps are made above the last exchange, out of rows that come once."""
+    rows = spark.createDataFrame([(1, 5), (1, 5), (1, 40000), (2, 5), (None, 7), (2, -1), (2, None)], "k int, v long")
+    sets = sketches.bitmaps(rows, "v", "k")
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert plan.rindex("bitmap_construct_agg") < min(plan.index("Exchange"), plan.index("Sort ["))
+    assert {r.k: r.n for r in sketches.set_sizes(sets, "k").collect()} == {1: 2, 2: 1, None: 1}
