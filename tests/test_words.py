@@ -106,3 +106,17 @@ def test_mean_and_variance_skip_what_is_no_number(lines):
     assert (round(dev, 9), n, round(var, 9)) == (0.5, 3, round(0.5 / 3, 9))
     about = aggregates.deviation_about(data, "x", 8.5).first()
     assert (about.sum_sq_dev, about.n) == (0.5, 3)
+
+
+def test_pairs_are_made_after_the_shuffle(lines, monkeypatch):
+    """What is shuffled has a row for a word of a line, not for a pair; the words of most lines have the first numbers."""
+    monkeypatch.setattr(w, "TASK_PAIRS", 1000)
+    texts = [" ".join(f"{chr(97 + i)}{chr(97 + j)}" for j in random.Random(i).sample(range(26), 20)) + " the the of" for i in range(20)]
+    counts, numbers = w.pair_counts(lines(*texts))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate posexplode(ys") < plan.index("Exchange hashpartitioning(x")
+    assert "Exchange" not in plan[:plan.index("Generate posexplode(ys")]
+    names = {r.number: r.word for r in numbers.collect()}
+    assert sorted(names) == list(range(len(names))) and {names[0], names[1]} == {"the", "of"}
+    got = {(names[r.pair >> 32], names[r.pair & (1 << 32) - 1]): r.n for r in counts.collect()}
+    assert {(b, a): n for (a, b), n in got.items()} | got == py_pairs(texts) and len(py_pairs(texts)) == 2 * len(got)
