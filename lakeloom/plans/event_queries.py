@@ -64,24 +64,32 @@ def refuse_high(df: DataFrame) -> DataFrame:
     return df.withColumn(events.REFUSED, json_fields.read_key("doc", "k", "int") >= 95)
 
 
-def deliver(rows: DataFrame, folder: str, files: int) -> None:
-    """Append ``rows`` to a landing folder, in ``files`` files or more."""
-    most = max(1, rows.count() // files)
-    rows.write.mode("append").option("maxRecordsPerFile", most).parquet(folder)
+FILE_ROWS = 200_000  # rows of a landing file
+BATCH_FILES = 64     # most files of a micro-batch
+
+
+def deliver(rows: DataFrame, folder: str, files: int) -> int:
+    """Append ``rows`` to a landing folder, in ``files`` files or as many as ``FILE_ROWS`` asks for, whatever the number of tasks.
+
+    Returns the number of files.
+    """
+    files = max(files, -(-rows.count() // FILE_ROWS))
+    rows.repartition(files).write.mode("append").parquet(folder)
+    return files
 
 
 def stream_enrich(s, d) -> DataFrame:
     """Route the message stream to its two topics; count and sample what arrived in each.
 
     The messages arrive in two deliveries of many files. Each run of the job takes up where the one before stopped, reads a bounded
-    number of files per batch and stops when it has seen all. One enrichment refuses events.
+    number of files per batch, two thirds of a delivery or ``BATCH_FILES``, and stops when it has seen all. One enrichment refuses events.
     """
     home, raw = workspace(s, "enrich"), messages(Tables(s, d)["events"])
     early = F.dayofmonth("ts") <= 15
     for delivery in (raw.where(early), raw.where(~early)):
-        deliver(delivery, f"{home}/arrived", files=6)
+        most = min(BATCH_FILES, deliver(delivery, f"{home}/arrived", files=6) * 2 // 3)
         jobs.write_topics(
-            events.route(jobs.read_files(s, f"{home}/arrived", max_files=4), [events.enrich_user_agent, refuse_high]),
+            events.route(jobs.read_files(s, f"{home}/arrived", max_files=most), [events.enrich_user_agent, refuse_high]),
             f"{home}/topics", f"{home}/progress", stop_on_empty=True).awaitTermination()
     back = s.read.parquet(f"{home}/topics").withColumn("topic", F.col("topic").cast("string"))
     kept = enriched_fields(back, ["event_type", "user_id", "browser_family"])

@@ -102,3 +102,14 @@ def test_enrich_runs_in_bounded_batches_with_a_restart(spark, small, tmp_path, m
     n = spark.read.parquet(f"{small}/events.parquet")
     refused = sum(r.id is None and r.event_type.startswith('{"id":"') and '"k":9' in r.event_type for r in rows)
     assert refused > 10 and len(rows) < n.count()
+
+
+def test_landing_files_do_not_grow_with_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(event_queries, "FILE_ROWS", 100)
+    rows = spark.range(1000).repartition(40)
+    assert event_queries.deliver(rows, str(tmp_path / "few"), files=6) == 10
+    assert event_queries.deliver(rows.limit(30), str(tmp_path / "least"), files=6) == 6
+    assert event_queries.deliver(rows.limit(0), str(tmp_path / "none"), files=1) == 1
+    sizes = {k: len(list((tmp_path / k).glob("part-*.parquet"))) for k in ("few", "least", "none")}
+    assert sizes == {"few": 10, "least": 6, "none": 1}
+    assert spark.read.parquet(str(tmp_path / "few")).distinct().count() == 1000
