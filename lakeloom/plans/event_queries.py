@@ -119,9 +119,9 @@ def stream_dedup(s, d) -> DataFrame:
     home, sent = workspace(s, "dedup"), sent_events(Tables(s, d)["events"])
     with dedup.keyed_state(s):
         for parts in ((0, 1, 2), (3,)):
-            for part in parts:
-                sent.where(F.col("part") == part).drop("part").write.mode("append").parquet(f"{home}/arrived")
-            told = dedup.first_and_late(jobs.read_files(s, f"{home}/arrived", max_files=1), "id", "ts", "9 days", buckets=128)
+            files = [deliver(sent.where(F.col("part") == part).drop("part"), f"{home}/arrived", files=1) for part in parts]
+            told = dedup.first_and_late(
+                jobs.read_files(s, f"{home}/arrived", max_files=min(BATCH_FILES, max(files))), "id", "ts", "9 days", buckets=128)
             jobs.write_files(told, f"{home}/events", f"{home}/progress", stop_on_empty=True, by=[dedup.OUTCOME]).awaitTermination()
     return s.read.parquet(f"{home}/events").select("id", "event_type", F.col(dedup.OUTCOME).cast("string"))
 

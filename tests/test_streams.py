@@ -113,3 +113,13 @@ def test_landing_files_do_not_grow_with_tasks(spark, tmp_path, monkeypatch):
     sizes = {k: len(list((tmp_path / k).glob("part-*.parquet"))) for k in ("few", "least", "none")}
     assert sizes == {"few": 10, "least": 6, "none": 1}
     assert spark.read.parquet(str(tmp_path / "few")).distinct().count() == 1000
+
+
+def test_dedup_batches_do_not_grow_with_tasks(spark, small, tmp_path, monkeypatch):
+    source = spark.read.parquet(f"{small}/events.parquet").repartition(16)
+    source.write.parquet(str(tmp_path / "in/events.parquet"))
+    monkeypatch.setattr(event_queries, "workspace", lambda s, label: str(tmp_path / label))
+    assert event_queries.stream_dedup(spark, str(tmp_path / "in")).count() > 0
+    files = len(list((tmp_path / "dedup/arrived").glob("part-*.parquet")))
+    batches = [p for p in (tmp_path / "dedup/progress/offsets").iterdir() if p.name.isdigit()]
+    assert files == 4 and len(batches) <= 8
