@@ -44,33 +44,96 @@ def stored(edges: DataFrame) -> DataFrame:
     return edges.checkpoint()
 
 
+#: Who lists whom in a pair (a, b); bits.
+FIRST_LISTS, SECOND_LISTS, LOOP = 1, 2, 4
+MUTUAL = FIRST_LISTS | SECOND_LISTS
+
+
 def common_neighbors(edges: DataFrame) -> DataFrame:
     """For every connected pair, one row per neighbour both list: ``a, b, neighbor, list_of``, with ``a <= b``.
 
     Where only one end lists the other, its whole list counts: such a pair is one row that names it in ``list_of``, and
     ``with_whole_lists`` writes the list out, n times for a node that lists n others. A pair with nothing in common keeps one
-    row with a NULL neighbour. For a pair that lists each other only the shorter of the two lists is
-    read and looked up in the other one, so a hub costs no more than its neighbours' lists.
+    row with a NULL neighbour. Three nodes linked with each other are found once, from the one with the fewest links, and
+    give the rows of all their pairs. So a hub costs no more than its neighbours' lists: of n links no node has more than
+    sqrt(2 n) to nodes with as many links as itself. The pairs are written once, when this is called.
     """
-    degree = edges.groupBy("src").agg(F.count("*").alias("deg"))
-    pairs = edges.select(
-        F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "src",
-    ).groupBy("a", "b").agg(F.min("src").alias("lister"), F.count("*").alias("n_listers"))
-    mutual = pairs.where(F.col("n_listers") == 2).select("a", "b")
-    sized = mutual.join(degree.select(F.col("src").alias("a"), F.col("deg").alias("deg_a")), "a").join(
-        degree.select(F.col("src").alias("b"), F.col("deg").alias("deg_b")), "b")
-    a_is_short = F.col("deg_a") <= F.col("deg_b")
-    probes = sized.select(
-        "a", "b",
-        F.when(a_is_short, F.col("a")).otherwise(F.col("b")).alias("near"),
-        F.when(a_is_short, F.col("b")).otherwise(F.col("a")).alias("far"))
-
-    lists = edges.select(F.col("src").alias("near"), F.col("dst").alias("neighbor"))
-    shared = probes.join(lists, "near").join(
-        edges.select(F.col("src").alias("far"), F.col("dst").alias("neighbor")), ["far", "neighbor"], "left_semi")
-    list_of = F.when(F.col("n_listers") == 1, F.col("lister")).alias("list_of")
-    return pairs.select("a", "b", list_of).join(shared.select("a", "b", "neighbor"), ["a", "b"], "left").select(
-        "a", "b", "neighbor", "list_of")
+    pairs = stored(pairs_of(edges))
+    ranked = ranked_pairs(pairs)
+    shared = _common_of_triangles(wedges(links(ranked)), links(ranked)).unionByName(_common_of_loops(ranked))
+    list_of = F.when(F.col("lists").isin(FIRST_LISTS, LOOP, FIRST_LISTS | LOOP), F.col("a")).when(
+        F.col("lists") == SECOND_LISTS, F.col("b")).alias("list_of")
+    return pairs.select("a", "b", list_of).join(shared, ["a", "b"], "left").select("a", "b", "neighbor", "list_of")
+
+
+def pairs_of(edges: DataFrame) -> DataFrame:
+    """``a, b, lists``: each connected pair with the bits of who lists whom."""
+    a, b = F.least("src", "dst"), F.greatest("src", "dst")
+    lists = F.when(F.col("src") == F.col("dst"), LOOP).when(F.col("src") == a, FIRST_LISTS).when(
+        F.col("src") == b, SECOND_LISTS).otherwise(0)
+    # One aggregate, which every use of the pairs needs: all of them then read the same shuffle.
+    return edges.select(a.alias("a"), b.alias("b"), lists.alias("lists")).groupBy("a", "b").agg(
+        F.bit_or("lists").alias("lists"))
+
+
+def ranked_pairs(pairs: DataFrame) -> DataFrame:
+    """Pairs of different nodes with the rank of both: four times its number of links, + 1 if any is mutual, + 2 if it lists itself."""
+    marks = F.when(F.col("lists") == MUTUAL, 1).when(F.col("lists").bitwiseAND(LOOP) > 0, 2).otherwise(0)
+    rank = pairs.select(F.explode(F.array("a", "b")).alias("node"), marks.alias("marks")).groupBy("node").agg(
+        (4 * F.count("*") + F.bit_or("marks")).alias("rank"))
+    of_a, of_b = (rank.select(F.col("node").alias(x), F.col("rank").alias(f"rank_{x}")) for x in "ab")
+    return pairs.where(F.col("a") != F.col("b")).join(of_a, "a").join(of_b, "b")
+
+
+def links(ranked: DataFrame) -> DataFrame:
+    """``low, high, high_rank, lists``: each pair from its end with the fewer links, without those that no mutual pair can use."""
+    a_low = F.col("rank_a") <= F.col("rank_b")  # equal ranks go by name, and a < b
+    turned = F.when(F.col("lists") == FIRST_LISTS, SECOND_LISTS).when(F.col("lists") == SECOND_LISTS, FIRST_LISTS).otherwise(
+        F.col("lists"))
+    # A list counts only in a mutual pair of its node.
+    used = F.when(F.col("lists") == SECOND_LISTS, F.col("rank_b")).otherwise(F.col("rank_a")).bitwiseAND(1) > 0
+    return ranked.where(used).select(
+        F.when(a_low, F.col("a")).otherwise(F.col("b")).alias("low"),
+        F.when(a_low, F.col("b")).otherwise(F.col("a")).alias("high"),
+        F.greatest("rank_a", "rank_b").alias("high_rank"),
+        F.when(a_low, F.col("lists")).otherwise(turned).alias("lists"))
+
+
+def wedges(links: DataFrame) -> DataFrame:
+    """``low, mid, high, to_mid, to_high``: any two links of their common lowest node that a mutual pair can use."""
+    mid = links.select("low", F.col("high").alias("mid"), F.col("high_rank").alias("mid_rank"), F.col("lists").alias("to_mid"))
+    high = links.select("low", "high", "high_rank", F.col("lists").alias("to_high"))
+    both = F.col("to_mid").bitwiseAND(F.col("to_high"))
+    one_mutual = (F.col("to_mid") == MUTUAL) | (F.col("to_high") == MUTUAL)
+    useful = (one_mutual & (both.bitwiseAND(FIRST_LISTS) > 0)) | (both.bitwiseAND(SECOND_LISTS) > 0)
+    return mid.join(high, "low").where(
+        (F.struct("mid_rank", "mid") < F.struct("high_rank", "high")) & useful).select(
+        "low", "mid", "high", "to_mid", "to_high")
+
+
+def _common_of_triangles(wedges: DataFrame, links: DataFrame) -> DataFrame:
+    """``a, b, neighbor`` of the wedges whose ends are linked."""
+    def listed(column: str, bit: int):
+        return F.col(column).bitwiseAND(bit) > 0
+
+    def common(x: str, y: str, neighbor: str, holds):
+        return F.when(holds, F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), F.col(neighbor).alias("neighbor")))
+
+    found = F.array(
+        common("low", "mid", "high", (F.col("to_mid") == MUTUAL) & listed("to_high", FIRST_LISTS) & listed("across", FIRST_LISTS)),
+        common("low", "high", "mid", (F.col("to_high") == MUTUAL) & listed("to_mid", FIRST_LISTS) & listed("across", SECOND_LISTS)),
+        common("mid", "high", "low", (F.col("across") == MUTUAL) & listed("to_mid", SECOND_LISTS) & listed("to_high", SECOND_LISTS)))
+    across = links.select(F.col("low").alias("mid"), "high", F.col("lists").alias("across"))
+    return wedges.join(across, ["mid", "high"]).select(F.inline(F.array_compact(found)))
+
+
+def _common_of_loops(ranked: DataFrame) -> DataFrame:
+    """``a, b, neighbor`` of mutual pairs one end of which lists itself: both ends list it."""
+    def common(x: str):
+        holds = (F.col("lists") == MUTUAL) & (F.col(f"rank_{x}").bitwiseAND(2) > 0)
+        return F.when(holds, F.struct("a", "b", F.col(x).alias("neighbor")))
+
+    return ranked.select(F.inline(F.array_compact(F.array(common("a"), common("b")))))
 
 
 def with_whole_lists(common: DataFrame, edges: DataFrame) -> DataFrame:

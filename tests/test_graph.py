@@ -54,6 +54,34 @@ def test_common_neighbors_at_random(spark, seed):
     assert neighbor_sets(graph.with_whole_lists(graph.common_neighbors(edges), edges)) == py_common(lists)
 
 
+@pytest.mark.parametrize("seed", [4, 5])
+def test_common_neighbors_are_rows_once_with_loops(spark, seed):
+    """Directed lists, sparse and dense, some of which name their own node."""
+    rnd = random.Random(seed)
+    names = [f"n{i}" for i in range(24)]
+    lists = {n: {m for m in names if rnd.random() < (0.2 if seed == 4 else 0.6)} for n in names}
+    edges = spark.createDataFrame([(a, b) for a, bs in lists.items() for b in bs], "src string, dst string")
+    rows = [tuple(r) for r in graph.common_neighbors(edges).collect()]
+    assert len(rows) == len(set(rows))
+    want = set()
+    for a, b in {tuple(sorted((x, y))) for x in names for y in lists[x]}:
+        mutual = a != b and b in lists[a] and a in lists[b]
+        both = lists[a] & lists[b] if mutual else set()
+        list_of = None if mutual else a if b in lists[a] else b
+        want |= {(a, b, c, list_of) for c in both or [None]}
+    assert set(rows) == want
+
+
+def test_each_triangle_is_looked_up_once(spark):
+    """220 triangles of a clique of 12; a hub of 50 others, unlinked with each other, gives nothing to look up."""
+    names = [f"n{i:02d}" for i in range(12)]
+    pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1:]] + [("hub", f"s{i}") for i in range(50)]
+    edges = graph.both_ways(spark.createDataFrame(pairs, "src string, dst string"))
+    probed = graph.wedges(graph.links(graph.ranked_pairs(graph.pairs_of(edges))))
+    assert probed.count() == 220
+    assert graph.common_neighbors(edges).where("neighbor IS NOT NULL").count() == 660
+
+
 ADJACENCY = ["k1 _ 0 k2 k3", "k2 _ -1 k4", "k3 _ -1 k4 k5", "k4 _ -1 k6", "k5 _ -1 k6", "k6 _ -1 k1 k7", "k7 _ -1",
              "alone _ -1", "bad _ x k1"]
 
