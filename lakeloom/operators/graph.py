@@ -71,7 +71,6 @@ def pairs_of(edges: DataFrame) -> DataFrame:
     a, b = F.least("src", "dst"), F.greatest("src", "dst")
     lists = F.when(F.col("src") == F.col("dst"), LOOP).when(F.col("src") == a, FIRST_LISTS).when(
         F.col("src") == b, SECOND_LISTS).otherwise(0)
-    # One aggregate, which every use of the pairs needs: all of them then read the same shuffle.
     return edges.select(a.alias("a"), b.alias("b"), lists.alias("lists")).groupBy("a", "b").agg(
         F.bit_or("lists").alias("lists"))
 
