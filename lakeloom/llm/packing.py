@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from lakeloom.llm.helpers import store, text_or_empty
-from lakeloom.llm.tokens import Encoder
+from lakeloom.llm.tokens import worker_encoder
 
 LENGTH = 2048
 DOCUMENTS = 2048         # as many as tokens: one-token pieces fill a sequence
@@ -46,7 +46,7 @@ def pieces(docs: DataFrame, longest: int = LENGTH, path: str | None = None) -> D
     end = np.array([SEPARATOR], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = worker_encoder(path)
         for b in batches:
             row, piece, start, length, crc = [], [], [], [], []
             for i, x in enumerate(b.column(1)):

@@ -1,8 +1,8 @@
 """Token ids and counts of whole texts with a byte-level BPE file of the tokenizers library.
 
 A text is cut where its pre-tokenizer starts anew whatever stands before: after white space or a run of one
-kind, as given by ``CUT``. The pieces between such boundaries repeat across texts, so a task encodes each piece it meets
-once and adds up their lengths or joins their ids. Nothing of a text is left out.
+kind, as given by ``CUT``. The pieces between such boundaries repeat across texts, so the ids or lengths of
+pieces met before are kept, and added up or joined. Nothing of a text is left out.
 """
 
 from __future__ import annotations
@@ -10,9 +10,10 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain
+from struct import pack
 
-import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,7 +24,8 @@ from lakeloom.llm.helpers import text_or_empty
 
 FILE = "byte_bpe_50k.json"
 BATCH_BYTES = 1 << 20   # text that is cut and encoded together
-MEMO_BYTES = 96 << 20   # pieces and ids that a task keeps
+MEMO_BYTES = 96 << 20   # pieces and ids that a Python worker keeps
+MET = 1 << 23           # hashes of pieces met
 MEMO_PIECES = 1 << 20   # pieces and lengths that a task keeps
 
 # White space as the pre-tokenizer sees it: Python's, without the four separators U+001C to U+001F.
@@ -48,17 +50,33 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Ids(dict):
-    """Ids of each piece, encoded when first met; little-endian unsigned 32-bit numbers."""
+    """Ids of each piece; little-endian unsigned 32-bit numbers. Those met more than once are kept, the latest longest.
+
+    Most pieces of a text occur once: ``met`` has a byte per hash of a piece, so that they do not fill the memo. Where pieces share a
+    byte, one is kept that need not be. When half the memory is full, the pieces kept are set aside; those met again come back.
+    """
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.model, self.letters, self.held = tokenizer, tokenizer.model, _byte_letters(), 0
+        self.tokenizer, self.model, self.letters = tokenizer, tokenizer.model, _byte_letters()
+        self.aside, self.held, self.met = {}, 0, bytearray(MET)
+
+    def set_aside(self) -> None:
+        self.aside = dict(self)
+        self.clear()
+        self.held, self.met = 0, bytearray(MET)
 
     def __missing__(self, piece: str) -> bytes:
-        if SINGLE.fullmatch(piece):
-            ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
-        else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        value = self[piece] = np.array(ids, "<u4").tobytes()
+        value = self.aside.get(piece)
+        if value is None:
+            if SINGLE.fullmatch(piece):
+                ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+            else:
+                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+            value, at = pack(f"<{len(ids)}I", *ids), hash(piece) % MET
+            if not self.met[at]:
+                self.met[at] = 1
+                return value
+        self[piece] = value
         self.held += len(value) + len(piece) + 180
         return value
 
@@ -84,9 +102,8 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """Ids of a text."""
-        if self.ids.held > MEMO_BYTES:
-            self.ids.clear()
-            self.ids.held = 0
+        if self.ids.held > MEMO_BYTES // 2:
+            self.ids.set_aside()
         return b"".join(map(self.ids.__getitem__, self.cut(text)))
 
     def lengths(self, texts: list[str]) -> list[int]:
@@ -102,6 +119,12 @@ class Encoder:
         return [sum(map(size, pieces)) for pieces in cut]
 
 
+@lru_cache(maxsize=1)
+def worker_encoder(path: str | None = None) -> Encoder:
+    """The encoder of this Python worker: tasks that run in it one after the other go on with the pieces it keeps."""
+    return Encoder(path)
+
+
 def by_bytes(texts: pa.Array, sizes: list[int], limit: int = BATCH_BYTES) -> Iterator[tuple[int, list[str]]]:
     """(first row, texts): consecutive rows of at most ``limit`` bytes together, or one longer text."""
     start, size, held = 0, 0, []

@@ -490,6 +490,24 @@ def test_encoder_gives_what_the_library_gives(library):
     assert encoder.lengths(texts) == [len(x) // 4 for x in want]
 
 
+def test_encoder_keeps_pieces_met_twice_within_bounds(library, monkeypatch):
+    """A piece met once is not kept; ids stay right while the memo is set aside again and again."""
+    encoder = tokens.Encoder()
+    for n_kept in (0, 1, 1):
+        assert encoder.encode(" unikum") == np.array(library.encode(" unikum", add_special_tokens=False).ids, "<u4").tobytes()
+        assert len(encoder.ids) == n_kept
+    monkeypatch.setattr(tokens, "MEMO_BYTES", 4000)
+    turned = 0
+    for text in odd_strings(300) * 3:
+        before = encoder.ids.aside
+        ids = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        assert encoder.encode(text) == ids
+        turned += encoder.ids.aside is not before
+        assert encoder.ids.held <= 2000 + 31 * 400
+    assert turned > 2
+    assert tokens.worker_encoder() is tokens.worker_encoder()
+
+
 def test_token_counts(docs, none, library):
     want = Counter()
     for i, t in pairs_of(docs):
