@@ -5,7 +5,19 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import Row
 
-from lakeloom.streaming import dedup
+from lakeloom.streaming import dedup, jobs
+
+
+def test_nested_keys(spark, tmp_path):
+    rows = spark.sql("""SELECT named_struct('a', a, 'at', timestamp'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, b / 1000000)) AS id,
+        timestamp'2024-03-01' AS ts, a, b FROM VALUES (1, 1), (1, 2), (2, 1), (1, 1), (NULL, 1), (NULL, 1) AS v(a, b)""")
+    for _ in range(2):
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        with dedup.keyed_state(spark):
+            told = dedup.first_and_late(jobs.read_files(spark, str(tmp_path / "in"), max_files=1), "id", "ts", "3 hours")
+            jobs.write_files(told, str(tmp_path / "out"), str(tmp_path / "progress"), stop_on_empty=True).awaitTermination()
+        got = [(r.a, r.b, r.outcome) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+        assert sorted(got, key=repr) == sorted([(a, b, "first") for a, b in ((1, 1), (1, 2), (2, 1), (None, 1))], key=repr)
 
 
 class Values(list):
